@@ -1,0 +1,59 @@
+"""Compare a Spark result with the SQL oracle's, row for row."""
+
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    return value
+
+
+def _bag(rows, columns):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
+
+
+# Spark type -> the SQL type it must come out as.
+TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def differences(df, con, sql):
+    """Human-readable differences; empty if equal."""
+    result = con.execute(sql)
+    expected_columns = [d[0] for d in result.description]
+    expected_types = {d[0]: str(d[1]) for d in result.description}
+    expected = _bag(result.fetchall(), expected_columns)
+    if sorted(df.columns) != sorted(expected_columns):
+        return [f"columns {sorted(df.columns)} != {sorted(expected_columns)}"]
+    problems = [
+        f"type of {f.name}: {f.dataType.simpleString()} != {expected_types[f.name]}"
+        for f in df.schema.fields
+        if TYPES.get(f.dataType.simpleString()) != expected_types[f.name]
+    ]
+    got = _bag(df.collect(), df.columns)
+    if got != expected:
+        problems.append(
+            f"rows {sum(got.values())} vs {sum(expected.values())}; "
+            f"only spark {list((got - expected).items())[:3]}; "
+            f"only sql {list((expected - got).items())[:3]}"
+        )
+    return problems
