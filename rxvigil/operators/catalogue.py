@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from rxvigil import schemas as S
 from rxvigil.functions import is_blank, less_than, transition_allowed
 from rxvigil.operators.latest import latest_by_key
+from rxvigil.operators.lookup import lookup_join
 from rxvigil.operators.skew import ONE_TASK_BYTES, ROWS_PER_TASK, ordered_slices
 
 OK, TOMBSTONE = "OK", "TOMBSTONE"
@@ -80,15 +81,24 @@ def validate_catalogue(
     changelog: DataFrame,
     key: str = "key",
     order_by: Sequence[str] = ("ts", "offset"),
+    statuses: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     one_task_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     """Every changelog row with ``verdict``, ``message`` and ``priorStatus``.
 
-    ``verdict`` is ``OK``, ``TOMBSTONE`` or the broken rule. One shuffle on the key and one
-    ordered scan; the history of a heavy key is cut into slices that run in parallel.
+    ``verdict`` is ``OK``, ``TOMBSTONE`` or the broken rule. ``statuses`` holds the status
+    (``marketingStatus``) some keys already have before this changelog, one row per key.
+
+    One shuffle on the key and one ordered scan; the history of a heavy key is cut into slices
+    that run in parallel.
     """
     ruled = check_rules(changelog, key).withColumn("status", _status())
+    if statuses is None:
+        ruled = ruled.withColumn("entry", F.lit(None).cast("string"))
+    else:
+        held = statuses.select(key, F.col("marketingStatus").alias("entry"))
+        ruled = lookup_join(ruled, held, key, order_by, rows_per_task).drop("matched")
     # Rows broken by a stateless rule never touch the status: each goes to a group of its own
     # kind. So do deletes without a usable key, since nothing is ever accepted under one.
     decided = F.col("rule").isNotNull() | F.col(key).isNull() | is_blank(key)
@@ -99,11 +109,11 @@ def validate_catalogue(
     whole, sliced = ordered_slices(judged, groups, order_by, rows_per_task, one_task_bytes)
     result = _with_prior(whole, groups, _order(order_by))
     if sliced is not None:
-        entries = _slice_entries(sliced, groups, order_by)
         cut = [*groups, "slice"]
-        entered = sliced.join(_slice_entries(sliced, groups, order_by), cut, "left")
+        entries = _slice_entries(sliced, groups, order_by)
+        entered = sliced.drop("entry").join(entries, cut, "left")
         result = result.unionByName(
-            _with_prior(entered, cut, _order(order_by), F.col("entry")).select(*result.columns)
+            _with_prior(entered, cut, _order(order_by)).select(*result.columns)
         )
 
     prior, rule = F.col("prior"), F.col("rule")
@@ -157,13 +167,11 @@ def _with_prior(
     rows: DataFrame,
     groups: Sequence[str],
     order: Sequence[Column],
-    entry: Column | None = None,
 ) -> DataFrame:
     """Add ``prior``: the status accepted before each row, null if there is none.
 
-    ``entry`` is the status a group starts with. Tombstones have a null ``status``.
+    The column ``entry`` is the status a group starts with. Tombstones have a null ``status``.
     """
-    entry = F.lit(None).cast("string") if entry is None else entry
     history = Window.partitionBy(*groups).orderBy(*order)
     so_far = history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = history.rowsBetween(Window.unboundedPreceding, -1)
@@ -187,7 +195,7 @@ def _with_prior(
     def in_life(name: str) -> Column:
         return F.col(name)["life"] == life
 
-    inherited = F.when(life == 0, entry)
+    inherited = F.when(life == 0, F.col("entry"))
     first = F.coalesce(inherited, F.when(in_life("first_"), F.col("first_")["status"]))
     trading = F.when(in_life("trading_"), F.col("trading_")["status"])
     prior = (
@@ -211,20 +219,23 @@ def _slice_entries(sliced: DataFrame, groups: Sequence[str], order_by: Sequence[
     at = F.struct(*order_by)
     row = F.struct(at.alias("at"), _is_delete().alias("is_delete"), "status")
     bounds = sliced.groupBy(*cut).agg(
-        F.min(row).alias("opening"), F.max(F.when(_is_delete(), at)).alias("last_delete")
+        F.min(row).alias("opening"),
+        F.max(F.when(_is_delete(), at)).alias("last_delete"),
+        F.first("entry").alias("entry"),
     )
-    opening = bounds.select(*cut, F.lit(True).alias("opens"), "opening.*")
+    opening = bounds.select(*cut, "entry", F.lit(True).alias("opens"), "opening.*")
     deletes = bounds.where(F.col("last_delete").isNotNull()).select(
-        *cut, F.lit(False).alias("opens"), F.col("last_delete").alias("at"),
+        *cut, "entry", F.lit(False).alias("opens"), F.col("last_delete").alias("at"),
         F.lit(True).alias("is_delete"), F.lit(None).cast("string").alias("status"),
     )
     last_life = (
         sliced.where(~_is_delete())
-        .join(bounds.select(*cut, "last_delete"), cut)
+        .drop("entry").join(bounds.select(*cut, "entry", "last_delete"), cut)
         .where(F.col("last_delete").isNull() | (at > F.col("last_delete")))
-        .groupBy(*cut, "status").agg(F.min(at).alias("first_at"), F.max(at).alias("last_at"))
-        .select(*cut, F.explode(F.array("first_at", "last_at")).alias("at"), "status")
-        .select(*cut, F.lit(False).alias("opens"), "at", F.lit(False).alias("is_delete"), "status")
+        .groupBy(*cut, "entry", "status").agg(F.min(at).alias("first_at"), F.max(at).alias("last_at"))
+        .select(*cut, "entry", "status", F.explode(F.array("first_at", "last_at")).alias("at"))
+        .withColumn("opens", F.lit(False))
+        .withColumn("is_delete", F.lit(False))
     )
     condensed = opening.unionByName(deletes).unionByName(last_life)
     # The opening row may appear again as a first row; judging a row twice changes nothing.
