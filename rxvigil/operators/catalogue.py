@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxvigil import schemas as S
-from rxvigil.functions import is_blank, less_than, transition_allowed
+from rxvigil.functions import is_blank, json_record, less_than, transition_allowed
+from rxvigil.operators.deadletter import envelope_struct, letter, output_record
 from rxvigil.operators.latest import latest_by_key
 from rxvigil.operators.lookup import lookup_join
 from rxvigil.operators.skew import ONE_TASK_BYTES, ROWS_PER_TASK, ordered_slices
@@ -150,6 +151,35 @@ def rejected(verdicts: DataFrame) -> DataFrame:
     return verdicts.where(~F.col("verdict").isin(OK, TOMBSTONE))
 
 
+def _rejection_envelope() -> Column:
+    return envelope_struct(
+        "VALIDATION",
+        F.col("message"),
+        "ProductCatalogueProcessor",
+        {
+            "gtin": "key",
+            "productName": "productName",
+            "validationRule": "verdict",
+            "manufacturer": "manufacturer",
+        },
+    )
+
+
+def rejection_envelopes(verdicts: DataFrame) -> DataFrame:
+    """VALIDATION envelopes of rejected product updates."""
+    return rejected(verdicts).select(_rejection_envelope().alias("envelope")).select("envelope.*")
+
+
+def admission_records(verdicts: DataFrame, accepted_topic: str) -> DataFrame:
+    """Accepted updates (a delete has a null value) and dead letters, in one pass."""
+    value = json_record(verdicts, S.MEDICINAL_PRODUCT.fieldNames())
+    accepted = output_record(F.lit(accepted_topic), "key", F.when(~_is_delete(), value))
+    record = F.when(F.col("verdict").isin(OK, TOMBSTONE), accepted).otherwise(
+        letter(_rejection_envelope())
+    )
+    return verdicts.select(record.alias("record")).select("record.*")
+
+
 def _is_delete() -> Column:
     return F.coalesce(F.col("is_delete"), F.lit(False))
 

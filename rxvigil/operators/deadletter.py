@@ -1,4 +1,8 @@
-"""Dead-letter envelopes: one fixed JSON shape for everything that could not be handled."""
+"""Dead-letter envelopes: one fixed JSON shape for everything that could not be handled.
+
+An envelope is a struct column, so a row can carry its output record or its dead letter and all
+routes of a frame are produced in one pass. ``envelope`` gives the same as a frame of its own.
+"""
 
 from __future__ import annotations
 
@@ -11,27 +15,27 @@ from rxvigil import schemas as S
 from rxvigil.functions import dlq_topic, iso_instant, record_position
 
 
-def envelope(
-    failed: DataFrame,
-    error_type: str | Column = "PROCESSING",
+def envelope_struct(
+    error_type: str,
     message: Column | None = None,
     processor: str | None = None,
     context: Mapping[str, Column | str] | None = None,
-    exception_class: Column | str | None = None,
+    exception_class: str | None = None,
     raw_key: str | None = None,
     raw_value: str | None = None,
-) -> DataFrame:
-    """One envelope row per failed record (see ``DLQ_ENVELOPE``).
-
-    ``failed`` supplies ``topic``, ``partition`` and ``offset``; missing ones become
-    ``unknown``, -1 and -1. ``raw_key``/``raw_value`` name payload columns to keep as base64.
-    Context entries without a value are left out.
+    topic: Column | str = "topic",
+    partition: Column | str = "partition",
+    offset: Column | str = "offset",
+) -> Column:
+    """Envelope of the current row (see ``DLQ_ENVELOPE``).
+
+    An unknown position becomes ``unknown``, -1 and -1. ``raw_key``/``raw_value`` name payload
+    columns to keep as base64. Context entries without a value are left out.
     """
     text = F.lit(None).cast("string")
 
-    def position(name: str, unknown: object, type_: str) -> Column:
-        present = F.col(name) if name in failed.columns else F.lit(None)
-        return F.coalesce(present.cast(type_), F.lit(unknown).cast(type_))
+    def column(c: Column | str) -> Column:
+        return F.col(c) if isinstance(c, str) else c
 
     def payload(name: str | None) -> Column:
         if name is None:
@@ -43,18 +47,15 @@ def envelope(
     if context:
         pairs = []
         for name, value in context.items():
-            value = F.col(value) if isinstance(value, str) else value
-            pairs += [F.lit(name), value.cast("string")]
+            pairs += [F.lit(name), column(value).cast("string")]
         entries = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
-    if isinstance(exception_class, str):
-        exception_class = F.lit(exception_class)
-    return failed.select(
-        position("topic", "unknown", "string").alias("originalTopic"),
-        position("partition", -1, "int").alias("partition"),
-        position("offset", -1, "bigint").alias("offset"),
-        (error_type if isinstance(error_type, Column) else F.lit(error_type)).alias("errorType"),
+    return F.struct(
+        F.coalesce(column(topic), F.lit("unknown")).alias("originalTopic"),
+        F.coalesce(column(partition).cast("int"), F.lit(-1)).alias("partition"),
+        F.coalesce(column(offset).cast("bigint"), F.lit(-1).cast("bigint")).alias("offset"),
+        F.lit(error_type).alias("errorType"),
         (text if message is None else message).alias("errorMessage"),
-        (text if exception_class is None else exception_class).alias("exceptionClass"),
+        (F.lit(exception_class) if exception_class else text).alias("exceptionClass"),
         text.alias("stackTrace"),
         F.lit(0).alias("retryCount"),
         payload(raw_key).alias("originalKeyBase64"),
@@ -65,19 +66,38 @@ def envelope(
     )
 
 
-def dlq_records(envelopes: DataFrame, topic: Column | None = None) -> DataFrame:
-    """Envelopes as records ``(topic, key, value)``; nulls are dropped from the JSON.
+def envelope(failed: DataFrame, error_type: str = "PROCESSING", *args, **options) -> DataFrame:
+    """One envelope row per failed record; position columns the frame lacks are unknown."""
+    for name, type_ in (("topic", "string"), ("partition", "int"), ("offset", "bigint")):
+        if name not in failed.columns:
+            options.setdefault(name, F.lit(None).cast(type_))
+    made = envelope_struct(error_type, *args, **options)
+    return failed.select(made.alias("envelope")).select("envelope.*")
 
-    The topic follows from the source topic unless given.
-    """
-    fields = [F.col(f.name) for f in S.DLQ_ENVELOPE]
-    return envelopes.select(
-        (dlq_topic("originalTopic") if topic is None else topic).alias("topic"),
-        record_position("originalTopic", "partition", "offset").alias("key"),
-        F.to_json(F.struct(*fields)).alias("value"),
+
+def output_record(topic: Column, key: Column | str, value: Column) -> Column:
+    return F.struct(
+        topic.alias("topic"),
+        (F.col(key) if isinstance(key, str) else key).alias("key"),
+        value.alias("value"),
     )
 
 
+def letter(made: Column) -> Column:
+    """The dead-letter record of an envelope: topic from its source topic, nulls dropped."""
+    return output_record(
+        dlq_topic(made["originalTopic"]),
+        record_position(made["originalTopic"], made["partition"], made["offset"]),
+        F.to_json(made),
+    )
+
+
+def dlq_records(envelopes: DataFrame) -> DataFrame:
+    """Envelope rows as records ``(topic, key, value)``."""
+    made = F.struct(*[F.col(f.name) for f in S.DLQ_ENVELOPE])
+    return envelopes.select(letter(made).alias("record")).select("record.*")
+
+
 def split_failures(
     records: DataFrame, result: Column, name: str, missing: Column
 ) -> tuple[DataFrame, DataFrame]:
@@ -90,27 +110,38 @@ def split_failures(
     return computed.where(~failed), computed.where(failed).drop(name)
 
 
-def guard_output(
-    records: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES, value: str = "value"
-) -> tuple[DataFrame, DataFrame]:
-    """Split records a sink would refuse for their size: ``(ok, oversized)``."""
-    size = F.coalesce(F.octet_length(value), F.lit(0))
-    return records.where(size <= max_bytes), records.where(size > max_bytes)
-
-
-def oversized_envelope(
-    oversized: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES, key: str = "key", value: str = "value"
-) -> DataFrame:
-    """PRODUCTION envelopes of refused output records; their output position is unknown."""
-    placed = oversized.select(
-        F.col("topic"), F.col(key).alias("raw_key"), F.col(value).alias("raw_value"),
-        F.octet_length(value).alias("bytes"),
-    )
-    return envelope(
-        placed,
+def _oversized(max_bytes: int) -> Column:
+    return F.coalesce(F.octet_length("value"), F.lit(0)) > max_bytes
+
+
+def _production_envelope(max_bytes: int) -> Column:
+    """The output position of a refused record is unknown."""
+    return envelope_struct(
         "PRODUCTION",
-        F.format_string("record of %d bytes exceeds the limit of %d", F.col("bytes"), F.lit(max_bytes)),
+        F.format_string(
+            "record of %d bytes exceeds the limit of %d", F.octet_length("value"), F.lit(max_bytes)
+        ),
         exception_class="RecordTooLargeException",
-        raw_key="raw_key",
-        raw_value="raw_value",
+        raw_key="key",
+        raw_value="value",
+        partition=F.lit(-1),
+        offset=F.lit(-1),
+    )
+
+
+def guard_output(
+    records: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES
+) -> tuple[DataFrame, DataFrame]:
+    """Split records a sink would refuse for their size: ``(accepted, envelopes)``."""
+    refused = records.where(_oversized(max_bytes))
+    return (
+        records.where(~_oversized(max_bytes)),
+        refused.select(_production_envelope(max_bytes).alias("envelope")).select("envelope.*"),
     )
+
+
+def guard_records(records: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES) -> DataFrame:
+    """The records to write, a refused one replaced by its dead letter, in one pass."""
+    kept = output_record(F.col("topic"), "key", F.col("value"))
+    record = F.when(_oversized(max_bytes), letter(_production_envelope(max_bytes))).otherwise(kept)
+    return records.select(record.alias("record")).select("record.*")

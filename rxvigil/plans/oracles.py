@@ -309,3 +309,47 @@ SELECT * FROM (
   UNION ALL SELECT 'hci.dlq.alerts.enriched.avro', 'PRODUCTION', count(*) FROM v_output
   WHERE strlen(value) > {DOCUMENT_LIMIT_BYTES}) t WHERE records > 0"""),
 }
+
+# -- streaming runs: the wire carries milliseconds, and alerts without a severity are refused --
+
+_WIRE_ALERTS = """wire_alerts AS (
+  SELECT * REPLACE (date_trunc('milliseconds', ts) AS ts, date_trunc('milliseconds', "issuedByUtc") AS "issuedByUtc")
+  FROM v_alerts WHERE severity IS NOT NULL)"""
+_WIRE_ENRICHED = _ENRICHED.replace("FROM v_alerts a", "FROM wire_alerts a")
+_WIRE_FIELDS = f"""key, "alertId", gtin, "alertType", severity, {_iso('"issuedAt"')} AS "issuedAt", "productName",
+  manufacturer, "narcoticsCategory", CAST(narcotic AS VARCHAR) AS narcotic,
+  "severityLabel" AS "severityLabel" """
+
+ORACLES.update({
+    "stream_enriched_alerts": _with(
+        "v_alerts v_catalogue", _WIRE_ALERTS, _WIRE_ENRICHED, select=f"""
+SELECT 'hci.alerts.enriched.avro' AS topic, {_WIRE_FIELDS} FROM enriched WHERE matched
+UNION ALL
+SELECT 'hci.alerts.narcotics.avro' AS topic, {_WIRE_FIELDS} FROM enriched WHERE matched AND narcotic"""),
+    "stream_alert_dead_letters": _with("v_alerts v_catalogue", select=f"""
+SELECT {_DLQ_ALERTS} AS topic, topic || '/' || "partition" || '/' || "offset" AS key,
+  CASE WHEN severity IS NULL THEN 'DESERIALIZATION' ELSE 'VALIDATION' END AS "errorType",
+  CASE WHEN severity IS NULL THEN 'missing required field severity'
+    ELSE 'no product for GTIN ' || key END AS "errorMessage"
+FROM v_alerts a
+WHERE severity IS NULL OR NOT EXISTS (SELECT 1 FROM v_catalogue c WHERE c.key = a.key)"""),
+    "stream_price_surges": _with("v_price_updates v_catalogue", _CHANGES, _SURGES, select=f"""
+SELECT key, gtin, "changeReason", {_iso('"effectiveDate"')} AS "effectiveDate",
+  "previousPublicPriceCHF", "newPublicPriceCHF", "changePercent" FROM surges"""),
+    "stream_alert_frequency": _with(
+        "v_alerts", _WIRE_ALERTS, _WINDOWS.format(source="wire_alerts"),
+        f"closed AS ({_CLOSED.format(source='wire_alerts')})",
+        select="""SELECT 'hci.products.alert-summary.avro' AS topic, summary_key, "count" FROM closed"""),
+    "stream_catalogue_admission": _with(
+        "v_product_changelog", _RULES, _FOLD, recursive=True, select=f"""
+SELECT 'catalogue.accepted' AS topic, key,
+  CASE WHEN verdict = 'OK' THEN "marketingStatus" END AS "marketingStatus",
+  CASE WHEN verdict = 'OK' THEN "publicPriceCHF" END AS "publicPriceCHF",
+  CAST(NULL AS VARCHAR) AS "errorMessage", CAST(NULL AS VARCHAR) AS "validationRule"
+FROM judged WHERE NOT ({_REJECTED})
+UNION ALL
+SELECT 'hci.dlq.medicinal-products.avro', topic || '/' || "partition" || '/' || "offset",
+  NULL, NULL, message, verdict FROM judged WHERE {_REJECTED}"""),
+    "stream_catalogue_verdicts": ORACLES["catalogue_verdicts"],
+    "stream_asof_price": ORACLES["asof_price"],
+})

@@ -17,7 +17,7 @@ from rxvigil.functions import (
     severity_label,
     transition_allowed,
 )
-from rxvigil.operators import deadletter, frequency, surge
+from rxvigil.operators import frequency, surge
 from rxvigil.plans.views import plain_timestamps, view
 from rxvigil.sources import decode, decode_failures
 
@@ -91,20 +91,8 @@ def narcotics_alerts(spark, sf):
     return plain_timestamps(O.narcotics_only(_enriched(spark, sf)).select(*S.ENRICHED_COLUMNS))
 
 
-def unknown_alert_envelopes(enriched: DataFrame) -> DataFrame:
-    """VALIDATION envelopes of alerts whose product is not in the catalogue."""
-    return O.envelope(
-        O.unknown(enriched),
-        "VALIDATION",
-        F.concat(F.lit("no product for GTIN "), F.coalesce("key", F.lit("null"))),
-        "AlertEnrichment",
-        {"gtin": "gtin", "alertId": "alertId", "severity": "severity"},
-        exception_class="ValidationException",
-    )
-
-
 def unknown_alerts(spark, sf):
-    envelopes = unknown_alert_envelopes(_enriched(spark, sf))
+    envelopes = O.unknown_envelopes(_enriched(spark, sf))
     return envelopes.select(
         *ENVELOPE_COLUMNS,
         F.col("context")["gtin"].alias("gtin"),
@@ -258,24 +246,8 @@ def accepted_catalogue(spark, sf):
     )
 
 
-def rejection_envelopes(verdicts: DataFrame) -> DataFrame:
-    """VALIDATION envelopes of rejected product updates."""
-    return O.envelope(
-        O.rejected(verdicts),
-        "VALIDATION",
-        F.col("message"),
-        "ProductCatalogueProcessor",
-        {
-            "gtin": "key",
-            "productName": "productName",
-            "validationRule": "verdict",
-            "manufacturer": "manufacturer",
-        },
-    )
-
-
 def catalogue_dlq(spark, sf):
-    envelopes = rejection_envelopes(_verdicts(spark, sf))
+    envelopes = O.rejection_envelopes(_verdicts(spark, sf))
     names = ["gtin", "productName", "validationRule", "manufacturer"]
     return envelopes.select(
         *ENVELOPE_COLUMNS, *[F.col("context")[n].alias(n) for n in names],
@@ -292,7 +264,7 @@ def dlq_topics(spark, sf):
 
 
 def dlq_records(spark, sf):
-    records = O.dlq_records(rejection_envelopes(_verdicts(spark, sf)))
+    records = O.dlq_records(O.rejection_envelopes(_verdicts(spark, sf)))
     texts = ["originalTopic", "errorType", "errorMessage", "processorName", "retryCount",
              "partition", "offset"]
     return records.select(
@@ -334,9 +306,8 @@ def _guarded(spark, sf):
 
 
 def output_guard(spark, sf):
-    _, oversized = _guarded(spark, sf)
-    envelopes = deadletter.oversized_envelope(oversized, DOCUMENT_LIMIT_BYTES)
-    return envelopes.select(*ENVELOPE_COLUMNS, dlq_topic("originalTopic").alias("dlqTopic"))
+    _, refused = _guarded(spark, sf)
+    return refused.select(*ENVELOPE_COLUMNS, dlq_topic("originalTopic").alias("dlqTopic"))
 
 
 def output_accepted(spark, sf):
@@ -345,13 +316,13 @@ def output_accepted(spark, sf):
 
 
 def dlq_error_counts(spark, sf):
-    _, oversized = _guarded(spark, sf)
+    _, refused = _guarded(spark, sf)
     routes = [
         decode_failures(_decoded(spark, sf)),
-        unknown_alert_envelopes(_enriched(spark, sf)),
-        rejection_envelopes(_verdicts(spark, sf)),
+        O.unknown_envelopes(_enriched(spark, sf)),
+        O.rejection_envelopes(_verdicts(spark, sf)),
         _processing_envelopes(spark, sf),
-        deadletter.oversized_envelope(oversized, DOCUMENT_LIMIT_BYTES),
+        refused,
     ]
     merged = routes[0]
     for route in routes[1:]:

@@ -77,11 +77,14 @@ def decode(
         [T.StructField(f.name, _wire_type(f.dataType), True) for f in fields]
         + [T.StructField("_corrupt", T.StringType(), True)]
     )
-    text = F.col("value").cast("string")
-    parsed = raw.withColumn(
-        "parsed",
-        F.from_json(text, wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}),
+    parsed = F.from_json(
+        F.col("value").cast("string"),
+        wire,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
+    # Filters on the result are not pushed below a generator, where they would repeat the
+    # parsing once per field they look at.
+    parsed = raw.select("*", F.explode(F.array(parsed)).alias("parsed"))
 
     def value(f: T.StructField) -> Column:
         got = F.col("parsed")[f.name]

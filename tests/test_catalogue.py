@@ -4,9 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rxvigil.operators import accepted_catalogue, check_rules, rejected, validate_catalogue
+from rxvigil.operators import accepted_catalogue, check_rules, rejected, rejection_envelopes, validate_catalogue
 from rxvigil.functions import transition_allowed
-from rxvigil.plans.queries import rejection_envelopes
 from tests.builders import at, change, changelog
 from tests.fold import ALLOWED, loop_verdicts
 
