@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rxvigil.operators.skew import ONE_TASK_BYTES, ROWS_PER_TASK, ordered_slices
 
 _TABLE, _EVENT = 0, 1
+_NULL_LANES = 4096
 
 
 def asof_join(
@@ -26,8 +27,7 @@ def asof_join(
     """Add ``columns`` of the newest ``changelog`` row of the same key at or before each event.
 
     Equal times count as "table first". A delete, like a missing row, gives nulls; ``matched``
-    tells the two outcomes apart from a found row. Events with a null key match nothing and
-    never enter the shuffle.
+    tells the two outcomes apart from a found row. Events with a null key match nothing.
 
     Both inputs go through one shuffle on the key and one ordered scan. The history of a heavy
     key is cut into consecutive slices; a slice starts from the last table row before it.
@@ -37,70 +37,70 @@ def asof_join(
         F.coalesce(F.col(delete), F.lit(False)).alias("gone"),
         F.struct(*columns).alias("value"),
     )
-    event = F.struct(*events.columns)
-    nothing = F.lit(None)
+    # The event's columns stay top-level, so those nobody reads are pruned before the shuffle.
+    payload = {f"event_{i}": f for i, f in enumerate(events.schema.fields)}
+    # Null keys are spread by time and position, so that many of them do not share a task.
+    spread_by = [event_time, *(c for c in ("partition", "offset") if c in events.columns)]
+    lane = F.when(F.col(key).isNull(), 1 + F.pmod(F.xxhash64(*spread_by), F.lit(_NULL_LANES)))
     table_side = changelog.where(F.col(key).isNotNull()).select(
         F.col(key).alias("asof_key"),
+        F.lit(0).cast("long").alias("asof_lane"),
         F.col(table_time).alias("asof_time"),
         F.lit(_TABLE).alias("asof_side"),
         F.col(table_offset).cast("long").alias("asof_offset"),
         entry.alias("entry"),
-        nothing.cast(events.select(event).schema[0].dataType).alias("event"),
+        *[F.lit(None).cast(f.dataType).alias(alias) for alias, f in payload.items()],
     )
-    event_side = events.where(F.col(key).isNotNull()).select(
+    event_side = events.select(
         F.col(key).alias("asof_key"),
+        F.coalesce(lane, F.lit(0)).cast("long").alias("asof_lane"),
         F.col(event_time).alias("asof_time"),
         F.lit(_EVENT).alias("asof_side"),
         # Events do not see each other; their own order among equal times is irrelevant.
         F.lit(0).cast("long").alias("asof_offset"),
-        nothing.cast(table_side.schema["entry"].dataType).alias("entry"),
-        event.alias("event"),
+        F.lit(None).cast(table_side.schema["entry"].dataType).alias("entry"),
+        *[F.col(f.name).alias(alias) for alias, f in payload.items()],
     )
+    groups = ["asof_key", "asof_lane"]
     order = ["asof_time", "asof_side", "asof_offset"]
     merged = table_side.unionByName(event_side)
-    whole, sliced = ordered_slices(merged, ["asof_key"], order, rows_per_task, one_task_bytes)
+    whole, sliced = ordered_slices(merged, groups, order, rows_per_task, one_task_bytes)
 
-    def seen(rows: DataFrame, groups: list[str]) -> DataFrame:
+    def seen(rows: DataFrame, parts: list[str]) -> DataFrame:
         up_to_here = (
-            Window.partitionBy(*groups).orderBy(*order)
+            Window.partitionBy(*parts).orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        return rows.withColumn("seen", F.last("entry", ignorenulls=True).over(up_to_here))
+        looked_up = rows.withColumn("seen", F.last("entry", ignorenulls=True).over(up_to_here))
+        return looked_up.where(F.col("asof_side") == _EVENT)
 
-    result = seen(whole, ["asof_key"]).where(F.col("asof_side") == _EVENT).select("event", "seen")
+    result = seen(whole, groups).select(*payload, "seen")
     if sliced is not None:
-        carried = _carried_entries(sliced, order)
-        local = seen(sliced, ["asof_key", "slice"]).where(F.col("asof_side") == _EVENT)
+        cut = [*groups, "slice"]
+        carried = seen(sliced, cut).join(_carried_entries(sliced, groups, order), cut, "left")
         result = result.unionByName(
-            local.join(carried, ["asof_key", "slice"], "left")
-            .select("event", F.coalesce("seen", "carried").alias("seen"))
+            carried.select(*payload, F.coalesce("seen", "carried").alias("seen"))
         )
 
     found = F.col("seen").isNotNull() & ~F.col("seen.gone")
-    matched = result.select(
-        "event.*",
+    return result.select(
+        *[F.col(alias).alias(f.name) for alias, f in payload.items()],
         *[F.when(found, F.col("seen.value")[c]).alias(c) for c in columns],
         found.alias("matched"),
     )
-    keyless = events.where(F.col(key).isNull()).select(
-        "*",
-        *[F.lit(None).cast(changelog.schema[c].dataType).alias(c) for c in columns],
-        F.lit(False).alias("matched"),
-    )
-    return matched.unionByName(keyless)
 
 
-def _carried_entries(sliced: DataFrame, order: list[str]) -> DataFrame:
-    """Per (key, slice) the last table row of the earlier slices: one row per slice."""
-    closing = sliced.groupBy("asof_key", "slice").agg(
+def _carried_entries(sliced: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
+    """Per slice the last table row of the key's earlier slices: one row per slice."""
+    closing = sliced.groupBy(*groups, "slice").agg(
         F.max_by(
             "entry", F.when(F.col("asof_side") == _TABLE, F.struct(*order))
         ).alias("closing")
     )
     earlier = (
-        Window.partitionBy("asof_key").orderBy("slice")
+        Window.partitionBy(*groups).orderBy("slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return closing.select(
-        "asof_key", "slice", F.last("closing", ignorenulls=True).over(earlier).alias("carried")
+        *groups, "slice", F.last("closing", ignorenulls=True).over(earlier).alias("carried")
     )

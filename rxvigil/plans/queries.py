@@ -102,16 +102,19 @@ def unknown_alerts(spark, sf):
     )
 
 
-def _json_fields(records: DataFrame, names: list[str]) -> list:
-    return [F.get_json_object("value", f"$.{n}").alias(n) for n in names]
+def _parsed(records: DataFrame, schema: str) -> DataFrame:
+    """The records with the named fields of their JSON value, parsed once."""
+    fields = F.from_json("value", schema).alias("json")
+    return records.select("*", fields).select(*records.columns, "json.*")
 
 
 def enriched_json(spark, sf):
     enriched = O.known(_enriched(spark, sf))
     records = enriched.select("key", json_record(enriched, S.ENRICHED_COLUMNS).alias("value"))
-    return records.select(
+    schema = ", ".join(f"{name} string" for name in S.ENRICHED_COLUMNS)
+    return _parsed(records, schema).select(
         "key",
-        *_json_fields(records, list(S.ENRICHED_COLUMNS)),
+        *S.ENRICHED_COLUMNS,
         F.col("value").contains('"narcoticsCategory":null').alias("keepsNull"),
     )
 
@@ -156,13 +159,16 @@ def surge_json(spark, sf):
     records = surges.select(
         "key", "offset", json_record(surges, S.SURGE_COLUMNS).alias("value")
     )
-    numbers = ["previousPublicPriceCHF", "newPublicPriceCHF", "changePercent"]
-    texts = ["gtin", "productName", "changeReason", "effectiveDate"]
-    return records.select(
-        "key", "offset", *_json_fields(records, texts),
-        *[F.get_json_object("value", f"$.{n}").cast("double").alias(n) for n in numbers],
+    schema = (
+        "gtin string, productName string, changeReason string, effectiveDate string, "
+        "previousPublicPriceCHF double, newPublicPriceCHF double, changePercent double, "
+        "detectedAt string"
+    )
+    return _parsed(records, schema).select(
+        "key", "offset", "gtin", "productName", "changeReason", "effectiveDate",
+        "previousPublicPriceCHF", "newPublicPriceCHF", "changePercent",
         F.col("value").contains('"productName":null').alias("keepsNull"),
-        F.get_json_object("value", "$.detectedAt").endswith("Z").alias("hasDetectedAt"),
+        F.col("detectedAt").endswith("Z").alias("hasDetectedAt"),
     )
 
 
@@ -238,12 +244,11 @@ def status_transitions(spark, sf):
 
 
 def accepted_catalogue(spark, sf):
-    return plain_timestamps(
-        O.accepted_catalogue(_verdicts(spark, sf)).select(
-            "key", "ts", "offset", "productName", "marketingStatus", "publicPriceCHF",
-            "narcoticsCategory",
-        )
-    )
+    columns = ["key", "ts", "offset", "productName", "marketingStatus", "publicPriceCHF",
+               "narcoticsCategory"]
+    # Choose the columns first: the newest row of a key is picked as a whole.
+    verdicts = _verdicts(spark, sf).select(*columns, "is_delete", "verdict")
+    return plain_timestamps(O.accepted_catalogue(verdicts).select(*columns))
 
 
 def catalogue_dlq(spark, sf):
@@ -265,13 +270,17 @@ def dlq_topics(spark, sf):
 
 def dlq_records(spark, sf):
     records = O.dlq_records(O.rejection_envelopes(_verdicts(spark, sf)))
-    texts = ["originalTopic", "errorType", "errorMessage", "processorName", "retryCount",
-             "partition", "offset"]
-    return records.select(
-        "topic", "key", *_json_fields(records, texts),
-        F.get_json_object("value", "$.context.validationRule").alias("validationRule"),
+    schema = (
+        "originalTopic string, errorType string, errorMessage string, processorName string, "
+        "retryCount string, `partition` string, `offset` string, failedAt string, "
+        "context map<string,string>"
+    )
+    return _parsed(records, schema).select(
+        "topic", "key", "originalTopic", "errorType", "errorMessage", "processorName",
+        "retryCount", "partition", "offset",
+        F.col("context")["validationRule"].alias("validationRule"),
         F.col("value").contains("stackTrace").alias("keepsNull"),
-        F.get_json_object("value", "$.failedAt").endswith("Z").alias("hasFailedAt"),
+        F.col("failedAt").endswith("Z").alias("hasFailedAt"),
     )
 
 

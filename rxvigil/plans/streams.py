@@ -96,39 +96,39 @@ def _run_table(spark: SparkSession, name: str, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
-def _field(name: str):
-    return F.get_json_object("value", f"$.{name}").alias(name)
-
-
-_ENRICHED_FIELDS = [
-    "alertId", "gtin", "alertType", "severity", "issuedAt", "productName", "manufacturer",
-    "narcoticsCategory", "narcotic", "severityLabel",
-]
+def _parsed(records: DataFrame, schema: str) -> DataFrame:
+    fields = F.from_json("value", schema).alias("json")
+    return records.select("topic", "key", fields).select("topic", "key", "json.*")
 
 
 def stream_enriched_alerts(spark, sf):
     raw = _products(spark, sf).unionByName(_alerts(spark, sf))
     records = _run(spark, "enrichment", lambda sink, cp: st.start_alert_enrichment(raw, sink, cp))
     enriched = records.where(F.col("topic").isin(S.ENRICHED_TOPIC, S.NARCOTICS_TOPIC))
-    return enriched.select("topic", "key", *map(_field, _ENRICHED_FIELDS))
+    return _parsed(
+        enriched,
+        "alertId string, gtin string, alertType string, severity string, issuedAt string, "
+        "productName string, manufacturer string, narcoticsCategory string, narcotic string, "
+        "severityLabel string",
+    )
 
 
 def stream_alert_dead_letters(spark, sf):
     raw = _products(spark, sf).unionByName(_alerts(spark, sf))
     records = _run(spark, "enrichment", lambda sink, cp: st.start_alert_enrichment(raw, sink, cp))
     letters = records.where(F.col("topic").startswith(S.DLQ_PREFIX))
-    return letters.select("topic", "key", _field("errorType"), _field("errorMessage"))
+    return _parsed(letters, "errorType string, errorMessage string")
 
 
 def stream_price_surges(spark, sf):
     raw = _products(spark, sf).unionByName(_updates(spark, sf))
     records = _run(spark, "surges", lambda sink, cp: st.start_price_surges(raw, sink, cp))
     surges = records.where(F.col("topic") == S.SURGE_TOPIC)
-    numbers = ["previousPublicPriceCHF", "newPublicPriceCHF", "changePercent"]
-    return surges.select(
-        "key", *map(_field, ["gtin", "changeReason", "effectiveDate"]),
-        *[_field(n).cast("double").alias(n) for n in numbers],
-    )
+    return _parsed(
+        surges,
+        "gtin string, changeReason string, effectiveDate string, previousPublicPriceCHF double, "
+        "newPublicPriceCHF double, changePercent double",
+    ).drop("topic")
 
 
 def stream_alert_frequency(spark, sf):
@@ -143,11 +143,11 @@ def stream_catalogue_admission(spark, sf):
     raw = _changelog(spark, sf)
     records = _run(spark, "admission", lambda sink, cp: st.start_catalogue_admission(
         raw, sink, cp, ACCEPTED_TOPIC))
-    return records.select(
-        "topic", "key", _field("marketingStatus"), _field("publicPriceCHF").cast("double").alias(
-            "publicPriceCHF"), _field("errorMessage"),
-        F.get_json_object("value", "$.context.validationRule").alias("validationRule"),
-    )
+    return _parsed(
+        records,
+        "marketingStatus string, publicPriceCHF double, errorMessage string, "
+        "context map<string,string>",
+    ).withColumn("validationRule", F.col("context")["validationRule"]).drop("context")
 
 
 def stream_catalogue_verdicts(spark, sf):
