@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import rxvigil
+
 # Settings the operators rely on; all can be changed on a running session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,11 +16,18 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Long texts fill an Arrow batch long before its row limit does.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators rely on to an existing session."""
+    """Apply the settings the operators rely on to an existing session.
+
+    Functions of this package travel to the Python workers by value, so a worker need not
+    find the package on its own path.
+    """
+    cloudpickle.register_pickle_by_value(rxvigil)
     for name, value in RUNTIME_CONF.items():
         spark.conf.set(name, value)
     return spark
@@ -27,20 +36,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    A session without that setting uses a folder below its warehouse, which is shared as well.
     """
     context = spark.sparkContext
     folder = (
         context.getConf().get("spark.checkpoint.dir")
         or spark.conf.get("spark.checkpoint.dir", None)
         or context.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     )
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="rxvigil-"))
-    return context.getCheckpointDir().rstrip("/")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
