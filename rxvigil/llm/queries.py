@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxvigil.llm import decontamination, packing, sharding
+from rxvigil.llm import decontamination, packing, sharding, simhash, toxicity
 from rxvigil.session import written_table
 
 
@@ -20,11 +20,34 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(_table(spark, sf_dir, "documents"), shingle=3, threshold=2)
+    return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), byte_bpe())
     return pieces.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
 
 
+def quarter(key: str = "doc_id"):
+    """crc32 of the key as text, modulo 4; rows with 2 are held out, those with 3 calibrate."""
+    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic", (quarter() == 3).alias("calibrates"))
+    model = toxicity.fit(docs, labels.filter(quarter() != 2))
+    return toxicity.apply(docs, model, carry=["doc_id"]).select(
+        "doc_id",
+        F.coalesce(quarter() == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_by_bytes(docs).select(
@@ -55,7 +78,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
+    "op5_toxicity": op5_toxicity,
     "op8_sharding": op8_sharding,
     "op10_decontamination": op10_decontamination,
 }
