@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxvigil.llm import decontamination, packing, sharding, simhash, toxicity
+from rxvigil.llm import decontamination, licences, neighbours, packing, sharding, simhash, toxicity
 from rxvigil.session import written_table
 
 
@@ -48,6 +48,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_by_bytes(docs).select(
@@ -61,6 +65,29 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    base = F.filter("places", lambda p: p["base"])
+
+    def labels(places):
+        return F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))))
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda p: p["first"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda p: p["first"])).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("places")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("places", lambda p: p["similarity"])), F.lit(0.0)).alias("score"),
+        F.transform(
+            F.filter("places", lambda p: ~p["base"]),
+            lambda p: F.struct(p["label"].alias("label"), p["first"].alias("first"), p["past"].alias("past"), p["errors"].alias("errors")),
+        ).alias("notices"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = written_table(decontamination.build_index(_table(spark, sf_dir, "documents")), "positional-index")
     found = decontamination.search(index, _table(spark, sf_dir, "benchmark"))
@@ -81,7 +108,9 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_neighbours": op6_neighbours,
     "op8_sharding": op8_sharding,
+    "op9_licences": op9_licences,
     "op10_decontamination": op10_decontamination,
 }
 
