@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxvigil.llm import decontamination, licences, neighbours, packing, sharding, simhash, toxicity
+from rxvigil.llm import decontamination, licences, neighbours, packing, passages, sharding, simhash, toxicity
 from rxvigil.session import written_table
 
 
@@ -30,6 +30,25 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found, classes = passages.repeated_passages(docs)
+
+    def names(side: str, alias: str) -> DataFrame:
+        return classes.select(F.col("text_hash").alias(f"text_{side}"), F.col("class_id").alias(alias))
+
+    pairs = found.join(names("a", "other_doc_id"), "text_a").join(names("b", "doc_id"), "text_b").select(
+        "doc_id", "other_doc_id", "first_b", "past_b", "first_a", "past_a", "n_same", "similarity", F.lit(False).alias("copy")
+    )
+    many = classes.filter((F.col("n_copies") > 1) & (F.col("n_words") >= passages.Settings.least))
+    copies = docs.select("doc_id", passages.text_hash("text").alias("text_hash")).join(many, "text_hash")
+    zero, words = F.lit(0), F.col("n_words")
+    copies = copies.filter(F.col("doc_id") != F.col("class_id")).select(
+        "doc_id", "class_id", zero, words, zero, words, words, F.lit(1.0), F.lit(True)
+    )
+    return pairs.union(copies)
+
+
 def quarter(key: str = "doc_id"):
     """crc32 of the key as text, modulo 4; rows with 2 are held out, those with 3 calibrate."""
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4))
@@ -107,6 +126,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
+    "op4_passages": op4_passages,
     "op5_toxicity": op5_toxicity,
     "op6_neighbours": op6_neighbours,
     "op8_sharding": op8_sharding,
