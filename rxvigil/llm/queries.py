@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxvigil.llm import decontamination, licences, neighbours, packing, passages, sharding, simhash, toxicity
+from rxvigil.llm import (
+    decontamination, licences, lm_scoring, neighbours, packing, passages, quality, sharding, simhash, toxicity,
+)
 from rxvigil.session import written_table
 
 
@@ -20,6 +22,11 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = _table(spark, sf_dir, "labels").filter("quality = 1")
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), targets)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(_table(spark, sf_dir, "documents"), shingle=3, threshold=2)
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
@@ -71,6 +78,13 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many documents are drawn as, by the labels, are good."""
+    labels = _table(spark, sf_dir, "labels")
+    share = labels.agg(F.avg("quality")).first()[0] or 0.0
+    return quality.resample(_table(spark, sf_dir, "documents"), labels.filter("quality = 1"), share)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_by_bytes(docs).select(
@@ -124,11 +138,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
     "op4_passages": op4_passages,
     "op5_toxicity": op5_toxicity,
     "op6_neighbours": op6_neighbours,
+    "op7_quality": op7_quality,
     "op8_sharding": op8_sharding,
     "op9_licences": op9_licences,
     "op10_decontamination": op10_decontamination,
