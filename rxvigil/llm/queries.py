@@ -61,15 +61,23 @@ def quarter(key: str = "doc_id"):
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4))
 
 
+TOXIC_FROM = 0.3
+
+
+def toxicity_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels that may be learnt from, with the mark of those that calibrate."""
+    labels = _table(spark, sf_dir, "labels").filter(quarter() != 2)
+    return labels.select("doc_id", "toxic", (quarter() == 3).alias("calibrates"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic", (quarter() == 3).alias("calibrates"))
-    model = toxicity.fit(docs, labels.filter(quarter() != 2))
+    model = toxicity.fit(docs, toxicity_labels(spark, sf_dir))
     return toxicity.apply(docs, model, carry=["doc_id"]).select(
         "doc_id",
         F.coalesce(quarter() == 2, F.lit(False)).alias("held_out"),
         "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
         "evidence",
     )
 

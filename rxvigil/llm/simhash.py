@@ -161,17 +161,35 @@ def components(
     """
     wanted = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     printed = written_table(fingerprints(wanted, shingle, carry=["doc_id"]), "fingerprints")
-    distinct = written_table(printed.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = connected_components(written_table(links(distinct, threshold), "near-links"))
-    rooted = distinct.join(roots, distinct.fingerprint == roots.node, "left").select(
-        "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
-    )
-    rooted = written_table(rooted, "rooted")
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fingerprint", "component_id")
+    named = _rooted(printed.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), threshold)
+    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = named.join(smallest, "root").select("fingerprint", "component_id")
     return printed.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def keep_one(docs: DataFrame, shingle: int = 3, threshold: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that represent their component: the one with the smallest key, null keys last.
+
+    Ties between rows of the same key go to a hash of the whole row; rows equal in every column are one document.
+    """
+    row = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    identified = docs.withColumns({"__key": F.col(key), "__row": row})
+    printed = written_table(fingerprints(identified, shingle, text, carry=["__key", "__row"]), "fingerprints")
+    order = F.struct(F.col("__key").isNull().alias("no_key"), "__key", "__row")
+    named = _rooted(printed.groupBy("fingerprint").agg(F.min(order).alias("least")), threshold)
+    chosen = written_table(named.groupBy("root").agg(F.min("least").alias("least")).select("least.__key", "least.__row"), "kept-rows")
+    same = identified["__row"].eqNullSafe(chosen["__row"]) & identified["__key"].eqNullSafe(chosen["__key"])
+    return identified.join(chosen, same, "left_semi").dropDuplicates(["__key", "__row"]).select(docs.columns)
+
+
+def _rooted(distinct: DataFrame, threshold: int) -> DataFrame:
+    """``distinct``, one row a fingerprint, with ``root``, which the fingerprints of a component share."""
+    distinct = written_table(distinct, "distinct-fingerprints")
+    roots = connected_components(written_table(links(distinct, threshold), "near-links"))
+    rooted = distinct.join(roots, distinct.fingerprint == roots.node, "left").drop("node")
+    return written_table(rooted.withColumn("root", F.coalesce("root", "fingerprint")), "rooted-fingerprints")
+
+
 def hex_digits(name: str = "fingerprint"):
     """The fingerprint as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(name), 16, "0"))
