@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxvigil.llm.words import in_blocks, plain_words, rows_of
+from rxvigil.session import written_table
 
 SEGMENTS = "segment long, doc_ids array<long>, starts binary, terms binary, ends binary, places binary"
 SPAN = "struct<first:int,past:int>"
@@ -84,6 +85,8 @@ def search(
     total = benchmark.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     passes = max(1, -(-total // slice_bytes))
     items = benchmark.select(F.col(item).cast("string"), F.col(text).cast("string").cast("binary"))
+    if passes > 1:
+        index = written_table(index, "positional-index")  # a segment's number is told by the task that makes it
     number = F.pmod(F.xxhash64(*items.columns), F.lit(passes))
     found = None
     for nth in range(passes):
