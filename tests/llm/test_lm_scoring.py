@@ -1,0 +1,67 @@
+import math
+import random
+from collections import Counter
+
+from rxvigil.llm import lm_scoring, queries
+from tests.llm.samples import awkward, awkward_rng, frame, prose, rows
+from tests.llm.test_decontamination import words
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(given, targets, pull=20.0):
+    """Losses from plain counters; bigrams are not hashed."""
+    sums = {True: [Counter(), Counter(), Counter()], False: [Counter(), Counter(), Counter()]}
+    for key, text in given:
+        own = words(text)
+        for model in [sums[False]] + [sums[True]] * (key in targets):
+            model[0].update(own)
+            model[1].update([None, *own[:-1]] if own else [])
+            model[2].update(zip([None, *own[:-1]], own))
+    size = len(sums[False][0]) + 1
+    mass = sums[True][0].total()
+    out = []
+    for key, text in given:
+        own, losses = words(text), []
+        for model in (sums[True], sums[False]):
+            scale = mass / model[0].total()
+            loss = [
+                -math.log2(
+                    (model[2][v, w] * scale + pull * (model[0][w] * scale + 1) / (mass + size)) / (model[1][v] * scale + pull)
+                )
+                for v, w in zip([None, *own[:-1]], own)
+            ]
+            losses.append(sum(loss) / len(own) if own else 0.0)
+        out.append((str(key), len(own), *losses))
+    return sorted(out)
+
+
+def test_losses_equal_brute_force(spark):
+    rng = random.Random(8)
+    given = awkward(awkward_rng())[:-3] + [(100 + i, prose(rng, 30)) for i in range(30)]
+    targets = {4, 100, 101, 102, None}
+    keys = spark.createDataFrame([(k,) for k in targets], "doc_id long")
+    settings = lm_scoring.Settings(buckets=1 << 22)  # so many that hardly any bigrams meet
+    found = rows(lm_scoring.score(frame(spark, given), keys, settings))
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["target_loss"], r["background_loss"]) for r in found)
+    for one, two in zip(got, brute(given, targets - {None})):
+        assert one[:2] == two[:2]
+        assert all(math.isclose(a, b, rel_tol=1e-3, abs_tol=1e-3) for a, b in zip(one[2:], two[2:]))
+    assert all(math.isclose(r["difference"], r["target_loss"] - r["background_loss"], abs_tol=1e-9) for r in found)
+
+
+def test_the_query_tells_good_from_bad(spark):
+    found = {r["doc_id"]: r["difference"] for r in rows(queries.op1_lm_scoring(spark, SF))}
+    assert len(found) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    labels = [(found[r.doc_id], r.quality) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()]
+    good, bad = ([d for d, q in labels if q == y] for y in (1, 0))
+    wins = sum((g < b) + (g == b) / 2 for g in good for b in bad)
+    assert wins / len(good) / len(bad) > 0.85
+
+
+def test_no_targets_clashes_and_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long")
+    clash = frame(spark, [(1, "a b c"), (2, None), (2, None)]).selectExpr("*", "1 AS n_tokens", "2 AS key", "3 AS words")
+    found = rows(lm_scoring.score(clash, none))
+    assert sorted((r["doc_id"], r["n_tokens"], r["difference"]) for r in found) == [(1, 3, 0.0), (2, 0, 0.0), (2, 0, 0.0)]
+    assert rows(lm_scoring.score(clash.limit(0), none)) == []

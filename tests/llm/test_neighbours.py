@@ -1,0 +1,79 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from rxvigil.llm import neighbours, queries
+from tests.llm.samples import rows
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(vectors, wanted, k):
+    """Nearest rows in double precision; ties by id."""
+    ids = np.array([i for i, _ in vectors])
+    points = np.array([v for _, v in vectors], np.float32).astype(np.float64)
+    out = {}
+    for query in wanted:
+        own = points[np.flatnonzero(ids == query)[0]]
+        score = np.sqrt(((points - own) ** 2).sum(1))
+        order = [i for i in np.lexsort((ids, score)) if ids[i] != query][:k]
+        out[query] = [(int(ids[i]), float(score[i])) for i in order]
+    return out
+
+
+def by_query(found):
+    out = {}
+    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+        assert r["rank"] == len(out.setdefault(r["query_id"], [])) + 1
+        out[r["query_id"]].append((r["vec_id"], r["score"]))
+    return out
+
+
+def test_recall_of_the_query(spark):
+    table = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    want = brute(table, [i for i, _ in table if i % 100 == 0], 10)
+    found = by_query(rows(queries.op6_neighbours(spark, SF)))
+    assert set(found) == set(want)
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want)
+    exact = {q: dict(brute(table, [q], len(table))[q]) for q in want}
+    assert all(math.isclose(s, exact[q][i], rel_tol=1e-12) for q, near in found.items() for i, s in near)
+
+
+def test_recall_with_many_lists(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 16))
+    table = [(i, (centres[i % 40] + 0.4 * rng.normal(size=16)).tolist()) for i in range(4000)]
+    want = brute(table, range(0, 4000, 100), 10)
+    settings = neighbours.Settings(list_rows=50, rows_at_once=64, queries_at_once=2)
+    frame = spark.createDataFrame(table, SCHEMA)
+    found = by_query(rows(neighbours.search(frame, F.col("vec_id") % 100 == 0, settings=settings)))
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want)
+
+
+def test_ties_hot_vectors_and_repeated_rows(spark):
+    table = [(i, [1.0, 2.0, 3.0]) for i in range(300)] + [(i, [float(i), 1.0, -1.0]) for i in range(300, 340)]
+    frame = spark.createDataFrame(table + table[:50], SCHEMA)
+    found = by_query(rows(neighbours.search(frame, F.col("vec_id") % 100 == 0, settings=neighbours.Settings(list_rows=20))))
+    assert [i for i, _ in found[0]] == list(range(1, 11)) and [i for i, _ in found[100]] == list(range(10))
+    assert {s for _, s in found[0]} == {0.0}
+
+
+def test_unusable_vectors_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    bad = [None, [], [0.0, 0.0], [1.0, None], [nan, 1.0], [inf, 1.0], [-inf, 0.0], [1.0, 2.0, 3.0]]
+    table = [(100 * i, v) for i, v in enumerate(bad)] + [(None, [5.0, 5.0])] + [(10_000 + 100 * i, [1.0, float(i)]) for i in range(4)]
+    found = by_query(rows(neighbours.search(spark.createDataFrame(table, SCHEMA), F.col("vec_id") % 100 == 0)))
+    assert set(found) == {10_000, 10_100, 10_200, 10_300}
+    assert all(len(near) == 3 and all(i >= 10_000 for i, _ in near) for near in found.values())
+    assert [i for i, _ in found[10_100]] == [10_000, 10_200, 10_300]
+
+
+def test_few_rows_clashes_and_empty_tables(spark):
+    one = spark.createDataFrame([(100, [1.0])], SCHEMA).selectExpr("*", "1 AS rank", "2 AS query", "'x' AS `list`")
+    assert rows(neighbours.search(one, F.col("vec_id") % 100 == 0)) == []
+    assert rows(neighbours.search(one.limit(0), F.col("vec_id") % 100 == 0)) == []
+    assert rows(neighbours.search(one, F.lit(False))) == []
