@@ -25,7 +25,11 @@ EVIDENCE = "array<struct<example:long,label:int,cosine:double>>"
 
 @dataclass
 class Settings:
-    """Bounds of the fitted part: example texts a class, texts to calibrate with, terms, neighbours, block size."""
+    """Bounds of the fitted part: example texts a class, texts to calibrate with, terms, neighbours, block size.
+
+    A term must stand in ``least_texts`` examples and reach ``chi2``, which keeps chance finds out although some
+    hundred thousand terms are tested.
+    """
 
     per_class: int = 2000
     to_calibrate: int = 6000
@@ -33,7 +37,7 @@ class Settings:
     nearest: int = 15
     block: int = 64
     least_texts: int = 3
-    chi2: float = 16.0
+    chi2: float = 25.0
 
 
 def _features(word: bytes) -> list[bytes]:
@@ -261,16 +265,18 @@ class Model:
         for _, label, _, ids, weights in rows:
             near = self.index.nearest(ids, weights, self.k)
             voted.append((self.vote(near), label)) if near else bare.append(label)
-        steps: list[list[float]] = []  # votes' sum, labels' sum, rows
+        steps: list[tuple] = []  # first and last vote, labels' sum, rows
         for vote, label in sorted(voted):
-            steps.append([vote, label, 1])
-            while len(steps) > 1 and steps[-2][1] * steps[-1][2] >= steps[-1][1] * steps[-2][2]:
-                last = steps.pop()
-                steps[-1] = [x + y for x, y in zip(steps[-1], last)]
-        votes = np.array([s[0] / s[2] for s in steps])
-        rates = np.array([(s[1] + 0.5) / (s[2] + 1) for s in steps])
+            step = (vote, vote, label, 1)
+            while steps and steps[-1][2] * step[3] >= step[2] * steps[-1][3]:
+                first, _, labels, rows_ = steps.pop()
+                step = (first, step[1], labels + step[2], rows_ + step[3])
+            steps.append(step)
+        # Between two steps the rate goes over from one to the other.
+        votes = np.array([v for step in steps for v in step[:2]])
+        rates = np.maximum.accumulate(np.array([(s[2] + 0.5) / (s[3] + 1) for s in steps for _ in range(2)] or [0.0]))
         rate = (sum(bare) + 0.5) / (len(bare) + 1)
-        return Model(self.number, self.idf, self.index, self.k, votes, np.maximum.accumulate(rates) if len(rates) else rates, rate)
+        return Model(self.number, self.idf, self.index, self.k, votes, rates, rate)
 
 
 def _terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
