@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxvigil.operators.skew import ONE_TASK_BYTES, ROWS_PER_TASK, ordered_slices
+from rxvigil.operators.skew import ROWS_PER_TASK, ordered_slices
 
 _TABLE, _EVENT = 0, 1
-_NULL_LANES = 4096
 
 
 def asof_join(
@@ -22,12 +21,12 @@ def asof_join(
     table_order: tuple[str, str] = ("ts", "offset"),
     delete: str = "is_delete",
     rows_per_task: int = ROWS_PER_TASK,
-    one_task_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     """Add ``columns`` of the newest ``changelog`` row of the same key at or before each event.
 
     Equal times count as "table first". A delete, like a missing row, gives nulls; ``matched``
-    tells the two outcomes apart from a found row. Events with a null key match nothing.
+    tells the two outcomes apart from a found row. Events with a null key match nothing and
+    never enter the shuffle.
 
     Both inputs go through one shuffle on the key and one ordered scan. The history of a heavy
     key is cut into consecutive slices; a slice starts from the last table row before it.
@@ -39,21 +38,16 @@ def asof_join(
     )
     # The event's columns stay top-level, so those nobody reads are pruned before the shuffle.
     payload = {f"event_{i}": f for i, f in enumerate(events.schema.fields)}
-    # Null keys are spread by time and position, so that many of them do not share a task.
-    spread_by = [event_time, *(c for c in ("partition", "offset") if c in events.columns)]
-    lane = F.when(F.col(key).isNull(), 1 + F.pmod(F.xxhash64(*spread_by), F.lit(_NULL_LANES)))
     table_side = changelog.where(F.col(key).isNotNull()).select(
         F.col(key).alias("asof_key"),
-        F.lit(0).cast("long").alias("asof_lane"),
         F.col(table_time).alias("asof_time"),
         F.lit(_TABLE).alias("asof_side"),
         F.col(table_offset).cast("long").alias("asof_offset"),
         entry.alias("entry"),
         *[F.lit(None).cast(f.dataType).alias(alias) for alias, f in payload.items()],
     )
-    event_side = events.select(
+    event_side = events.where(F.col(key).isNotNull()).select(
         F.col(key).alias("asof_key"),
-        F.coalesce(lane, F.lit(0)).cast("long").alias("asof_lane"),
         F.col(event_time).alias("asof_time"),
         F.lit(_EVENT).alias("asof_side"),
         # Events do not see each other; their own order among equal times is irrelevant.
@@ -61,10 +55,10 @@ def asof_join(
         F.lit(None).cast(table_side.schema["entry"].dataType).alias("entry"),
         *[F.col(f.name).alias(alias) for alias, f in payload.items()],
     )
-    groups = ["asof_key", "asof_lane"]
+    groups = ["asof_key"]
     order = ["asof_time", "asof_side", "asof_offset"]
     merged = table_side.unionByName(event_side)
-    whole, sliced = ordered_slices(merged, groups, order, rows_per_task, one_task_bytes)
+    whole, sliced = ordered_slices(merged, groups, order, rows_per_task)
 
     def seen(rows: DataFrame, parts: list[str]) -> DataFrame:
         up_to_here = (
@@ -83,11 +77,17 @@ def asof_join(
         )
 
     found = F.col("seen").isNotNull() & ~F.col("seen.gone")
-    return result.select(
+    keyed = result.select(
         *[F.col(alias).alias(f.name) for alias, f in payload.items()],
         *[F.when(found, F.col("seen.value")[c]).alias(c) for c in columns],
         found.alias("matched"),
     )
+    keyless = events.where(F.col(key).isNull()).select(
+        *events.columns,
+        *[F.lit(None).cast(changelog.schema[c].dataType).alias(c) for c in columns],
+        F.lit(False).alias("matched"),
+    )
+    return keyed.unionByName(keyless)
 
 
 def _carried_entries(sliced: DataFrame, groups: list[str], order: list[str]) -> DataFrame:

@@ -28,12 +28,9 @@ from rxvigil.functions import is_blank, json_record, less_than, transition_allow
 from rxvigil.operators.deadletter import envelope_struct, letter, output_record
 from rxvigil.operators.latest import latest_by_key
 from rxvigil.operators.lookup import lookup_join
-from rxvigil.operators.skew import ONE_TASK_BYTES, ROWS_PER_TASK, ordered_slices
+from rxvigil.operators.skew import ROWS_PER_TASK, ordered_slices
 
 OK, TOMBSTONE = "OK", "TOMBSTONE"
-# Rows already decided by a stateless rule are spread over this many groups per key, so a
-# third of all rows sharing a blank key still lands on many tasks.
-_DECIDED_LANES = 4096
 
 
 def check_rules(changelog: DataFrame, key: str = "key") -> DataFrame:
@@ -84,7 +81,6 @@ def validate_catalogue(
     order_by: Sequence[str] = ("ts", "offset"),
     statuses: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
-    one_task_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     """Every changelog row with ``verdict``, ``message`` and ``priorStatus``.
 
@@ -92,22 +88,27 @@ def validate_catalogue(
     (``marketingStatus``) some keys already have before this changelog, one row per key.
 
     One shuffle on the key and one ordered scan; the history of a heavy key is cut into slices
-    that run in parallel.
+    that run in parallel. Rows that a stateless rule decides stay out of the shuffle.
     """
     ruled = check_rules(changelog, key).withColumn("status", _status())
+    # Rows broken by a stateless rule never touch the status, nor do deletes without a usable
+    # key, since nothing is ever accepted under one.
+    decided = F.col("rule").isNotNull() | F.col(key).isNull() | is_blank(key)
+    stateless = ruled.where(decided).select(
+        *changelog.columns,
+        F.when(_is_delete(), TOMBSTONE).otherwise(F.col("rule")).alias("verdict"),
+        "message",
+        F.lit(None).cast("string").alias("priorStatus"),
+    )
+    judged = ruled.where(~decided)
     if statuses is None:
-        ruled = ruled.withColumn("entry", F.lit(None).cast("string"))
+        judged = judged.withColumn("entry", F.lit(None).cast("string"))
     else:
         held = statuses.select(key, F.col("marketingStatus").alias("entry"))
-        ruled = lookup_join(ruled, held, key, order_by, rows_per_task).drop("matched")
-    # Rows broken by a stateless rule never touch the status: each goes to a group of its own
-    # kind. So do deletes without a usable key, since nothing is ever accepted under one.
-    decided = F.col("rule").isNotNull() | F.col(key).isNull() | is_blank(key)
-    lane = 1 + F.pmod(F.xxhash64(*order_by), F.lit(_DECIDED_LANES))
-    judged = ruled.withColumn("lane", F.when(decided, lane).otherwise(F.lit(0).cast("long")))
+        judged = lookup_join(judged, held, key).drop("matched")
 
-    groups = [key, "lane"]
-    whole, sliced = ordered_slices(judged, groups, order_by, rows_per_task, one_task_bytes)
+    groups = [key]
+    whole, sliced = ordered_slices(judged, groups, order_by, rows_per_task)
     result = _with_prior(whole, groups, _order(order_by))
     if sliced is not None:
         cut = [*groups, "slice"]
@@ -117,26 +118,16 @@ def validate_catalogue(
             _with_prior(entered, cut, _order(order_by)).select(*result.columns)
         )
 
-    prior, rule = F.col("prior"), F.col("rule")
+    prior = F.col("prior")
     illegal = ~transition_allowed(prior, "status")
-    verdict = (
-        F.when(_is_delete(), TOMBSTONE)
-        .when(rule.isNotNull(), rule)
-        .when(illegal, "ILLEGAL_STATUS_TRANSITION")
-        .otherwise(OK)
-    )
+    verdict = F.when(_is_delete(), TOMBSTONE).when(illegal, "ILLEGAL_STATUS_TRANSITION").otherwise(OK)
+    text = F.format_string("Status transition %s → %s is not permitted", prior, F.col("status"))
     return result.select(
         *changelog.columns,
         verdict.alias("verdict"),
-        F.when(
-            F.col("lane") == 0,
-            F.when(
-                illegal & ~_is_delete(),
-                F.format_string("Status transition %s → %s is not permitted", prior, F.col("status")),
-            ),
-        ).otherwise(F.col("message")).alias("message"),
-        F.when((F.col("lane") == 0) & ~_is_delete(), prior).alias("priorStatus"),
-    )
+        F.when(illegal & ~_is_delete(), text).alias("message"),
+        F.when(~_is_delete(), prior).alias("priorStatus"),
+    ).unionByName(stateless)
 
 
 def accepted_catalogue(
@@ -152,6 +143,7 @@ def rejected(verdicts: DataFrame) -> DataFrame:
 
 
 def _rejection_envelope() -> Column:
+    # The processor's name and the context keys of the rejection contract.
     return envelope_struct(
         "VALIDATION",
         F.col("message"),

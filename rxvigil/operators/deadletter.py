@@ -85,17 +85,63 @@ def output_record(topic: Column, key: Column | str, value: Column) -> Column:
 
 def letter(made: Column) -> Column:
     """The dead-letter record of an envelope: topic from its source topic, nulls dropped."""
-    return output_record(
-        dlq_topic(made["originalTopic"]),
-        record_position(made["originalTopic"], made["partition"], made["offset"]),
-        F.to_json(made),
+    # An envelope says "unknown" for a missing topic.
+    source = F.nullif(made["originalTopic"], F.lit("unknown"))
+    return output_record(dlq_topic(source), _position(made), F.to_json(made))
+
+
+def _position(made: Column) -> Column:
+    return record_position(made["originalTopic"], made["partition"], made["offset"])
+
+
+def _bytes(record: Column) -> Column:
+    """Size of a record: key and value."""
+    return sum((F.coalesce(F.octet_length(record[n]), F.lit(0)) for n in ("key", "value")), F.lit(0))
+
+
+_PART_KEY_BYTES = 64 + 12
+
+
+def letters(made: Column, max_bytes: int) -> Column:
+    """The records of an envelope as an array, none of them larger than ``max_bytes``.
+
+    Usually its letter alone. A letter beyond the limit is cut into parts, base64 of its JSON text, which
+    go to the letter's topic with the suffix ``.parts`` and the key ``sha256#n``, n from 0. The letter itself
+    then holds the envelope without payload, message and context, and in the context how to find the
+    parts and to check them. Nothing is lost or shortened, as long as the limit leaves room for a short letter.
+    """
+    whole = letter(made)
+    text = F.translate(F.base64(whole["value"].cast("binary")), "\r\n", "")
+    sha = F.sha2(whole["value"].cast("binary"), 256)
+    size = max(max_bytes - _PART_KEY_BYTES, 1)
+    count = F.ceil(F.length(text) / size).cast("int")
+    parts_topic = F.concat(whole["topic"], F.lit(S.DLQ_PARTS_SUFFIX))
+
+    def part(n: Column) -> Column:
+        return output_record(
+            parts_topic, F.concat(sha, F.lit("#"), n.cast("string")), F.substring(text, n * size + 1, F.lit(size))
+        )
+
+    pointer = F.create_map(
+        F.lit("partsTopic"), parts_topic,
+        F.lit("parts"), count.cast("string"),
+        F.lit("bytes"), F.octet_length(whole["value"]).cast("string"),
+        F.lit("sha256"), sha,
     )
+    dropped = {"errorMessage", "originalKeyBase64", "originalValueBase64"}
+    short = F.struct(*[
+        (pointer if f.name == "context" else F.lit(None).cast(f.dataType) if f.name in dropped else made[f.name]).alias(f.name)
+        for f in S.DLQ_ENVELOPE
+    ])
+    parts = F.transform(F.sequence(F.lit(0), count - 1), part)
+    return F.when(_bytes(whole) <= max_bytes, F.array(whole)).otherwise(F.concat(F.array(letter(short)), parts))
 
 
-def dlq_records(envelopes: DataFrame) -> DataFrame:
-    """Envelope rows as records ``(topic, key, value)``."""
+def dlq_records(envelopes: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES) -> DataFrame:
+    """Envelope rows as records ``(topic, key, value)`` within the size limit."""
     made = F.struct(*[F.col(f.name) for f in S.DLQ_ENVELOPE])
-    return envelopes.select(letter(made).alias("record")).select("record.*")
+    # One look at each envelope: the array is made below the generator.
+    return envelopes.select(F.explode(letters(made, max_bytes)).alias("record")).select("record.*")
 
 
 def split_failures(
@@ -111,7 +157,7 @@ def split_failures(
 
 
 def _oversized(max_bytes: int) -> Column:
-    return F.coalesce(F.octet_length("value"), F.lit(0)) > max_bytes
+    return _bytes(F.struct("key", "value")) > max_bytes
 
 
 def _production_envelope(max_bytes: int) -> Column:
@@ -119,7 +165,7 @@ def _production_envelope(max_bytes: int) -> Column:
     return envelope_struct(
         "PRODUCTION",
         F.format_string(
-            "record of %d bytes exceeds the limit of %d", F.octet_length("value"), F.lit(max_bytes)
+            "record of %d bytes exceeds the limit of %d", _bytes(F.struct("key", "value")), F.lit(max_bytes)
         ),
         exception_class="RecordTooLargeException",
         raw_key="key",
@@ -143,5 +189,5 @@ def guard_output(
 def guard_records(records: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES) -> DataFrame:
     """The records to write, a refused one replaced by its dead letter, in one pass."""
     kept = output_record(F.col("topic"), "key", F.col("value"))
-    record = F.when(_oversized(max_bytes), letter(_production_envelope(max_bytes))).otherwise(kept)
-    return records.select(record.alias("record")).select("record.*")
+    made = F.when(_oversized(max_bytes), letters(_production_envelope(max_bytes), max_bytes)).otherwise(F.array(kept))
+    return records.select(F.explode(made).alias("record")).select("record.*")

@@ -16,17 +16,21 @@ def alert_event_time(alerts: DataFrame, ingest_time: str = "timestamp") -> DataF
 
 
 def window_counts(alerts: DataFrame, window: str = S.WINDOW_DURATION, key: str = "key") -> DataFrame:
-    """Count per (key, window). Partial counts combine map-side, so hot keys stay cheap."""
+    """Count and newest event time per (key, window).
+
+    Partial counts combine map-side, so hot keys stay cheap.
+    """
     counted = (
         alerts.where(F.col(key).isNotNull())
         .groupBy(F.col(key), F.window("ts", window).alias("window"))
-        .agg(F.count("*").alias("count"))
+        .agg(F.count("*").alias("count"), F.max("ts").alias("newest"))
     )
     return counted.select(
         key,
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         "count",
+        "newest",
     )
 
 
@@ -50,7 +54,8 @@ def count_alerts(
     else:
         counts = window_counts(keyed, window, key)
         if final_only:
-            closed_before = keyed.agg(F.max("ts") - F.expr(f"INTERVAL {grace}"))
+            # From the windows, so that the alerts are read once.
+            closed_before = counts.agg(F.max("newest") - F.expr(f"INTERVAL {grace}"))
             counts = counts.where(F.col("window_end") <= closed_before.scalar())
     return counts.where(F.col("count") >= min_count).select(
         window_key(key, "window_start", "window_end").alias("summary_key"),
@@ -66,15 +71,17 @@ def mark_late(
     window: str = S.WINDOW_DURATION,
     grace: str = S.GRACE_PERIOD,
     rows_per_task: int = ROWS_PER_TASK,
+    key: str = "key",
 ) -> DataFrame:
     """Replay arrival order on a table: add ``streamTime`` and ``late``.
 
     Stream time is the newest event time seen so far in the record's partition; an alert is
     late once its window's end plus ``grace`` is at or before it. A partition's log is cut by
     offset into slices of at most ``rows_per_task`` records, so no task holds a whole log.
+    Alerts without a key are never counted: they do not move stream time and are left out.
     """
     log = ["topic", "partition"]
-    sliced = alerts.withColumn("slice", F.floor(F.col("offset") / rows_per_task))
+    sliced = alerts.where(F.col(key).isNotNull()).withColumn("slice", F.floor(F.col("offset") / rows_per_task))
     earlier = Window.partitionBy(*log).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice of a log.
     carried = (

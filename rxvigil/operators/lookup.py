@@ -2,42 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxvigil.operators.skew import ROWS_PER_TASK, heavy_keys, same_keys
-from rxvigil.session import fits_broadcast
-
 
-def lookup_join(
-    events: DataFrame,
-    table: DataFrame,
-    key: str = "key",
-    spread_by: Sequence[str] = ("topic", "partition", "offset"),
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def lookup_join(events: DataFrame, table: DataFrame, key: str = "key") -> DataFrame:
     """``events`` ⟕ ``table`` on ``key``; ``matched`` tells found from missing.
 
-    A table within Spark's broadcast limit is joined without a shuffle. Beyond it both sides
-    shuffle on the key, and the events of a heavy key (null included) are spread by their
-    record position over enough copies of that key's single table row.
+    Spark broadcasts a table within its size limit. Beyond it both sides shuffle on the key,
+    and adaptive execution splits the events of a heavy key, null included, over several tasks.
     """
-    table = table.withColumn("matched", F.lit(True))
-    found = F.coalesce("matched", F.lit(False))
-    if events.isStreaming or fits_broadcast(table):
-        return events.join(table, key, "left").withColumn("matched", found)
-
-    copies = heavy_keys(events, [key], rows_per_task).select(
-        key, F.ceil(F.col("row_count") / rows_per_task).cast("int").alias("copies")
-    )
-    hot = F.broadcast(copies)  # at most total events / rows_per_task rows
-    position = F.xxhash64(*[events[c] for c in spread_by])
-    spread = events.join(hot, same_keys(events, hot, [key]), "left").select(
-        events["*"], F.pmod(position, F.coalesce("copies", F.lit(1))).cast("int").alias("copy")
-    )
-    copied = table.join(hot, key, "left").withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))
-    ).drop("copies")
-    return spread.join(copied, [key, "copy"], "left").drop("copy").withColumn("matched", found)
+    joined = events.join(table.withColumn("matched", F.lit(True)), key, "left")
+    return joined.withColumn("matched", F.coalesce("matched", F.lit(False)))

@@ -8,19 +8,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxvigil.session import planned_bytes, written_table
+from rxvigil.session import written_table
 
 # A key with more rows than this is split over several tasks.
 ROWS_PER_TASK = 4_000_000
-# An input planned to be smaller than this fits one task even if all rows share a key.
-ONE_TASK_BYTES = 256 * 1024 * 1024
 
 
 def heavy_keys(rows: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
     """Keys holding more than ``rows_per_task`` rows, with their ``row_count``.
 
-    Counting combines map-side, so a hot key costs one row per task. The result has at
-    most ``total rows / rows_per_task`` rows, which is what makes it safe to broadcast.
+    Counting combines map-side, so a hot key costs one row per task.
     """
     counts = rows.groupBy(*keys).agg(F.count("*").alias("row_count"))
     return counts.where(F.col("row_count") > rows_per_task)
@@ -36,7 +33,6 @@ def ordered_slices(
     keys: Sequence[str],
     order_by: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
-    one_task_bytes: int = ONE_TASK_BYTES,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Cut the ordered history of each heavy key into consecutive slices.
 
@@ -44,16 +40,14 @@ def ordered_slices(
     the heavy keys with a ``slice`` number that grows along ``order_by``; range partitioning
     keeps slices near ``rows_per_task`` however the order values are distributed. It is
     written once, so every reader sees the same cuts. ``None`` means there is no heavy key.
+    Rows are counted when this is called: one job that reads the keys alone.
     """
-    if planned_bytes(rows) <= one_task_bytes:
-        return rows, None
-    heavy = heavy_keys(rows, keys, rows_per_task)
+    heavy = heavy_keys(rows.select(*keys), keys, rows_per_task)
     heavy_rows = heavy.agg(F.sum("row_count")).first()[0]
     if not heavy_rows:
         return rows, None
     slices = -(-heavy_rows // rows_per_task)
-    # At most total/rows_per_task rows, see heavy_keys.
-    hot = F.broadcast(heavy.select(*keys))
+    hot = heavy.select(*keys)
     match = same_keys(rows, hot, keys)
     sliced = (
         rows.join(hot, match, "left_semi")

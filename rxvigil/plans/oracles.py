@@ -79,7 +79,7 @@ _LATE = """marked AS (
   SELECT *, max(ts) OVER (PARTITION BY "partition" ORDER BY "offset") AS "streamTime",
     time_bucket(INTERVAL '60 minutes', ts, TIMESTAMP '1970-01-01') + INTERVAL '70 minutes'
       <= max(ts) OVER (PARTITION BY "partition" ORDER BY "offset") AS late
-  FROM v_delayed_alerts),
+  FROM v_delayed_alerts WHERE key IS NOT NULL),
 on_time AS (SELECT * FROM marked WHERE NOT late)"""
 
 _RULES = """ruled AS (
@@ -133,6 +133,7 @@ judged AS (
     THEN 'Status transition ' || "priorStatus" || ' → ' || "marketingStatus" || ' is not permitted'
     ELSE rule_message END AS message FROM verdicts)"""
 
+_OVERSIZED = f"strlen(key) + strlen(value) > {DOCUMENT_LIMIT_BYTES}"
 _REJECTED = "verdict NOT IN ('OK', 'TOMBSTONE')"
 
 
@@ -160,7 +161,7 @@ def _b64(text: str) -> str:
 
 
 _DLQ_ALERTS = "'hci.dlq.drug-alerts.avro'"
-_BAD = "\"offset\" % 50 = 0"
+_BAD = "\"offset\" % 50 IN (0, 1, 2)"
 _REJECTION = _envelope("VALIDATION", "message", processor="'ProductCatalogueProcessor'")
 
 
@@ -288,13 +289,20 @@ SELECT key, "offset", "newPublicPriceCHF" / "previousPublicPriceCHF" AS "priceRa
 FROM v_price_updates WHERE "previousPublicPriceCHF" <> 0"""),
     "output_guard": _with("v_output", select=f"""
 SELECT {_envelope('PRODUCTION',
-                  f"'record of ' || strlen(value) || ' bytes exceeds the limit of {DOCUMENT_LIMIT_BYTES}'",
+                  f"'record of ' || (strlen(key) + strlen(value)) || ' bytes exceeds the limit of {DOCUMENT_LIMIT_BYTES}'",
                   partition='-1', offset='CAST(-1 AS BIGINT)', exception="'RecordTooLargeException'",
                   key=_b64('key'), value=_b64('value'))},
   'hci.dlq.alerts.enriched.avro' AS "dlqTopic"
-FROM v_output WHERE strlen(value) > {DOCUMENT_LIMIT_BYTES}"""),
+FROM v_output WHERE {_OVERSIZED}"""),
     "output_accepted": _with("v_output", select=f"""
-SELECT topic, key, value FROM v_output WHERE strlen(value) <= {DOCUMENT_LIMIT_BYTES}"""),
+SELECT topic, key, value FROM v_output WHERE NOT {_OVERSIZED}"""),
+    "dlq_parts": _with("v_output", select=f"""
+SELECT key AS record, {_b64("key")} AS "originalKeyBase64", {_b64("value")} AS "originalValueBase64", true AS fits,
+  true AS intact
+FROM v_output WHERE {_OVERSIZED}"""),
+    "dlq_unknown_topic": _with("v_raw", select=f"""
+SELECT 'hci.dlq.unknown.v1' AS topic, 'unknown/-1/-1' AS key, 'malformed value' AS "errorMessage",
+  {_b64('key')} AS "originalKeyBase64" FROM v_raw WHERE {_BAD}"""),
     "dlq_error_counts": _with(
         "v_raw v_alerts v_catalogue v_product_changelog v_price_updates v_output",
         _RULES, _FOLD, recursive=True, select=f"""
@@ -307,41 +315,58 @@ SELECT * FROM (
   UNION ALL SELECT 'hci.dlq.price-updates.avro', 'PROCESSING', count(*) FROM v_price_updates
   WHERE "previousPublicPriceCHF" = 0
   UNION ALL SELECT 'hci.dlq.alerts.enriched.avro', 'PRODUCTION', count(*) FROM v_output
-  WHERE strlen(value) > {DOCUMENT_LIMIT_BYTES}) t WHERE records > 0"""),
+  WHERE {_OVERSIZED}) t WHERE records > 0"""),
 }
 
-# -- streaming runs: the wire carries milliseconds, and alerts without a severity are refused --
+# -- streaming runs: the tables arrive in batches, the wire carries milliseconds, and alerts without a
+# severity are refused --
 
 _WIRE_ALERTS = """wire_alerts AS (
   SELECT * REPLACE (date_trunc('milliseconds', ts) AS ts, date_trunc('milliseconds', "issuedByUtc") AS "issuedByUtc")
-  FROM v_alerts WHERE severity IS NOT NULL)"""
-_WIRE_ENRICHED = _ENRICHED.replace("FROM v_alerts a", "FROM wire_alerts a")
+  FROM v_alerts_in_batches WHERE severity IS NOT NULL)"""
+_WIRE_ENRICHED = _ENRICHED.replace("FROM v_alerts a", "FROM wire_alerts a").replace(
+    "v_catalogue c ON a.key = c.key", "v_catalogue_in_batches c ON a.key = c.key AND c.arrives <= a.arrives"
+)
 _WIRE_FIELDS = f"""key, "alertId", gtin, "alertType", severity, {_iso('"issuedAt"')} AS "issuedAt", "productName",
   manufacturer, "narcoticsCategory", CAST(narcotic AS VARCHAR) AS narcotic,
   "severityLabel" AS "severityLabel" """
+# Alerts whose window was not closed by what earlier batches brought.
+_PUNCTUAL = """newest AS (
+  SELECT a.arrives, max(e.ts) AS seen FROM (SELECT DISTINCT arrives FROM wire_alerts) a
+  LEFT JOIN wire_alerts e ON e.arrives < a.arrives GROUP BY 1),
+punctual AS (
+  SELECT w.* FROM wire_alerts w JOIN newest n ON w.arrives = n.arrives
+  WHERE n.seen IS NULL OR
+    time_bucket(INTERVAL '60 minutes', w.ts, TIMESTAMP '1970-01-01') + INTERVAL '70 minutes' > n.seen)"""
+_BATCH_RULES = _RULES.replace("v_product_changelog", "v_changelog_in_batches")
+_BATCH_FOLD = _FOLD.replace('ORDER BY ts, "offset") AS rn', 'ORDER BY arrives, ts, "offset") AS rn')
 
 ORACLES.update({
     "stream_enriched_alerts": _with(
-        "v_alerts v_catalogue", _WIRE_ALERTS, _WIRE_ENRICHED, select=f"""
+        "v_alerts_in_batches v_catalogue_in_batches", _WIRE_ALERTS, _WIRE_ENRICHED, select=f"""
 SELECT 'hci.alerts.enriched.avro' AS topic, {_WIRE_FIELDS} FROM enriched WHERE matched
 UNION ALL
 SELECT 'hci.alerts.narcotics.avro' AS topic, {_WIRE_FIELDS} FROM enriched WHERE matched AND narcotic"""),
-    "stream_alert_dead_letters": _with("v_alerts v_catalogue", select=f"""
+    "stream_alert_dead_letters": _with("v_alerts_in_batches v_catalogue_in_batches", select=f"""
 SELECT {_DLQ_ALERTS} AS topic, topic || '/' || "partition" || '/' || "offset" AS key,
   CASE WHEN severity IS NULL THEN 'DESERIALIZATION' ELSE 'VALIDATION' END AS "errorType",
   CASE WHEN severity IS NULL THEN 'missing required field severity'
     ELSE 'no product for GTIN ' || key END AS "errorMessage"
-FROM v_alerts a
-WHERE severity IS NULL OR NOT EXISTS (SELECT 1 FROM v_catalogue c WHERE c.key = a.key)"""),
+FROM v_alerts_in_batches a
+WHERE severity IS NULL OR NOT EXISTS (
+  SELECT 1 FROM v_catalogue_in_batches c WHERE c.key = a.key AND c.arrives <= a.arrives)"""),
     "stream_price_surges": _with("v_price_updates v_catalogue", _CHANGES, _SURGES, select=f"""
 SELECT key, gtin, "changeReason", {_iso('"effectiveDate"')} AS "effectiveDate",
   "previousPublicPriceCHF", "newPublicPriceCHF", "changePercent" FROM surges"""),
     "stream_alert_frequency": _with(
-        "v_alerts", _WIRE_ALERTS, _WINDOWS.format(source="wire_alerts"),
+        "v_alerts_in_batches", _WIRE_ALERTS, _PUNCTUAL, _WINDOWS.format(source="punctual"),
         f"closed AS ({_CLOSED.format(source='wire_alerts')})",
-        select="""SELECT 'hci.products.alert-summary.avro' AS topic, summary_key, "count" FROM closed"""),
+        select=f"""SELECT 'hci.products.alert-summary.avro' AS topic, summary_key AS key, "count" FROM closed
+UNION ALL
+SELECT {_DLQ_ALERTS}, topic || '/' || "partition" || '/' || "offset", NULL FROM v_alerts_in_batches
+WHERE severity IS NULL"""),
     "stream_catalogue_admission": _with(
-        "v_product_changelog", _RULES, _FOLD, recursive=True, select=f"""
+        "v_changelog_in_batches", _BATCH_RULES, _BATCH_FOLD, recursive=True, select=f"""
 SELECT 'catalogue.accepted' AS topic, key,
   CASE WHEN verdict = 'OK' THEN "marketingStatus" END AS "marketingStatus",
   CASE WHEN verdict = 'OK' THEN "publicPriceCHF" END AS "publicPriceCHF",
@@ -350,6 +375,7 @@ FROM judged WHERE NOT ({_REJECTED})
 UNION ALL
 SELECT 'hci.dlq.medicinal-products.avro', topic || '/' || "partition" || '/' || "offset",
   NULL, NULL, message, verdict FROM judged WHERE {_REJECTED}"""),
-    "stream_catalogue_verdicts": ORACLES["catalogue_verdicts"],
+    "stream_catalogue_verdicts": _with("v_changelog_in_batches", _BATCH_RULES, _BATCH_FOLD, recursive=True, select="""
+SELECT key, ts, "offset", "marketingStatus", verdict, message, "priorStatus" FROM judged"""),
     "stream_asof_price": ORACLES["asof_price"],
 })

@@ -319,6 +319,38 @@ def output_guard(spark, sf):
     return refused.select(*ENVELOPE_COLUMNS, dlq_topic("originalTopic").alias("dlqTopic"))
 
 
+def dlq_parts(spark, sf):
+    """Letters of refused records beyond the size limit, put together again from their parts."""
+    records = O.guard_records(view(spark, sf, "v_output"), DOCUMENT_LIMIT_BYTES)
+    fits = F.octet_length("key") + F.octet_length("value") <= DOCUMENT_LIMIT_BYTES
+    named = records.where(F.col("topic").startswith(S.DLQ_PREFIX)).withColumn("fits", fits)
+    is_part = F.col("topic").endswith(S.DLQ_PARTS_SUFFIX)
+    pointer = F.from_json("value", "context map<string,string>")["context"]["sha256"]
+    letters = named.where(~is_part).select(pointer.alias("sha"), F.col("fits").alias("letter_fits"))
+    number = F.split("key", "#")
+    parts = named.where(is_part).select(
+        number[0].alias("sha"), "fits", F.struct(number[1].cast("int").alias("n"), "value").alias("part")
+    )
+    whole = parts.groupBy("sha").agg(F.min("fits").alias("fits"), F.array_sort(F.collect_list("part")).alias("parts"))
+    text = F.unbase64(F.array_join(F.transform("parts", lambda p: p["value"]), ""))
+    joined = letters.join(whole, "sha").select(
+        (F.col("fits") & F.col("letter_fits")).alias("fits"),
+        (F.sha2(text, 256) == F.col("sha")).alias("intact"),
+        F.from_json(text.cast("string"), "originalKeyBase64 string, originalValueBase64 string").alias("json"),
+    )
+    return joined.select(
+        F.unbase64("json.originalKeyBase64").cast("string").alias("record"), "json.*", "fits", "intact"
+    )
+
+
+def dlq_unknown_topic(spark, sf):
+    """Dead letters of records whose topic and position are unknown."""
+    bad = _decoded(spark, sf).where(F.col("decode_error").isNotNull()).drop("topic", "partition", "offset")
+    letters = O.dlq_records(O.envelope(bad, "DESERIALIZATION", F.col("decode_error"), raw_key="key"))
+    fields = F.from_json("value", "errorMessage string, originalKeyBase64 string")
+    return letters.select("topic", "key", fields.alias("json")).select("topic", "key", "json.*")
+
+
 def output_accepted(spark, sf):
     accepted, _ = _guarded(spark, sf)
     return accepted.select("topic", "key", "value")
@@ -351,6 +383,7 @@ QUERIES: dict[str, Query] = {
         late_alerts, alert_frequency_in_arrival_order, stateless_rules, catalogue_verdicts,
         status_transitions, accepted_catalogue, catalogue_dlq, dlq_topics, dlq_records,
         processing_failures, processing_results, output_guard, output_accepted, dlq_error_counts,
+        dlq_parts, dlq_unknown_topic,
     )
 }
 QUERIES["dlq_topic"] = QUERIES.pop("dlq_topics")

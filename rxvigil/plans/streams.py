@@ -1,8 +1,8 @@
 """Registered streaming runs: whole benchmark tables replayed through the pipelines.
 
-The tables become raw records (JSON values) read as a stream. Each run processes everything
-available, then the written records are read back. Checkpoint and output live in a new folder
-below the shared folder.
+The tables become raw records (JSON values) read as a stream. Most arrive in several batches, some rows
+late, and the pipeline starts again from its checkpoint for each; then the written records are
+read back. Feed, checkpoint and output live in a new folder below the shared folder.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from rxvigil import schemas as S
 from rxvigil import streaming as st
-from rxvigil.plans.views import VIEWS, plain_timestamps, project_view
+from rxvigil.plans.views import BATCHES, VIEWS, plain_timestamps, project_view, view
 from rxvigil.session import scratch_path
 
 ACCEPTED_TOPIC = "catalogue.accepted"
@@ -57,43 +57,35 @@ def to_raw(rows: DataFrame, feed: S.Feed) -> DataFrame:
         position("partition", F.lit(0)).alias("partition"),
         position("offset", F.lit(0).cast("long")).cast("long").alias("offset"),
         position("ts", F.timestamp_seconds(F.lit(0))).alias("timestamp"),
+        *([F.col("arrives")] if "arrives" in rows.columns else []),
     )
 
 
-def _alerts(spark, sf):
-    return to_raw(table_stream(spark, sf, "v_alerts"), S.ALERT_FEED)
-
-
-def _products(spark, sf):
-    return to_raw(table_stream(spark, sf, "v_catalogue"), S.PRODUCT_FEED)
-
-
-def _changelog(spark, sf):
-    return to_raw(table_stream(spark, sf, "v_product_changelog"), S.PRODUCT_FEED)
-
-
-def _updates(spark, sf):
-    return to_raw(table_stream(spark, sf, "v_price_updates"), S.PRICE_FEED)
+def _run(spark: SparkSession, name: str, raw: DataFrame, start) -> DataFrame:
+    """Run a pipeline batch after batch of the column ``arrives``, each time from its checkpoint; returns its records."""
+    folder = scratch_path(spark, name)
+    for batch in range(BATCHES):
+        raw.where(F.col("arrives") == batch).drop("arrives").write.mode("append").parquet(f"{folder}/feed")
+        stream = st.stream_feed(spark, f"{folder}/feed")
+        start(stream, st.file_sink(f"{folder}/records"), f"{folder}/checkpoint").awaitTermination()
+    return st.read_records(spark, f"{folder}/records")
 
 
-def _run(spark: SparkSession, name: str, start) -> DataFrame:
+def _run_once(spark: SparkSession, name: str, raw: DataFrame, start) -> DataFrame:
     """Run a pipeline over everything available; returns its records."""
     folder = scratch_path(spark, name)
-    query = start(st.file_sink(f"{folder}/records"), f"{folder}/checkpoint")
-    query.awaitTermination()
+    start(raw, st.file_sink(f"{folder}/records"), f"{folder}/checkpoint").awaitTermination()
     return st.read_records(spark, f"{folder}/records")
 
 
-def _run_table(spark: SparkSession, name: str, stream: DataFrame) -> DataFrame:
-    """Write a stream's rows as a table with Spark's exactly-once file sink."""
-    folder = scratch_path(spark, name)
+def _write(stream: DataFrame, folder: str) -> None:
+    """Add a stream's rows to a table with Spark's exactly-once file sink."""
     query = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True).start(f"{folder}/table")
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
 def _parsed(records: DataFrame, schema: str) -> DataFrame:
@@ -101,9 +93,14 @@ def _parsed(records: DataFrame, schema: str) -> DataFrame:
     return records.select("topic", "key", fields).select("topic", "key", "json.*")
 
 
+def _enrichment(spark, sf) -> DataFrame:
+    products = to_raw(view(spark, sf, "v_catalogue_in_batches"), S.PRODUCT_FEED)
+    alerts = to_raw(view(spark, sf, "v_alerts_in_batches"), S.ALERT_FEED)
+    return _run(spark, "enrichment", products.unionByName(alerts), st.start_alert_enrichment)
+
+
 def stream_enriched_alerts(spark, sf):
-    raw = _products(spark, sf).unionByName(_alerts(spark, sf))
-    records = _run(spark, "enrichment", lambda sink, cp: st.start_alert_enrichment(raw, sink, cp))
+    records = _enrichment(spark, sf)
     enriched = records.where(F.col("topic").isin(S.ENRICHED_TOPIC, S.NARCOTICS_TOPIC))
     return _parsed(
         enriched,
@@ -114,15 +111,15 @@ def stream_enriched_alerts(spark, sf):
 
 
 def stream_alert_dead_letters(spark, sf):
-    raw = _products(spark, sf).unionByName(_alerts(spark, sf))
-    records = _run(spark, "enrichment", lambda sink, cp: st.start_alert_enrichment(raw, sink, cp))
+    records = _enrichment(spark, sf)
     letters = records.where(F.col("topic").startswith(S.DLQ_PREFIX))
     return _parsed(letters, "errorType string, errorMessage string")
 
 
 def stream_price_surges(spark, sf):
-    raw = _products(spark, sf).unionByName(_updates(spark, sf))
-    records = _run(spark, "surges", lambda sink, cp: st.start_price_surges(raw, sink, cp))
+    products = to_raw(table_stream(spark, sf, "v_catalogue"), S.PRODUCT_FEED)
+    raw = products.unionByName(to_raw(table_stream(spark, sf, "v_price_updates"), S.PRICE_FEED))
+    records = _run_once(spark, "surges", raw, st.start_price_surges)
     surges = records.where(F.col("topic") == S.SURGE_TOPIC)
     return _parsed(
         surges,
@@ -132,27 +129,32 @@ def stream_price_surges(spark, sf):
 
 
 def stream_alert_frequency(spark, sf):
-    raw = _alerts(spark, sf)
-    records = _run(spark, "frequency", lambda sink, cp: st.start_alert_frequency(raw, sink, cp))
-    return records.select(
-        "topic", F.col("key").alias("summary_key"), F.col("value").cast("long").alias("count")
-    )
+    raw = to_raw(view(spark, sf, "v_alerts_in_batches"), S.ALERT_FEED)
+    records = _run(spark, "frequency", raw, st.start_alert_frequency)
+    return records.select("topic", "key", F.col("number").alias("count"))
 
 
 def stream_catalogue_admission(spark, sf):
-    raw = _changelog(spark, sf)
-    records = _run(spark, "admission", lambda sink, cp: st.start_catalogue_admission(
-        raw, sink, cp, ACCEPTED_TOPIC))
+    raw = to_raw(view(spark, sf, "v_changelog_in_batches"), S.PRODUCT_FEED)
+
+    def start(stream, sink, checkpoint):
+        return st.start_catalogue_admission(stream, sink, checkpoint, ACCEPTED_TOPIC)
+
     return _parsed(
-        records,
+        _run(spark, "admission", raw, start),
         "marketingStatus string, publicPriceCHF double, errorMessage string, "
         "context map<string,string>",
     ).withColumn("validationRule", F.col("context")["validationRule"]).drop("context")
 
 
 def stream_catalogue_verdicts(spark, sf):
-    verdicts = st.stateful_verdicts(table_stream(spark, sf, "v_product_changelog"))
-    result = _run_table(spark, "verdicts", verdicts)
+    log, folder = view(spark, sf, "v_changelog_in_batches"), scratch_path(spark, "verdicts")
+    for batch in range(BATCHES):
+        log.where(F.col("arrives") == batch).drop("arrives").write.mode("append").parquet(f"{folder}/feed")
+        stream = spark.readStream.schema(log.drop("arrives").schema).parquet(f"{folder}/feed")
+        verdicts = st.stateful_verdicts(stream)
+        _write(verdicts, folder)
+    result = spark.read.schema(verdicts.schema).parquet(f"{folder}/table")
     return plain_timestamps(result.select(
         "key", "ts", "offset", "marketingStatus", "verdict", "message", "priorStatus"
     ))
@@ -161,8 +163,10 @@ def stream_catalogue_verdicts(spark, sf):
 def stream_asof_price(spark, sf):
     updates = table_stream(spark, sf, "v_price_updates")
     changelog = table_stream(spark, sf, "v_product_changelog")
-    joined = _run_table(spark, "asof", st.stateful_asof(updates, changelog, ["publicPriceCHF"]))
-    return joined.select("key", "offset", "newPublicPriceCHF", "publicPriceCHF", "matched")
+    joined, folder = st.stateful_asof(updates, changelog, ["publicPriceCHF"]), scratch_path(spark, "asof")
+    _write(joined, folder)
+    result = spark.read.schema(joined.schema).parquet(f"{folder}/table")
+    return result.select("key", "offset", "newPublicPriceCHF", "publicPriceCHF", "matched")
 
 
 STREAM_QUERIES = {

@@ -64,11 +64,12 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
     }),
     # The same alerts, but every twentieth record reaches its log about 200 records late.
     "v_delayed_alerts": ("events", {
-        "key": _ALERT_GTIN,
+        # Some alerts lack a key; theirs are far ahead in time and must not count.
+        "key": f"case when event_id % 25 <> 7 then {_ALERT_GTIN} end",
         "topic": "'hci.drug-alerts.avro'",
         "partition": "cast(event_id % 4 as int)",
         "offset": "event_id * 2 + case when event_id % 20 = 0 then 401 else 0 end",
-        "ts": "cast(ts as timestamp)",
+        "ts": "cast(ts as timestamp) + case when event_id % 25 = 7 then interval '1' day else interval '0' day end",
     }),
     # A third of the records carry no issue time and fall back to their ingestion time.
     "v_undated_alerts": ("events", {
@@ -113,7 +114,10 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
     # JSON texts, every fiftieth cut short by one character.
     "v_raw": ("events", {
         "key": "cast(event_id as varchar(20))",
-        "value": "case when event_id % 50 = 0 then substr(props, 1, length(props) - 1) else props end",
+        # Cut short, two values in one, and text after the value.
+        "value":
+            "case event_id % 50 when 0 then substr(props, 1, length(props) - 1) when 1 then concat(props, props) "
+            "when 2 then concat(props, ' trailing') when 3 then concat(' ', props, ' ') else props end",
         "topic": "'hci.drug-alerts.avro'",
         "partition": "cast(event_id % 4 as int)",
         "offset": "event_id",
@@ -133,6 +137,18 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
     }),
 }
 
+# The same rows with the micro-batch in which they arrive when a table is replayed as a stream:
+# alerts by issue time with every twentieth delayed, catalogue and changelog out of order.
+BATCHES = 3
+for _name, _view, _arrives in (
+    ("v_alerts_in_batches", "v_alerts",
+     "least(2, case when ts < timestamp '2024-01-11 00:00:00' then 0 when ts < timestamp '2024-01-21 00:00:00' then 1 "
+     "else 2 end + case when event_id % 20 = 0 then 1 else 0 end)"),
+    ("v_catalogue_in_batches", "v_catalogue", "p_partkey % 3"),
+    ("v_changelog_in_batches", "v_product_changelog", "o_orderkey % 3"),
+):
+    VIEWS[_name] = (VIEWS[_view][0], {**VIEWS[_view][1], "arrives": f"cast({_arrives} as int)"})
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -29,10 +29,9 @@ STATUS_TRANSITIONS = {
     "WITHDRAWN": (),
 }
 
-ERROR_TYPES = ("DESERIALIZATION", "VALIDATION", "PROCESSING", "PRODUCTION")
-
 TOPIC_PREFIX = "hci."
 DLQ_PREFIX = "hci.dlq."
+DLQ_PARTS_SUFFIX = ".parts"
 DLQ_UNKNOWN_TOPIC = "hci.dlq.unknown.v1"
 PRODUCTS_TOPIC = "hci.medicinal-products.avro"
 ALERTS_TOPIC = "hci.drug-alerts.avro"

@@ -18,6 +18,7 @@ from rxvigil.operators.deadletter import envelope
 _RAW = [f.name for f in S.RAW_RECORD]
 # Log sources bring their own schema and start from the earliest record on first start.
 _LOG_OPTIONS = {"startingOffsets": "earliest"}
+_END = "end of the value"
 _FILE_FORMATS = ("parquet", "json", "orc", "csv", "text", "avro")
 
 
@@ -67,21 +68,31 @@ def decode(
     """Parse JSON values once, tagging each record with ``decode_error`` (null if good).
 
     Keeps the raw record, adds ``record`` (a struct of the feed's fields) and ``is_delete``
-    for null values. Rejected are values that are no JSON object of the schema, lack a
-    required field, or hold a value outside an enumerated domain. One bad record never
-    stops the others.
+    for null values. Rejected are values that are no JSON object of the schema, have anything
+    but white space beside it, lack a required field, or hold a value outside an enumerated
+    domain. One bad record never stops the others.
     """
     feed = feed or S.Feed("", schema)
     fields = feed.schema.fields
     wire = T.StructType(
         [T.StructField(f.name, _wire_type(f.dataType), True) for f in fields]
-        + [T.StructField("_corrupt", T.StringType(), True)]
+        + [T.StructField(_END, T.LongType(), True)]
+    )
+    # The parser stops at the end of the first value. So the value is put into a list before an
+    # end mark that only it can have: text beside the object breaks the list, closes it early or
+    # makes it longer.
+    text = F.col("value").cast("string")
+    mark = F.xxhash64(text)
+    wrapped = F.concat(F.lit('{"list":['), text, F.lit(f',{{"{_END}":'), mark.cast("string"), F.lit("}]}"))
+    listed = T.StructType(
+        [T.StructField("list", T.ArrayType(wire)), T.StructField("_corrupt", T.StringType(), True)]
     )
     parsed = F.from_json(
-        F.col("value").cast("string"),
-        wire,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
+        wrapped, listed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
+    ended = F.try_element_at(parsed["list"], F.lit(2))[_END]
+    whole = parsed["_corrupt"].isNull() & (F.size(parsed["list"]) == 2) & (ended == mark)
+    parsed = F.when(whole, F.try_element_at(parsed["list"], F.lit(1)))
     # Filters on the result are not pushed below a generator, where they would repeat the
     # parsing once per field they look at.
     parsed = raw.select("*", F.explode(F.array(parsed)).alias("parsed"))
@@ -95,9 +106,7 @@ def decode(
         return got
 
     is_delete = F.col("value").isNull()
-    corrupt = F.col("parsed").isNull() | F.col("parsed._corrupt").isNotNull()
-    # Spark parses an empty or blank text to nulls without marking it corrupt.
-    error = F.when(is_delete, None).when(corrupt, "malformed value")
+    error = F.when(is_delete, None).when(F.col("parsed").isNull(), "malformed value")
     for f in fields:
         if not f.nullable:
             error = error.when(value(f).isNull(), f"missing required field {f.name}")

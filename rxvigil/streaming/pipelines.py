@@ -69,6 +69,11 @@ def _good(raw: DataFrame, feed: S.Feed) -> DataFrame:
     return decoded_good(_decoded(raw, feed))
 
 
+def _letters(raw: DataFrame, feeds: list[S.Feed], max_bytes: int) -> DataFrame:
+    """Dead letters of the feeds' undecodable records."""
+    return dlq_records(_union([decode_failures(_decoded(raw, f)) for f in feeds]), max_bytes)
+
+
 def _records(df: DataFrame, topic: str, columns) -> DataFrame:
     return df.select(F.lit(topic).alias("topic"), "key", json_record(df, columns).alias("value"))
 
@@ -117,7 +122,7 @@ def _lookup_pipeline(
             table.apply(products, batch_id)
             current = table.as_of(batch.sparkSession, batch_id, table.schema_of(products), events)
             records = guard_records(output(events, current), max_bytes)
-            sink(records.unionByName(dlq_records(_union(letters))), batch_id)
+            sink(records.unionByName(dlq_records(_union(letters), max_bytes)), batch_id)
         finally:
             for frame in kept:
                 frame.unpersist()
@@ -179,12 +184,13 @@ def start_strict_enrichment(
 ) -> StreamingQuery:
     """As ``start_alert_enrichment``, but each alert sees the product as of its own place in
     the order of arrival, with the table held as keyed state."""
+    feeds = [S.ALERT_FEED, S.PRODUCT_FEED]
     joined = stateful_asof(
         _good(raw, S.ALERT_FEED).where(~F.col("is_delete")), _good(raw, S.PRODUCT_FEED), PRODUCT_FIELDS
     )
 
     records = guard_records(alert_records(project_enriched(joined)), max_bytes)
-    return _start(records, sink, checkpoint, trigger)
+    return _start(records.unionByName(_letters(raw, feeds, max_bytes)), sink, checkpoint, trigger)
 
 
 def start_strict_price_surges(
@@ -196,6 +202,7 @@ def start_strict_price_surges(
     max_bytes: int = S.MAX_RECORD_BYTES,
 ) -> StreamingQuery:
     """As ``start_price_surges``, with the confirmed price held as keyed state."""
+    feeds = [S.PRICE_FEED, S.PRODUCT_FEED]
     joined = stateful_asof(
         _good(raw, S.PRICE_FEED).where(~F.col("is_delete")),
         _good(raw, S.PRODUCT_FEED).withColumnRenamed("publicPriceCHF", "confirmedPriceCHF"),
@@ -204,7 +211,7 @@ def start_strict_price_surges(
     found = surges(with_change(with_baseline(joined)), threshold)
 
     records = guard_records(_records(found, S.SURGE_TOPIC, S.SURGE_COLUMNS), max_bytes)
-    return _start(records, sink, checkpoint, trigger)
+    return _start(records.unionByName(_letters(raw, feeds, max_bytes)), sink, checkpoint, trigger)
 
 
 def start_alert_frequency(
@@ -215,29 +222,32 @@ def start_alert_frequency(
     window: str = S.WINDOW_DURATION,
     grace: str = S.GRACE_PERIOD,
     min_count: int = S.MIN_ALERT_COUNT,
+    max_bytes: int = S.MAX_RECORD_BYTES,
 ) -> StreamingQuery:
-    """One record per closed window with enough alerts: ``key@start/end`` → count."""
+    """One record per closed window with enough alerts: ``key@start/end`` → count.
+
+    The count is a long in the column ``number``; sinks say how they store it.
+    """
     alerts = alert_event_time(
         _good(raw, S.ALERT_FEED).withColumnRenamed("ts", "timestamp"), "timestamp"
     )
     counts = count_alerts(alerts, window, grace, min_count).select(
         F.lit(S.SUMMARY_TOPIC).alias("topic"),
         F.col("summary_key").alias("key"),
-        F.col("count").cast("string").alias("value"),
+        F.lit(None).cast("string").alias("value"),
+        F.col("count").alias("number"),
     )
-    return _start(counts, sink, checkpoint, trigger)
+    letters = _letters(raw, [S.ALERT_FEED], max_bytes).withColumn("number", F.lit(None).cast("bigint"))
+    return _start(counts.unionByName(letters), sink, checkpoint, trigger)
 
 
 def start_decode_failures(
-    raw: DataFrame, feed: S.Feed, sink: Sink, checkpoint: str, trigger: Mapping | None = None
+    raw: DataFrame, feed: S.Feed, sink: Sink, checkpoint: str, trigger: Mapping | None = None,
+    max_bytes: int = S.MAX_RECORD_BYTES,
 ) -> StreamingQuery:
-    """Dead-letter the undecodable records of one feed.
-
-    Needed next to the pipelines that run on keyed state or windows; the lookup pipelines and
-    catalogue admission dead-letter their own.
-    """
-    letters = dlq_records(decode_failures(_decoded(raw, feed)))
-    return _start(letters, sink, checkpoint, trigger)
+    """Dead-letter the undecodable records of a feed that no other pipeline reads; each of those
+    dead-letters its own."""
+    return _start(_letters(raw, [feed], max_bytes), sink, checkpoint, trigger)
 
 
 def start_catalogue_admission(
@@ -261,7 +271,7 @@ def start_catalogue_admission(
         try:
             table.apply(verdicts.where(F.col("verdict").isin(OK, TOMBSTONE)), batch_id)
             records = guard_records(admission_records(verdicts, accepted_topic), max_bytes)
-            sink(records.unionByName(dlq_records(decode_failures(decoded))), batch_id)
+            sink(records.unionByName(dlq_records(decode_failures(decoded), max_bytes)), batch_id)
         finally:
             verdicts.unpersist()
             decoded.unpersist()

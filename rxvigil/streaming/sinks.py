@@ -1,6 +1,7 @@
 """Writing output records. A sink is a function of (records, batch id).
 
-Records are ``(topic, key, value)``. A batch that is retried after a failure runs again with
+Records are ``(topic, key, value)``; a record whose value is a long has it in ``number`` and no
+text. The file sink stores both columns, the log sink writes the long as 8 bytes, big-endian. A batch that is retried after a failure runs again with
 the same id; the file sink then replaces what the first attempt left.
 """
 
@@ -9,9 +10,22 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Sink = Callable[[DataFrame, int], None]
-RECORD = "key string, value string, topic string, batch_id bigint"
+RECORD = "key string, value string, number bigint, topic string, batch_id bigint"
+
+
+def _columns(records: DataFrame) -> list[str]:
+    return [c for c in ("topic", "key", "value", "number") if c in records.columns]
+
+
+def wire_values(records: DataFrame) -> DataFrame:
+    """Records with binary values: UTF-8 text, or a long as 8 bytes, big-endian."""
+    value = F.col("value").cast("binary")
+    if "number" in records.columns:
+        value = F.coalesce(value, F.unhex(F.lpad(F.hex("number"), 16, "0")))
+    return records.select("topic", "key", value.alias("value"))
 
 
 def file_sink(root: str, fmt: str = "parquet") -> Sink:
@@ -19,7 +33,7 @@ def file_sink(root: str, fmt: str = "parquet") -> Sink:
 
     def write(records: DataFrame, batch_id: int) -> None:
         (
-            records.select("topic", "key", "value")
+            records.select(*_columns(records))
             .write.mode("overwrite").partitionBy("topic").format(fmt)
             .save(f"{root}/batch_id={batch_id}")
         )
@@ -31,7 +45,7 @@ def log_sink(fmt: str, options: Mapping[str, str]) -> Sink:
     """Append to a message log through Spark's own connector: at least once."""
 
     def write(records: DataFrame, batch_id: int) -> None:
-        records.select("topic", "key", "value").write.format(fmt).options(**options).save()
+        wire_values(records).write.format(fmt).options(**options).save()
 
     return write
 

@@ -17,7 +17,11 @@ from rxvigil import schemas as S
 from rxvigil.functions import is_blank
 from rxvigil.operators.catalogue import OK, TOMBSTONE, check_rules
 
-_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+# Microseconds, with and without a time zone.
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 _TABLE, _EVENT = 0, 1
 
 
@@ -42,7 +46,7 @@ class _Admission(StatefulProcessor):
             prior = status
             if row.is_delete:
                 verdict, prior, status = TOMBSTONE, None, None
-            elif status in (None, row.status) or row.status in S.STATUS_TRANSITIONS[status]:
+            elif status in (None, row.status) or row.status in S.STATUS_TRANSITIONS.get(status, ()):
                 verdict, status = OK, row.status
             else:
                 verdict = "ILLEGAL_STATUS_TRANSITION"

@@ -5,17 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rxvigil.operators.latest import latest_by_key
 
+_BATCH = "arrived_in"
+
 
 class ChangeTable:
     """Latest value per key: a compacted base plus one change set per micro-batch.
 
     A batch only writes its own changes. Every ``compact_every`` batches base and changes are
     merged into a new base, so reading stays bounded. Paths follow from the batch id alone and
-    are overwritten, hence a retried batch leaves the table as if it had run once. Deletes are
-    kept as rows, so an older change arriving later cannot bring a deleted key back.
+    are overwritten, hence a retried batch leaves the table as if it had run once. Arrival
+    decides: a change of a later batch replaces those of earlier ones whatever its time, and
+    within a batch ``order_by`` counts. Deletes are kept as rows.
     """
 
     def __init__(
@@ -36,11 +41,12 @@ class ChangeTable:
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
         """Add a batch's changes."""
-        newest = self._newest(changes.select(*self.columns))
+        newest = self._newest(changes.select(*self.columns), self.order_by)
+        newest = newest.withColumn(_BATCH, F.lit(batch_id).cast("long"))
         newest.write.mode("overwrite").parquet(self._changes(batch_id))
         if (batch_id + 1) % self.compact_every == 0:
             schema = newest.schema
-            merged = self._newest(self._read(changes.sparkSession, batch_id, schema))
+            merged = self._newest(self._read(changes.sparkSession, batch_id, schema), self._arrival)
             merged.write.mode("overwrite").parquet(self._base(batch_id))
 
     def as_of(
@@ -50,16 +56,20 @@ class ChangeTable:
 
         Restricting to the keys a batch asks for keeps the merge proportional to the batch.
         """
-        stored = self._read(spark, batch_id, schema)
+        stored = self._read(spark, batch_id, T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType())]))
         if keys is not None:
             stored = stored.join(keys.select(self.key).distinct(), self.key, "left_semi")
-        return latest_by_key(stored, self.key, self.order_by, self.delete)
+        return latest_by_key(stored, self.key, self._arrival, self.delete).drop(_BATCH)
 
     def schema_of(self, changes: DataFrame):
         return changes.select(*self.columns).schema
 
-    def _newest(self, rows: DataFrame) -> DataFrame:
-        return latest_by_key(rows, self.key, self.order_by, self.delete, keep_deletes=True)
+    @property
+    def _arrival(self) -> list[str]:
+        return [_BATCH, *self.order_by]
+
+    def _newest(self, rows: DataFrame, order_by: Sequence[str]) -> DataFrame:
+        return latest_by_key(rows, self.key, order_by, self.delete, keep_deletes=True)
 
     def _read(self, spark: SparkSession, batch_id: int, schema) -> DataFrame:
         if batch_id < 0:

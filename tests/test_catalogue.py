@@ -49,7 +49,7 @@ def test_hot_keys_in_slices_equal_the_loop(spark, rows_per_task):
         rows += more
     rng.shuffle(rows)
     got = validate_catalogue(
-        changelog(spark, rows), rows_per_task=rows_per_task, one_task_bytes=0
+        changelog(spark, rows), rows_per_task=rows_per_task
     )
     assert verdicts_by_key(got) == expected
 
@@ -58,7 +58,7 @@ def test_slices_with_equal_times_follow_the_offset(spark):
     rng = random.Random(5)
     rows, expected = random_history(rng, "hot", 400, 0.02)
     rows = [r[:4] + (at(0),) + r[5:] for r in rows]
-    got = validate_catalogue(changelog(spark, rows), rows_per_task=30, one_task_bytes=0)
+    got = validate_catalogue(changelog(spark, rows), rows_per_task=30)
     assert verdicts_by_key(got) == {"hot": expected}
 
 
@@ -95,7 +95,7 @@ def test_known_status_with_sliced_history(spark, start):
     rows, _ = random_history(rng, "hot", 300, 0.005)
     history = [(r[5], r[9], "NARCOTICS_CATEGORY_BLANK" if r[12] == " " and not r[5] else None) for r in rows]
     known = spark.createDataFrame([("hot", start)], "key string, marketingStatus string")
-    got = validate_catalogue(changelog(spark, rows), statuses=known, rows_per_task=40, one_task_bytes=0)
+    got = validate_catalogue(changelog(spark, rows), statuses=known, rows_per_task=40)
     assert verdicts_by_key(got) == {"hot": loop_verdicts(history, start)[0]}
 
 

@@ -33,23 +33,38 @@ def expected_lookup(keys):
     return [(i, values.get(k), k in values) for i, k in enumerate(keys)]
 
 
-@pytest.mark.parametrize("rows_per_task", [20, 1_000_000])
-def test_lookup_without_broadcast_spreads_heavy_keys(spark, no_broadcast, rows_per_task):
+def test_lookup_without_broadcast(spark, no_broadcast):
     left, table, keys = lookup_fixture(spark)
-    got = lookup_join(left, table, rows_per_task=rows_per_task)
+    got = lookup_join(left, table)
     assert got.columns == ["key", "topic", "partition", "offset", "ts", "v", "matched"]
     assert sorted((r.offset, r.v, r.matched) for r in got.collect()) == expected_lookup(keys)
 
 
-def test_spread_really_splits_the_heavy_key(spark, no_broadcast):
-    left, table, _ = lookup_fixture(spark)
-    joined = lookup_join(left, table, rows_per_task=20).where("key = 'hot'")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+@pytest.mark.parametrize("hot", ["'hot'", "cast(null as string)"])
+def test_heavy_keys_are_split_at_run_time(spark, no_broadcast, hot):
+    """Adaptive execution splits a heavy key's events, also those without a key."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    left = spark.range(0, 40_000, 1, 8).selectExpr(
+        f"case when id % 4 <> 0 then {hot} else concat('k', id) end AS key", "id AS offset", "uuid() AS filler"
+    )
+    table = spark.range(0, 40_000, 1, 8).selectExpr("concat('k', id) AS key", "uuid() AS v")
+    for name, value in small.items():
+        spark.conf.set(name, value)
     try:
-        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+        joined = lookup_join(left, table.unionByName(spark.sql("SELECT 'hot' AS key, '1' AS v")))
+        found = joined.selectExpr("matched").collect()
+        joined._jdf.queryExecution().toRdd().count()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(tasks) > 3
+        for name in small:
+            spark.conf.unset(name)
+    assert len(found) == 40_000
+    assert "skew=true" in plan
 
 
 def test_small_table_is_joined_without_shuffling(spark):
@@ -88,7 +103,7 @@ def test_asof_join_equals_the_loop(spark, rows_per_task):
         change(k, off, "ACTIVE", delete=gone, public=float(off), ts=at(s)) for k, off, s, gone in table
     ])
     got = asof_join(
-        events(spark, stream), log, ["publicPriceCHF"], rows_per_task=rows_per_task, one_task_bytes=0
+        events(spark, stream), log, ["publicPriceCHF"], rows_per_task=rows_per_task
     )
     rows = sorted((r.offset, r.publicPriceCHF, r.matched) for r in got.collect())
     assert rows == loop_asof(table, stream)

@@ -182,7 +182,7 @@ def test_unknown_position_and_defaults(spark):
     assert (row.originalTopic, row.partition, row.offset) == ("unknown", -1, -1)
     assert row.errorType == "PROCESSING" and row.context is None
     [record] = dlq_records(envelope(one_row(spark, x=1))).collect()
-    assert record.key == "unknown/-1/-1"
+    assert (record.topic, record.key) == ("hci.dlq.unknown.v1", "unknown/-1/-1")
 
 
 def test_long_payload_is_one_base64_line(spark):
@@ -201,11 +201,34 @@ def test_split_failures(spark):
 def test_guard(spark):
     df = spark.createDataFrame([("t", "a", "é" * 5), ("t", "b", "é" * 6), ("t", "c", None)],
                                "topic string, key string, value string")
-    accepted, envelopes = guard_output(df, 10)
+    accepted, envelopes = guard_output(df, 11)
     assert [r.key for r in accepted.collect()] == ["a", "c"]
     [e] = envelopes.collect()
     assert (e.errorType, e.originalTopic, e.partition, e.offset) == ("PRODUCTION", "t", -1, -1)
-    assert [r.topic for r in guard_records(df, 10).collect()] == ["t", "hci.dlq.t", "t"]
+
+
+def test_letters_beyond_the_limit_are_kept_in_parts(spark):
+    import base64
+    import hashlib
+
+    df = spark.createDataFrame([("t", "a", "x" * 1999), ("t", "b", "é" * 3000), ("t", "k" * 2500, None)],
+                               "topic string, key string, value string")
+    records = guard_records(df, 2000).collect()
+    assert all(len(r.key.encode()) + len(r.value.encode()) <= 2000 for r in records)
+    by_topic = {}
+    for r in records:
+        by_topic.setdefault(r.topic, []).append(r)
+    assert [r.key for r in by_topic["t"]] == ["a"] and len(by_topic["hci.dlq.t"]) == 2
+    whole = []
+    for r in by_topic["hci.dlq.t"]:
+        context = json.loads(r.value)["context"]
+        assert context["partsTopic"] == "hci.dlq.t.parts"
+        parts = {p.key: p.value for p in by_topic["hci.dlq.t.parts"]}
+        text = base64.b64decode("".join(parts[f"{context['sha256']}#{n}"] for n in range(int(context["parts"]))))
+        assert hashlib.sha256(text).hexdigest() == context["sha256"] and len(text) == int(context["bytes"])
+        whole.append(json.loads(text))
+    assert sorted(base64.b64decode(e.get("originalValueBase64", "")).decode() for e in whole) == ["", "é" * 3000]
+    assert sorted(base64.b64decode(e["originalKeyBase64"]).decode() for e in whole) == ["b", "k" * 2500]
 
 
 def test_decode_defaults_and_required_fields(spark):

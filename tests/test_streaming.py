@@ -76,7 +76,7 @@ def run(spark, tmp_path):
         start(feed.stream(), st.file_sink(out), str(tmp_path / "checkpoint"), **options).awaitTermination()
         found = {}
         for r in st.read_records(spark, out).orderBy("batch_id").collect():
-            found.setdefault(r.topic, []).append((r.key, r.value))
+            found.setdefault(r.topic, []).append((r.key, r.value if r.number is None else r.number))
         return found
 
     return go
@@ -171,7 +171,7 @@ def test_undecodable_records_are_kept_and_the_stream_goes_on(run, feed):
 def test_records_too_large_for_the_sink_are_dead_lettered(run, feed):
     feed.add((P, "p", product("p")), (P, "big", product("big", "x" * 5000)),
              (A, "p", alert("a1", "p")), (A, "big", alert("a2", "big")))
-    found = run(st.start_alert_enrichment, feed, max_bytes=2000)
+    found = run(st.start_alert_enrichment, feed, max_bytes=3000)
     assert [json.loads(v)["alertId"] for _, v in found[S.ENRICHED_TOPIC]] == ["a1"]
     [(key, value)] = found["hci.dlq.alerts.enriched.avro"]
     assert key == f"{S.ENRICHED_TOPIC}/-1/-1" and json.loads(value)["errorType"] == "PRODUCTION"
@@ -209,7 +209,7 @@ def test_window_closes_once_after_the_grace_period(run, feed):
     feed.add((A, "k", alert("4", "k", 4199.999)))
     assert summary(run(st.start_alert_frequency, feed)) == []
     feed.add((A, "k", alert("5", "k", 4200)))
-    closed = [("k@2024-01-01T00:00:00Z/2024-01-01T01:00:00Z", "2")]
+    closed = [("k@2024-01-01T00:00:00Z/2024-01-01T01:00:00Z", 2)]
     assert summary(run(st.start_alert_frequency, feed)) == closed
     feed.add((A, "k", alert("6", "k", 1800)))
     assert summary(run(st.start_alert_frequency, feed)) == closed
@@ -220,10 +220,45 @@ def test_late_alert_within_the_grace_period_counts(run, feed):
     feed.add((A, "k", alert("3", "k", 1800)), (A, None, alert("4", "k", 1900)))
     feed.add((A, "k", alert("5", "k", 9000)))
     assert summary(run(st.start_alert_frequency, feed)) == [
-        ("k@2024-01-01T00:00:00Z/2024-01-01T01:00:00Z", "2")
+        ("k@2024-01-01T00:00:00Z/2024-01-01T01:00:00Z", 2)
     ]
 
 
+def test_counts_leave_as_eight_bytes_and_text_as_utf8(spark):
+    records = spark.createDataFrame(
+        [("t", "k", None, 258), ("t", "k", None, -1), ("t", "k", "é", None)],
+        "topic string, key string, value string, number bigint",
+    )
+    got = [bytes(r.value) for r in st.sinks.wire_values(records).collect()]
+    assert got == [(258).to_bytes(8, "big"), (-1).to_bytes(8, "big", signed=True), "é".encode()]
+
+
+@pytest.mark.parametrize("start, topic", [
+    (st.start_strict_enrichment, A), (st.start_strict_price_surges, U), (st.start_alert_frequency, A),
+    (st.start_alert_enrichment, A), (st.start_price_surges, U),
+])
+def test_every_pipeline_routes_its_bad_records(run, feed, start, topic):
+    feed.add((topic, "p", b"{broken"), (topic, "p", b"1 2"))
+    feed.add((topic, "p", b"also broken"))
+    found = run(start, feed)
+    assert len(found[topic.replace("hci.", "hci.dlq.")]) == 3
+
+
+def test_arrival_order_decides_across_batches(run, feed):
+    """A status accepted in a later batch counts, even if its time is earlier."""
+    feed.add((P, "p", product("p", status="ACTIVE")))
+    feed.offset = 5
+    feed.add((P, "p", product("p", status="SUSPENDED")))
+    feed.offset = 2
+    feed.add((P, "p", product("p", status="WITHDRAWN")))
+    feed.offset = 9
+    feed.add((P, "p", product("p", status="SUSPENDED")))
+    found = run(st.start_catalogue_admission, feed, accepted_topic="ok")
+    assert [json.loads(v)["marketingStatus"] for _, v in found["ok"]] == ["ACTIVE", "SUSPENDED", "WITHDRAWN"]
+    [(_, letter)] = found["hci.dlq.medicinal-products.avro"]
+    assert json.loads(letter)["errorMessage"] == "Status transition WITHDRAWN → SUSPENDED is not permitted"
+
+
 def test_catalogue_admission_across_batches(run, feed):
     statuses = ["PENDING", "ACTIVE", "PENDING", "SUSPENDED", "WITHDRAWN", "ACTIVE"]
     for s in statuses[:3]:
@@ -321,9 +356,10 @@ def test_change_table_merges_compacts_and_survives_retries(spark, tmp_path):
     assert prices(-1) == {}
     assert prices(0) == {"a": 1.0, "b": 1.0}
     assert prices(1) == {"a": 2.0}
-    assert prices(2) == prices(3) == {"a": 2.0, "c": 3.0}
-    assert prices(4) == {"a": 7.0, "c": 3.0}
-    assert prices(4, spark.createDataFrame([("a",), ("b",)], "key string")) == {"a": 7.0}
+    # Arrival decides: an older change that arrives after the delete counts.
+    assert prices(2) == prices(3) == {"a": 2.0, "b": 9.0, "c": 3.0}
+    assert prices(4) == {"a": 7.0, "b": 9.0, "c": 3.0}
+    assert prices(4, spark.createDataFrame([("a",), ("b",)], "key string")) == {"a": 7.0, "b": 9.0}
 
 
 def test_feed_reads_what_is_already_there(spark, feed):
