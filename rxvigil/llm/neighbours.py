@@ -22,17 +22,18 @@ AT_ONCE = 256
 
 @dataclass
 class Settings:
-    """``sample`` rows fit the centroids; ``closure`` and ``reach`` are ratios to the nearest centroid's distance."""
+    """``sample`` rows fit the centroids; ``closure`` is a ratio to the nearest centroid's distance. ``recall`` is aimed at:
+    ``trials`` queries compared with all rows tell how far from the nearest centroid lists must be read."""
 
     list_rows: int = 256
     most_lists: int = 16384
     sample: int = 40_000
     replicas: int = 8
     closure: float = 1.2
-    probes: int = 64
-    reach: float = 1.6
+    recall: float = 0.97
+    trials: int = 64
     degree: int = 16
-    beam: int = 96
+    beam: int = 64
     rows_at_once: int = 8192
     queries_at_once: int = 1024
 
@@ -80,8 +81,9 @@ def search(
         homes[row["list"]] = row["homes"]
     homes = spark.sparkContext.broadcast(homes)
     asked = postings.filter("query AND home").select("vec_id", "vector")
+    reach, beam = _tuned(asked, postings, graph, settings, k)
     asked = written_table(
-        asked.mapInArrow(_prober(shared, homes, settings, k), "list int, query_id long, vector array<double>"), "probes"
+        asked.mapInArrow(_prober(shared, homes, reach, beam, k), "list int, query_id long, vector array<double>"), "probes"
     )
     asking = asked.groupBy("list").count().collect()
 
@@ -108,6 +110,55 @@ def search(
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def _tuned(asked: DataFrame, postings: DataFrame, graph: Graph, settings: Settings, k: int) -> tuple[float, int]:
+    """The ratio of centroid distances, and the number of centroids to look at, that reach the recall on trial queries.
+
+    Each trial query is compared with every row, task by task; of its true neighbours only the lists are needed.
+    """
+    trials = asked.orderBy(F.xxhash64("vec_id", F.lit("trial")), "vec_id").limit(settings.trials).collect()
+    if not trials:
+        return 1.0, settings.beam
+    ids, points = np.array([r["vec_id"] for r in trials]), np.array([r["vector"] for r in trials])
+    given = asked.sparkSession.sparkContext.broadcast((ids, points))
+    near = postings.select("list", "vec_id", "vector").mapInArrow(_trial(given, k), "query_id long, vec_id long, score double, list int")
+    near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"), F.collect_set("list").alias("lists"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    near = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    far = np.sqrt(_distances(points, graph.centroids))
+    place, row = np.argsort(np.argsort(far, axis=1), axis=1), {int(q): i for i, q in enumerate(ids)}
+    ratios, places = [], []
+    for found in near.select("query_id", "lists").collect():
+        i = row[found["query_id"]]
+        ratios.append(min(far[i, c] for c in found["lists"]) / max(far[i].min(), 1e-12))
+        places.append(min(place[i, c] for c in found["lists"]))
+    if not ratios:
+        return 1.0, settings.beam
+    return float(np.quantile(ratios, settings.recall)), max(settings.beam, int(np.quantile(places, 0.99)) + 32)
+
+
+def _trial(given, k: int):
+    def nearest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, points = given.value
+        for batch in batches:
+            ids, lists, vectors = batch.column(1).to_numpy(), batch.column(0).to_numpy(), _matrix(batch.column(2))
+            for query, point in zip(queries, points):
+                score = ((vectors - point) ** 2).sum(1)
+                score[ids == query] = np.inf
+                # Replicas of a row are the same distance away; all that may be among the nearest are kept.
+                distinct = np.unique(score[np.isfinite(score)])
+                if not len(distinct):
+                    continue
+                at = np.flatnonzero(score <= distinct[min(k, len(distinct)) - 1])
+                at = at[np.lexsort((ids[at], score[at]))]
+                at = at[np.isin(ids[at], list(dict.fromkeys(ids[at].tolist()))[:k])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), query)), pa.array(ids[at]), pa.array(score[at]), pa.array(lists[at])],
+                    ["query_id", "vec_id", "score", "list"],
+                )
+
+    return nearest
+
+
 def _matrix(vectors: pa.ListArray) -> np.ndarray:
     values = np.asarray(vectors.flatten(), np.float64)
     return values.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0))
@@ -219,9 +270,7 @@ def _assigner(shared, settings: Settings):
     return assign
 
 
-def _prober(shared, homes, settings: Settings, k: int):
-    probes, ratio, beam = settings.probes, settings.reach, settings.beam
-
+def _prober(shared, homes, ratio: float, beam: int, k: int):
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph, held = Graph(**shared.value), homes.value
         for whole in batches:
@@ -237,7 +286,7 @@ def _prober(shared, homes, settings: Settings, k: int):
                         order = np.argsort(_distances(points[i : i + 1], graph.centroids)[0], kind="stable")
                         far = np.full(len(order), np.inf)
                     enough = int(np.searchsorted(np.cumsum(held[order]), k, "right")) + 1
-                    wanted = max(enough, min(probes, int(np.searchsorted(far, ratio * max(far[0], 1e-12), "right"))))
+                    wanted = max(enough, int(np.searchsorted(far, ratio * max(far[0], 1e-12) * (1 + 1e-9), "right")))
                     lists += order[:wanted].tolist()
                     rows += [i] * len(order[:wanted])
                 copied = batch.take(pa.array(rows, pa.int64()))
