@@ -16,10 +16,12 @@ def alert_event_time(alerts: DataFrame, ingest_time: str = "timestamp") -> DataF
 
 
 def window_counts(alerts: DataFrame, window: str = S.WINDOW_DURATION, key: str = "key") -> DataFrame:
-    """Count and newest event time per (key, window).
+    """Count per (key, window). Partial counts combine map-side, so hot keys stay cheap."""
+    return _counted(alerts, window, key).drop("newest")
 
-    Partial counts combine map-side, so hot keys stay cheap.
-    """
+
+def _counted(alerts: DataFrame, window: str, key: str) -> DataFrame:
+    """Count and newest event time per (key, window)."""
     counted = (
         alerts.where(F.col(key).isNotNull())
         .groupBy(F.col(key), F.window("ts", window).alias("window"))
@@ -50,9 +52,9 @@ def count_alerts(
     """
     keyed = alerts.where(F.col(key).isNotNull())
     if alerts.isStreaming:
-        counts = window_counts(keyed.withWatermark("ts", grace), window, key)
+        counts = _counted(keyed.withWatermark("ts", grace), window, key)
     else:
-        counts = window_counts(keyed, window, key)
+        counts = _counted(keyed, window, key)
         if final_only:
             # From the windows, so that the alerts are read once.
             closed_before = counts.agg(F.max("newest") - F.expr(f"INTERVAL {grace}"))

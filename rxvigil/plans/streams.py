@@ -15,6 +15,7 @@ from rxvigil import schemas as S
 from rxvigil import streaming as st
 from rxvigil.plans.views import BATCHES, VIEWS, plain_timestamps, project_view, view
 from rxvigil.session import scratch_path
+from rxvigil.sources import stream_feed
 
 ACCEPTED_TOPIC = "catalogue.accepted"
 
@@ -66,7 +67,7 @@ def _run(spark: SparkSession, name: str, raw: DataFrame, start) -> DataFrame:
     folder = scratch_path(spark, name)
     for batch in range(BATCHES):
         raw.where(F.col("arrives") == batch).drop("arrives").write.mode("append").parquet(f"{folder}/feed")
-        stream = st.stream_feed(spark, f"{folder}/feed")
+        stream = stream_feed(spark, f"{folder}/feed")
         start(stream, st.file_sink(f"{folder}/records"), f"{folder}/checkpoint").awaitTermination()
     return st.read_records(spark, f"{folder}/records")
 
