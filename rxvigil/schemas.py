@@ -54,6 +54,7 @@ def _struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
 
 _STR, _DBL, _TS = T.StringType(), T.DoubleType(), T.TimestampType()
 
+# Field names, types and nullability of the records.
 MEDICINAL_PRODUCT = _struct(
     ("gtin", _STR, False),
     ("authorizationNumber", _STR, False),

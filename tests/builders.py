@@ -20,7 +20,7 @@ def at(seconds):
 def change(key, offset, status="ACTIVE", delete=False, auth="AUTH", ex=5.5, public=12.8, narc=None, ts=None):
     return (
         key, "hci.medicinal-products.avro", 0, offset, at(offset) if ts is None else ts, delete,
-        auth, "Amoxicillin", "Test Pharma AG", status, ex, public, narc,
+        auth, "Samplin", "Muster Labs", status, ex, public, narc,
     )
 
 
@@ -31,7 +31,7 @@ def changelog(spark, rows):
 def products(spark, *rows):
     """(key, name, narcoticsCategory)"""
     return spark.createDataFrame(
-        [(k, k, "68000", n, "N02BE01", "Tablette", "Test Pharma AG", "Amoxicillin", "ACTIVE", 5.5, 12.8, c)
+        [(k, k, "A-17", n, "X00YZ09", "Pill", "Muster Labs", "Samplin", "ACTIVE", 5.5, 12.8, c)
          for k, n, c in rows],
         "key string, gtin string, authorizationNumber string, productName string, atcCode string, "
         "dosageForm string, manufacturer string, activeSubstance string, marketingStatus string, "
@@ -42,7 +42,7 @@ def products(spark, *rows):
 def alerts(spark, *rows):
     """(alertId, key, type, severity)"""
     return spark.createDataFrame(
-        [(k, "hci.drug-alerts.avro", 0, i, a, k, t, s, f"Test alert: {t}", "", T0)
+        [(k, "hci.drug-alerts.avro", 0, i, a, k, t, s, f"Notice: {t}", "", T0)
          for i, (a, k, t, s) in enumerate(rows)],
         "key string, topic string, partition int, offset bigint, alertId string, gtin string, "
         "alertType string, severity string, headline string, description string, issuedByUtc timestamp",
@@ -52,7 +52,7 @@ def alerts(spark, *rows):
 def updates(spark, *rows):
     """(key, previous, new)"""
     return spark.createDataFrame(
-        [(k, "hci.price-updates.avro", 0, i, k, p, n, "BAG_REVIEW", T0) for i, (k, p, n) in enumerate(rows)],
+        [(k, "hci.price-updates.avro", 0, i, k, p, n, "YEARLY_REVIEW", T0) for i, (k, p, n) in enumerate(rows)],
         "key string, topic string, partition int, offset bigint, gtin string, "
         "previousPublicPriceCHF double, newPublicPriceCHF double, changeReason string, "
         "effectiveDateUtc timestamp",

@@ -140,8 +140,8 @@ def test_accepted_catalogue_and_rejections(spark):
     envelopes = {r.offset: r for r in rejection_envelopes(verdicts).collect()}
     assert envelopes[4].errorType == "VALIDATION" and envelopes[4].stackTrace is None
     assert envelopes[4].context == {
-        "gtin": "c", "productName": "Amoxicillin", "validationRule": "PRICE_INVERSION",
-        "manufacturer": "Test Pharma AG",
+        "gtin": "c", "productName": "Samplin", "validationRule": "PRICE_INVERSION",
+        "manufacturer": "Muster Labs",
     }
     assert "gtin" not in envelopes[5].context and envelopes[5].context["validationRule"] == "GTIN_REQUIRED"
 

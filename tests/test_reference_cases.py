@@ -34,35 +34,35 @@ from tests.builders import T0, alerts, at, one_row, prices, products, updates
 # -- alert enrichment ---------------------------------------------------------
 
 def test_known_product_is_enriched(spark):
-    catalogue = products(spark, ("7680123450001", "Amoxicillin 500mg", None))
+    catalogue = products(spark, ("1000000000011", "Samplin 20mg", None))
     [row] = known(enrich_alerts(
-        alerts(spark, ("alert-001", "7680123450001", "RECALL", "CLASS_I")), catalogue)).collect()
-    assert (row.alertId, row.gtin) == ("alert-001", "7680123450001")
-    assert (row.productName, row.manufacturer) == ("Amoxicillin 500mg", "Test Pharma AG")
+        alerts(spark, ("a-1", "1000000000011", "RECALL", "CLASS_I")), catalogue)).collect()
+    assert (row.alertId, row.gtin) == ("a-1", "1000000000011")
+    assert (row.productName, row.manufacturer) == ("Samplin 20mg", "Muster Labs")
     assert row.narcotic is False and "CRITICAL" in row.severityLabel
 
 
 def test_narcotic_alert_is_in_both_outputs(spark):
-    catalogue = products(spark, ("7680999000001", "Morphin 10mg", "BetmG-A"))
+    catalogue = products(spark, ("1000000000033", "Opiatin 5mg", "BetmG-A"))
     enriched = enrich_alerts(
-        alerts(spark, ("alert-narco-001", "7680999000001", "RECALL", "CLASS_I")), catalogue)
+        alerts(spark, ("n-1", "1000000000033", "RECALL", "CLASS_I")), catalogue)
     [row] = known(enriched).collect()
     assert row.narcotic and row.narcoticsCategory == "BetmG-A"
-    assert narcotics_only(enriched).select("alertId").collect() == [("alert-narco-001",)]
+    assert narcotics_only(enriched).select("alertId").collect() == [("n-1",)]
     assert [r.topic for r in alert_records(enriched).collect()] == [S.ENRICHED_TOPIC, S.NARCOTICS_TOPIC]
 
 
 @pytest.mark.parametrize("category", [None, "", " ", "\t", " \n"])
 def test_blank_category_is_no_narcotic(spark, category):
-    catalogue = products(spark, ("7680123450002", "Paracetamol 500mg", category))
-    enriched = enrich_alerts(alerts(spark, ("a", "7680123450002", "SHORTAGE", "ADVISORY")), catalogue)
+    catalogue = products(spark, ("1000000000022", "Paracetamol 500mg", category))
+    enriched = enrich_alerts(alerts(spark, ("a", "1000000000022", "SHORTAGE", "ADVISORY")), catalogue)
     assert known(enriched).count() == 1 and narcotics_only(enriched).count() == 0
 
 
 def test_unknown_product_yields_only_a_dead_letter(spark):
     catalogue = products(spark, ("other", "Other", None))
     enriched = enrich_alerts(
-        alerts(spark, ("alert-unknown", "7680UNKNOWN001", "RECALL", "CLASS_II"),
+        alerts(spark, ("u-1", "1000UNLISTED1", "RECALL", "CLASS_II"),
                ("no-key", None, "RECALL", "CLASS_II")), catalogue)
     assert known(enriched).count() == 0 and narcotics_only(enriched).count() == 0
     assert unknown(enriched).count() == 2
@@ -70,8 +70,8 @@ def test_unknown_product_yields_only_a_dead_letter(spark):
 
 
 def test_severity_labels(spark):
-    catalogue = products(spark, ("7680SEVER00001", "Test Product", None))
-    rows = [(f"sev-{s}", "7680SEVER00001", "RECALL", s) for s in (*S.SEVERITIES, None)]
+    catalogue = products(spark, ("1000SEVERITY1", "Test Product", None))
+    rows = [(f"sev-{s}", "1000SEVERITY1", "RECALL", s) for s in (*S.SEVERITIES, None)]
     enriched = known(enrich_alerts(alerts(spark, *rows), catalogue)).collect()
     assert {r.severity: r.severityLabel for r in enriched} == {**S.SEVERITY_LABELS, None: "UNKNOWN"}
 
@@ -113,7 +113,7 @@ def test_surge(spark, confirmed, previous, new, expected):
     rows = detect_price_surges(updates(spark, ("k", previous, new)), table).collect()
     assert [r.changePercent for r in rows] == ([] if expected is None else [expected])
     if rows:
-        assert rows[0].newPublicPriceCHF == new and rows[0].changeReason == "BAG_REVIEW"
+        assert rows[0].newPublicPriceCHF == new and rows[0].changeReason == "YEARLY_REVIEW"
         assert rows[0].productName is None and rows[0].detectedAt is not None
 
 
@@ -151,7 +151,7 @@ def test_dlq_topic(spark, topic, expected):
 
 def test_envelope_has_all_fields(spark):
     failed = spark.createDataFrame(
-        [("hci.drug-alerts.avro", 2, 1234, bytearray(b"k"), None, "7680123456789")],
+        [("hci.drug-alerts.avro", 2, 1234, bytearray(b"k"), None, "1000000000044")],
         "topic string, partition int, offset bigint, rk binary, rv binary, gtin string")
     made = envelope(
         failed, "DESERIALIZATION", F.lit("test failure"), "TestProcessor", {"gtin": "gtin", "lot": F.lit(None)},
@@ -163,7 +163,7 @@ def test_envelope_has_all_fields(spark):
     assert (row.errorType, row.errorMessage, row.exceptionClass) == (
         "DESERIALIZATION", "test failure", "RuntimeException")
     assert row.retryCount == 0 and row.processorName == "TestProcessor"
-    assert row.context == {"gtin": "7680123456789"} and row.failedAt.endswith("Z")
+    assert row.context == {"gtin": "1000000000044"} and row.failedAt.endswith("Z")
     assert row.originalKeyBase64 == "aw==" and row.originalValueBase64 is None
 
 

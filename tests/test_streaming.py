@@ -13,19 +13,19 @@ from tests.builders import T0, at, change, changelog
 MS0 = int(T0.timestamp()) * 1000
 
 
-def product(key, name="Amoxicillin 500mg", narcotics=None, public=12.8, status="ACTIVE", ex=5.5):
+def product(key, name="Samplin 20mg", narcotics=None, public=12.8, status="ACTIVE", ex=5.5):
     return dict(
-        gtin=key, authorizationNumber="68000", productName=name, atcCode="N02BE01",
-        dosageForm="Tablette", manufacturer="Test Pharma AG", activeSubstance="Amoxicillin",
+        gtin=key, authorizationNumber="A-17", productName=name, atcCode="X00YZ09",
+        dosageForm="Pill", manufacturer="Muster Labs", activeSubstance="Samplin",
         marketingStatus=status, exFactoryPriceCHF=ex, publicPriceCHF=public, lastUpdatedUtc=MS0,
-        dataSource="TEST", packageSize="30 Tabletten", narcoticsCategory=narcotics,
+        dataSource="TEST", packageSize="20 pills", narcoticsCategory=narcotics,
     )
 
 
 def alert(alert_id, key, seconds=0, severity="CLASS_I", type_="RECALL"):
     return dict(
         alertId=alert_id, gtin=key, alertType=type_, severity=severity,
-        headline=f"Test alert: {type_}", description="d", affectedLots=[],
+        headline=f"Notice: {type_}", description="d", affectedLots=[],
         issuedByUtc=MS0 + int(seconds * 1000), expiresUtc=None, sourceUrl="u",
     )
 
@@ -34,7 +34,7 @@ def price(key, previous, new):
     return dict(
         gtin=key, previousExFactoryPriceCHF=previous * 0.7, newExFactoryPriceCHF=new * 0.7,
         previousPublicPriceCHF=previous, newPublicPriceCHF=new, effectiveDateUtc=MS0,
-        changeReason="BAG_REVIEW", changedBy="BAG", approvalReference=None,
+        changeReason="YEARLY_REVIEW", changedBy="desk", approvalReference=None,
     )
 
 
@@ -87,22 +87,22 @@ P, A, U = S.PRODUCTS_TOPIC, S.ALERTS_TOPIC, S.PRICES_TOPIC
 
 @pytest.mark.parametrize("start", [st.start_alert_enrichment, st.start_strict_enrichment])
 def test_enrichment_routes(run, feed, start):
-    feed.add((P, "p1", product("p1")), (P, "n1", product("n1", "Morphin 10mg", "BetmG-A")))
-    feed.add((A, "p1", alert("alert-001", "p1")), (A, "n1", alert("alert-narco-001", "n1")),
-             (A, "x", alert("alert-x", "x", severity="CLASS_II")), (A, None, alert("alert-n", "p1")),
+    feed.add((P, "p1", product("p1")), (P, "n1", product("n1", "Opiatin 5mg", "BetmG-A")))
+    feed.add((A, "p1", alert("a-1", "p1")), (A, "n1", alert("n-1", "n1")),
+             (A, "x", alert("u-2", "x", severity="CLASS_II")), (A, None, alert("alert-n", "p1")),
              (A, "p1", None))
     found = run(start, feed)
     enriched = {json.loads(v)["alertId"]: json.loads(v) for _, v in found[S.ENRICHED_TOPIC]}
-    assert set(enriched) == {"alert-001", "alert-narco-001"}
-    first = enriched["alert-001"]
+    assert set(enriched) == {"a-1", "n-1"}
+    first = enriched["a-1"]
     assert list(first) == list(S.ENRICHED_COLUMNS)
-    assert first["manufacturer"] == "Test Pharma AG" and first["narcotic"] is False
+    assert first["manufacturer"] == "Muster Labs" and first["narcotic"] is False
     assert "CRITICAL" in first["severityLabel"] and first["issuedAt"] == "2024-01-01T00:00:00Z"
     assert first["narcoticsCategory"] is None
     [(key, value)] = found[S.NARCOTICS_TOPIC]
     assert key == "n1" and json.loads(value)["narcotic"] is True
     letters = [json.loads(v) for _, v in found["hci.dlq.drug-alerts.avro"]]
-    assert {e["context"]["alertId"] for e in letters} == {"alert-x", "alert-n"}
+    assert {e["context"]["alertId"] for e in letters} == {"u-2", "alert-n"}
     assert {e["errorType"] for e in letters} == {"VALIDATION"} and "stackTrace" not in letters[0]
 
 
@@ -184,7 +184,7 @@ def test_price_surges(run, feed, start):
              (U, "c", price("c", 50.0, 30.0)), (U, "d", price("d", 200.0, 300.0)))
     found = {k: json.loads(v) for k, v in run(start, feed)[S.SURGE_TOPIC]}
     assert set(found) == {"a", "d"}
-    assert found["a"]["newPublicPriceCHF"] == 125.0 and found["a"]["changeReason"] == "BAG_REVIEW"
+    assert found["a"]["newPublicPriceCHF"] == 125.0 and found["a"]["changeReason"] == "YEARLY_REVIEW"
     assert found["a"]["changePercent"] == 25.0 and found["d"]["changePercent"] == 50.0
     assert found["a"]["productName"] is None and found["a"]["detectedAt"].endswith("Z")
 
