@@ -28,8 +28,8 @@ class Settings:
     list_rows: int = 256
     most_lists: int = 16384
     sample: int = 40_000
-    replicas: int = 8
-    closure: float = 1.2
+    replicas: int = 4
+    closure: float = 1.05
     recall: float = 0.97
     trials: int = 64
     degree: int = 16
@@ -248,22 +248,12 @@ def _assigner(shared, settings: Settings):
             for at in range(0, whole.num_rows, AT_ONCE):
                 batch = whole.slice(at, AT_ONCE)
                 ids, reach = graph.nearest(_matrix(batch.column(1)), beam)
-                rows, lists = [], []
-                for i in range(batch.num_rows):
-                    chosen: list[int] = []
-                    for c, d in zip(ids[i, : 2 * most].tolist(), reach[i, : 2 * most].tolist()):
-                        if len(chosen) == most or d > closure * reach[i, 0]:
-                            break
-                        # A list is left out if one already chosen lies nearer to it than the vector does.
-                        others = graph.centroids[chosen] - graph.centroids[c]
-                        if not chosen or (others**2).sum(1).min() >= d * d:
-                            chosen.append(c)
-                    rows += [i] * len(chosen)
-                    lists += chosen
-                home = np.append(True, np.diff(rows) > 0) if rows else np.empty(0, bool)
-                copied = batch.take(pa.array(rows, pa.int64()))
+                # Lists whose centroids are about as near as the nearest one.
+                near = reach[:, :most] <= closure * reach[:, :1]
+                rows, nth = np.nonzero(near)
+                copied = batch.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists, pa.int32()), pa.array(home), copied.column(0), copied.column(1), copied.column(2)],
+                    [pa.array(ids[rows, nth].astype(np.int32)), pa.array(nth == 0), copied.column(0), copied.column(1), copied.column(2)],
                     ["list", "home", "vec_id", "vector", "query"],
                 )
 
