@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ from rxvigil.session import written_table
 
 SCORES = "n_tokens long, target_loss double, background_loss double, difference double"
 WORDS_AT_ONCE = 200_000
+#: Slots in a block of counts, and tasks whose blocks one call adds up.
+BLOCK, TASKS_A_TURN = 8192, 256
 
 
 @dataclass(frozen=True)
@@ -57,8 +60,9 @@ def score(
     marks = targets.select(F.col(key).alias("key")).distinct().withColumn("target", F.lit(True))
     marked = encoded.join(marks, "key", "left").select("words", F.coalesce("target", F.lit(False)).alias("target"))
     size = len(ids) + 1
-    counted = marked.mapInArrow(_bigram_counts(size, settings.buckets), "part int, slot int, target long, background long")
-    counted = counted.groupBy("part", "slot").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    counted = marked.mapInArrow(_bigram_counts(size, settings.buckets), "turn int, block int, target binary, background binary")
+    counted = counted.groupBy("turn", "block").applyInArrow(_summed, "slot long, target long, background long")
+    counted = counted.groupBy("slot").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
     table = counted.toArrow()  # as many rows as the vocabulary and the buckets have
     models = spark.sparkContext.broadcast(_models(table, size, settings))
     scored = encoded.mapInArrow(_scorer(models, settings), f"key {kind}, {SCORES}")
@@ -105,38 +109,52 @@ def _pairs(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bigram_counts(size: int, buckets: int):
-    """Counts of words, of words before another, and of bigrams (parts 0, 1, 2), for the target and for all texts."""
+    """Counts of words, of words before another, and of bigrams, for the target and for all texts.
+
+    The three follow each other in one row of slots, which leaves a task in blocks. A turn is a number of tasks
+    whose blocks are added up together.
+    """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = [[np.zeros(n, np.int64) for n in (size, size, buckets)] for _ in range(2)]
+        sums = np.zeros((2, 2 * size + buckets), np.int32)
         for batch in batches:
             for data, target in zip(batch.column(0), batch.column(1).to_pylist()):
                 words = np.frombuffer(data.as_py(), "<u2").astype(np.uint64)
                 before, bucket = _pairs(words, buckets)
+                slots = np.concatenate([words.astype(np.int64), before.astype(np.int64) + size, bucket + 2 * size])
                 for model in sums[: 1 + target]:
-                    for total, at in zip(model, (words.astype(np.int64), before.astype(np.int64), bucket)):
-                        np.add.at(total, at, 1)
-        for part, (background, target) in enumerate(zip(*sums)):
-            at = np.flatnonzero(background)
-            for i in range(0, len(at), WORDS_AT_ONCE):
-                slots = at[i : i + WORDS_AT_ONCE]
+                    np.add.at(model, slots, 1)
+        turn = TaskContext.get().partitionId() // TASKS_A_TURN
+        for at in range(0, sums.shape[1], BLOCK):
+            background, target = sums[:, at : at + BLOCK]
+            if background.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(slots), part, np.int32)), pa.array(slots.astype(np.int32)),
-                     pa.array(target[slots]), pa.array(background[slots])],
-                    ["part", "slot", "target", "background"],
+                    [pa.array([turn], pa.int32()), pa.array([at // BLOCK], pa.int32()),
+                     pa.array([target.tobytes()], pa.binary()), pa.array([background.tobytes()], pa.binary())],
+                    ["turn", "block", "target", "background"],
                 )
 
     return count
 
 
+def _summed(blocks: pa.Table) -> pa.Table:
+    """The sums of a block over the tasks of a turn, by slot."""
+    target, background = (
+        sum(np.frombuffer(value.as_py(), np.int32).astype(np.int64) for value in blocks[name])
+        for name in ("target", "background")
+    )
+    at = np.flatnonzero(background)
+    slots = at + blocks["block"][0].as_py() * BLOCK
+    return pa.table({"slot": slots, "target": target[at], "background": background[at]})
+
+
 def _models(table: pa.Table, size: int, settings: Settings) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For the target and the background: word probabilities, contexts' counts and bigrams' counts, of equal mass."""
-    part, slot = (table[n].to_numpy() for n in ("part", "slot"))
     counts = {}
     for name in ("target", "background"):
-        counts[name] = [np.zeros(n) for n in (size, size, settings.buckets)]
-        for number, total in enumerate(counts[name]):
-            total[slot[part == number]] = table[name].to_numpy()[part == number]
+        slots = np.zeros(2 * size + settings.buckets)
+        slots[table["slot"].to_numpy()] = table[name].to_numpy()
+        counts[name] = np.split(slots, [size, 2 * size])
     if not counts["target"][0].any():
         counts["target"] = counts["background"]
     mass, out = counts["target"][0].sum(), []
