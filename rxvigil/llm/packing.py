@@ -23,11 +23,14 @@ KNOWN_WORDS = 400_000
 ROWS_PER_BATCH = 2048
 
 
-def pack(docs: DataFrame, ranks: str, longest: int = 1024, end: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(
+    docs: DataFrame, ranks: str, longest: int = 1024, end: int = 0, key: str = "doc_id", text: str = "text",
+    added: dict[str, int] | None = None,
+) -> DataFrame:
     """One row per sequence: a piece of one document, a power of two long, hence without any padding.
 
     A document is the ids of its whole text under the byte-level BPE whose ranks lie at ``ranks``, then the id
-    ``end``. It is cut into pieces of ``longest`` and then the binary digits of the rest, longest first. Each piece is
+    ``end``; a string of ``added`` in the text has the id that stands there. It is cut into pieces of ``longest`` and then the binary digits of the rest, longest first. Each piece is
     a sequence of its own; ``bucket`` is its length, by which :func:`write_buckets` keeps equal lengths together.
     ``tokens`` holds the ids as little-endian unsigned 32-bit numbers. ``sequence_id`` is unique in the result, in no
     special order. No row is shuffled. A null or empty text gives the single id ``end``. Rows are packed one by
@@ -37,7 +40,7 @@ def pack(docs: DataFrame, ranks: str, longest: int = 1024, end: int = 0, key: st
         raise ValueError("longest must be a power of two")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks)
+        encode = encoder(ranks, added)
         last = np.array([end], dtype="<u4").tobytes()
         next_id, pieces = TaskContext.get().partitionId() << 33, []
         for doc_id, words in rows_of(batches):
@@ -62,9 +65,10 @@ def write_buckets(pieces: DataFrame, path: str) -> None:
     pieces.write.partitionBy("bucket").parquet(path)
 
 
-def encoder(ranks: str):
+def encoder(ranks: str, added: dict[str, int] | None = None):
     """A function from a text to the bytes of its ids.
 
+    The text is first split at the strings of ``added``, which have ids of their own, as tokenizers does.
     The pre-tokenizer never joins text across a single space between two non-spaces, and the space opens what
     follows it. So a text falls into chunks whose ids are the same wherever they stand, and known ones are looked up.
     """
@@ -79,7 +83,7 @@ def encoder(ranks: str):
     def ids(text: str) -> bytes:
         return np.array(bpe.encode_ordinary(text), dtype="<u4").tobytes()
 
-    def encode(text: str) -> bytes:
+    def plain(text: str) -> bytes:
         if WIDE_SPACE.search(text):
             return ids(text)
         first, *rest = text.split(" ")
@@ -93,6 +97,15 @@ def encoder(ranks: str):
             found.append(got)
         return b"".join(found)
 
+    if not added:
+        return plain
+    whole = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")
+    special = {t: np.array([i], dtype="<u4").tobytes() for t, i in added.items()}
+
+    def encode(text: str) -> bytes:
+        parts = whole.split(text)
+        return b"".join(special[t] if n % 2 else plain(t) for n, t in enumerate(parts) if t) if len(parts) > 1 else plain(text)
+
     return encode
 
 

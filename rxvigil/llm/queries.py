@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +18,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def byte_bpe() -> str:
-    """Where the ranks of the 50k byte-level BPE lie; their ids equal ``byte_bpe_50k.json``'s."""
+    """Where the ranks of the 50k byte-level BPE lie; with :func:`added_tokens` their ids equal ``byte_bpe_50k.json``'s."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens() -> dict[str, int]:
+    """The strings in ``byte_bpe_50k.json`` that are one id wherever they stand."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens with conditions are not supported")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = _table(spark, sf_dir, "labels").filter("quality = 1")
     return lm_scoring.score(_table(spark, sf_dir, "documents"), targets)
@@ -33,7 +46,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(_table(spark, sf_dir, "documents"), byte_bpe())
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), byte_bpe(), added=added_tokens())
     return pieces.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
 
 

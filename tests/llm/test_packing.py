@@ -79,3 +79,36 @@ def test_buckets_on_disk(spark, tmp_path):
     packing.write_buckets(pieces, str(tmp_path / "out"))
     lengths = {p.name for p in (tmp_path / "out").iterdir() if p.is_dir()}
     assert lengths == {f"bucket={r['length']}" for r in rows(pieces)}
+
+
+def plain_call():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def both():
+    return packing.encoder(queries.byte_bpe(), queries.added_tokens()), plain_call()
+
+
+@settings(max_examples=150, deadline=None)
+@given(parts=st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", " b's", "漢"]), max_size=12))
+def test_added_tokens_equal_the_tokenizers_plain_call(both, parts):
+    encode, call = both
+    text = "".join(parts)
+    assert np.frombuffer(encode(text), "<u4").tolist() == call(text)
+
+
+@pytest.mark.parametrize("stage", ["op3_packing", "pipeline"])
+def test_queries_give_added_tokens(spark, tmp_path, stage):
+    import corpus_pipeline
+
+    given = [(1, "one doc<|endoftext|>next doc"), (2, "<|endoftext|> it's")]
+    docs = frame(spark, given)
+    if stage == "pipeline":
+        found = rows(corpus_pipeline.pack_sequences(spark, docs, ""))
+        assert unpacked(found) == expected(plain_call(), given)
+        return
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    lengths = {r["doc_id"]: r["doc_tokens"] for r in rows(queries.op3_packing(spark, str(tmp_path)))}
+    assert lengths == {i: len(plain_call()(t)) + 1 for i, t in given}
