@@ -1,36 +1,35 @@
 """Cross-entropy difference: how much better an n-gram model of the target predicts a document than one of all texts.
 
 Both models are interpolated bigram models over one vocabulary with the same smoothing, and the background's counts are
-scaled to the target's number of words, so that they differ in nothing but the texts they were counted on.
+scaled to the target's number of words, so that they differ in nothing but the texts they were counted on. Counts are
+exact and lie in tables, which grow with the corpus: every word and every bigram has a row.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rxvigil.llm.words import plain_words
 from rxvigil.session import written_table
 
-SCORES = "n_tokens long, target_loss double, background_loss double, difference double"
-WORDS_AT_ONCE = 200_000
-#: Slots in a block of counts, and tasks whose blocks one call adds up.
-BLOCK, TASKS_A_TURN = 8192, 256
+BAGS = "target boolean, n_tokens long, before array<binary>, word array<binary>, n array<int>"
+#: Rows whose bigrams are held at once.
+ROWS_AT_ONCE = 64
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``vocabulary``: the commonest words that are told apart, below 65,535; ``buckets``: hashed bigrams, a power of
-    two; ``pull``: weight of the unigram distribution, in counts. The models are as large whatever the input's size."""
+    """``pull``: weight of the unigram distribution, in counts. ``vocabulary`` and ``buckets`` do nothing: all words and
+    bigrams are told apart."""
 
-    vocabulary: int = 60_000
-    buckets: int = 1 << 20
+    vocabulary: int | None = None
+    buckets: int | None = None
     pull: float = 20.0
 
 
@@ -41,152 +40,65 @@ def score(
 
     ``targets`` holds the keys of the target's documents; the background is all documents. Losses are mean bits a word;
     ``difference`` is the mean over the words of target loss less background loss, so it is lower for a document
-    closer to the target. A text's words are runs of letters, digits and non-ASCII characters with A-Z lower-cased; words
-    outside the vocabulary are one word. Null and wordless texts have 0 tokens and a difference of 0. Without target
-    documents both models are equal and every difference is 0. Repeated rows are counted and scored each; null keys
-    are background only. Other input columns are not carried. An empty table gives an empty result.
+    closer to the target. A text's words are runs of letters, digits and non-ASCII characters with A-Z lower-cased.
+    Null and wordless texts have 0 tokens and a difference of 0. Without target documents both models are equal and
+    every difference is 0. Repeated rows are counted and scored each; null keys are background only. Other input columns
+    are not carried. An empty table gives an empty result.
     """
     settings = settings or Settings()
-    spark = docs.sparkSession
     source = docs.select(F.col(key).alias("key"), F.col(text).cast("string").cast("binary").alias("text"))
-    words = source.select("text").mapInArrow(_word_counts, "word binary, n long")
-    common = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(settings.vocabulary)
-    # Id 0 stands for every other word, and for a text's beginning.
-    ids = {bytes(r["word"]): i + 1 for i, r in enumerate(common.select("word").collect())}
-    known = spark.sparkContext.broadcast(ids)
-    kind = source.schema["key"].dataType.simpleString()
-    encoded = written_table(source.mapInArrow(_encoder(known), f"key {kind}, words binary"), "encoded-words")
-
     marks = targets.select(F.col(key).alias("key")).distinct().withColumn("target", F.lit(True))
-    marked = encoded.join(marks, "key", "left").select("words", F.coalesce("target", F.lit(False)).alias("target"))
-    size = len(ids) + 1
-    counted = marked.mapInArrow(_bigram_counts(size, settings.buckets), "turn int, block int, target binary, background binary")
-    counted = counted.groupBy("turn", "block").applyInArrow(_summed, "slot long, target long, background long")
-    counted = counted.groupBy("slot").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-    table = counted.toArrow()  # as many rows as the vocabulary and the buckets have
-    models = spark.sparkContext.broadcast(_models(table, size, settings))
-    scored = encoded.mapInArrow(_scorer(models, settings), f"key {kind}, {SCORES}")
-    return scored.withColumnRenamed("key", key)
-
-
-def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[bytes, int] = {}
-
-    def out():
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
-        )
-
-    for batch in batches:
-        for text in batch.column(0):
-            for word in plain_words(text.as_py()):
-                counts[word] = counts.get(word, 0) + 1
-            if len(counts) >= WORDS_AT_ONCE:
-                yield out()
-                counts = {}
-    if counts:
-        yield out()
-
-
-def _encoder(known):
-    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = known.value
-        for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                words = plain_words(text.as_py())
-                rows.append(np.fromiter((ids.get(w, 0) for w in words), "<u2", len(words)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["key", "words"])
-
-    return encode
-
+    marked = source.join(marks, "key", "left").select("key", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    kind = source.schema["key"].dataType.simpleString()
+    bags = marked.mapInArrow(_bags, f"key {kind}, {BAGS}").withColumn("row", F.monotonically_increasing_id())
+    bags = written_table(bags, "bags-of-bigrams")
+    pairs = bags.select("row", "target", F.inline(F.arrays_zip("before", "word", "n")))
 
-def _pairs(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each word, and the bucket of both."""
-    before = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
-    mixed = (before * np.uint64(0x9E3779B97F4A7C15) + words + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    return before, (mixed >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64)
+    n = F.col("n").cast("long")
+    bigrams = pairs.groupBy("before", "word").agg(
+        F.sum(F.when(F.col("target"), n).otherwise(0)).alias("target"), F.sum(n).alias("background")
+    )
+    bigrams = written_table(bigrams, "bigrams")
+    singles = _sums(bigrams, "word")
+    contexts = _sums(bigrams, "before")
+    size, target_mass, mass = singles.agg(F.count("*") + 1, F.sum("word_target"), F.sum("word_background")).first()
+    names = {"target": ("target" if target_mass else "background", 1.0), "background": ("background", (target_mass or mass or 1) / (mass or 1))}
+    target_mass = target_mass or mass or 0
+    counted = bigrams.join(singles, "word").join(contexts, "before")
+    losses = []
+    for model, (name, scale) in names.items():
+        single = (F.col(f"word_{name}") * scale + 1) / F.lit(float(target_mass + size))
+        seen = F.col(name) * scale + settings.pull * single
+        losses.append((-F.log2(seen / (F.col(f"before_{name}") * scale + settings.pull))).alias(f"{model}_loss"))
+    losses = written_table(counted.select("before", "word", *losses), "bigram-losses")
+    totals = pairs.join(losses, ["before", "word"]).groupBy("row").agg(
+        *(F.sum(n * F.col(c)).alias(c) for c in ("target_loss", "background_loss"))
+    )
+    words = F.greatest("n_tokens", F.lit(1))
+    means = [F.coalesce(F.col(c) / words, F.lit(0.0)).alias(c) for c in ("target_loss", "background_loss")]
+    scored = bags.select("row", "key", "n_tokens").join(totals, "row", "left").select("key", "n_tokens", *means)
+    return scored.withColumn("difference", F.col("target_loss") - F.col("background_loss")).withColumnRenamed("key", key)
 
 
-def _bigram_counts(size: int, buckets: int):
-    """Counts of words, of words before another, and of bigrams, for the target and for all texts.
+def _sums(bigrams: DataFrame, column: str) -> DataFrame:
+    """The bigrams' counts summed by one of their words."""
+    return written_table(
+        bigrams.groupBy(column).agg(*(F.sum(c).alias(f"{column}_{c}") for c in ("target", "background"))), f"{column}-counts"
+    )
 
-    The three follow each other in one row of slots, which leaves a task in blocks. A turn is a number of tasks
-    whose blocks are added up together.
-    """
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, 2 * size + buckets), np.int32)
-        for batch in batches:
-            for data, target in zip(batch.column(0), batch.column(1).to_pylist()):
-                words = np.frombuffer(data.as_py(), "<u2").astype(np.uint64)
-                before, bucket = _pairs(words, buckets)
-                slots = np.concatenate([words.astype(np.int64), before.astype(np.int64) + size, bucket + 2 * size])
-                for model in sums[: 1 + target]:
-                    np.add.at(model, slots, 1)
-        turn = TaskContext.get().partitionId() // TASKS_A_TURN
-        for at in range(0, sums.shape[1], BLOCK):
-            background, target = sums[:, at : at + BLOCK]
-            if background.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([turn], pa.int32()), pa.array([at // BLOCK], pa.int32()),
-                     pa.array([target.tobytes()], pa.binary()), pa.array([background.tobytes()], pa.binary())],
-                    ["turn", "block", "target", "background"],
-                )
-
-    return count
-
-
-def _summed(blocks: pa.Table) -> pa.Table:
-    """The sums of a block over the tasks of a turn, by slot."""
-    target, background = (
-        sum(np.frombuffer(value.as_py(), np.int32).astype(np.int64) for value in blocks[name])
-        for name in ("target", "background")
-    )
-    at = np.flatnonzero(background)
-    slots = at + blocks["block"][0].as_py() * BLOCK
-    return pa.table({"slot": slots, "target": target[at], "background": background[at]})
-
-
-def _models(table: pa.Table, size: int, settings: Settings) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For the target and the background: word probabilities, contexts' counts and bigrams' counts, of equal mass."""
-    counts = {}
-    for name in ("target", "background"):
-        slots = np.zeros(2 * size + settings.buckets)
-        slots[table["slot"].to_numpy()] = table[name].to_numpy()
-        counts[name] = np.split(slots, [size, 2 * size])
-    if not counts["target"][0].any():
-        counts["target"] = counts["background"]
-    mass, out = counts["target"][0].sum(), []
-    for words, before, pairs in counts.values():
-        scale = mass / words.sum() if words.any() else 1.0
-        single = (words * scale + 1) / (mass + size)
-        out.append((single, (before * scale).astype(np.float32), (pairs * scale).astype(np.float32)))
-    return out
-
-
-def _scorer(models, settings: Settings):
-    def score_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted, pull = models.value, settings.pull
-        for batch in batches:
+def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's distinct bigrams and their number; a text's beginning is the empty word."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+            batch = whole.slice(at, ROWS_AT_ONCE)
             rows = []
-            for data in batch.column(1):
-                words = np.frombuffer(data.as_py(), "<u2").astype(np.uint64)
-                before, bucket = _pairs(words, settings.buckets)
-                at, context = words.astype(np.int64), before.astype(np.int64)
-                losses = []
-                for single, contexts, pairs in fitted:
-                    # Buckets are shared, so a count can exceed its context's; that must not exceed certainty.
-                    seen = np.minimum(pairs[bucket], contexts[context]).astype(np.float64)
-                    losses.append(-np.log2((seen + pull * single[at]) / (contexts[context] + pull)))
-                n = len(words)
-                means = [float(x.mean()) if n else 0.0 for x in (*losses, losses[0] - losses[1])]
-                rows.append((n, *means))
-            kinds = (pa.int64(), pa.float64(), pa.float64(), pa.float64())
-            columns = zip(*rows) if rows else [[]] * 4
+            for text in batch.column(1):
+                words = plain_words(text.as_py())
+                bag = Counter(zip([b"", *words[:-1]], words))
+                rows.append((len(words), [v for v, _ in bag], [w for _, w in bag], list(bag.values())))
+            kinds = (pa.int64(), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                ["key", "n_tokens", "target_loss", "background_loss", "difference"],
+                [batch.column(0), batch.column(2), *(pa.array(c, t) for c, t in zip(zip(*rows), kinds))],
+                ["key", "target", "n_tokens", "before", "word", "n"],
             )
-
-    return score_rows

@@ -65,3 +65,17 @@ def test_no_targets_clashes_and_empty_tables(spark):
     found = rows(lm_scoring.score(clash, none))
     assert sorted((r["doc_id"], r["n_tokens"], r["difference"]) for r in found) == [(1, 3, 0.0), (2, 0, 0.0), (2, 0, 0.0)]
     assert rows(lm_scoring.score(clash.limit(0), none)) == []
+
+
+def test_production_settings_tell_all_words_and_bigrams_apart(spark):
+    """More words than 16 bits number and more bigrams than 2^17, with the settings of the query."""
+    rng = random.Random(18)
+    given = [(i, " ".join(f"w{rng.randrange(200_000)}" for _ in range(1000))) for i in range(150)]
+    targets = set(range(20))
+    keys = spark.createDataFrame([(k,) for k in targets], "doc_id long")
+    found = rows(lm_scoring.score(frame(spark, given), keys))
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["target_loss"], r["background_loss"]) for r in found)
+    expected = brute(given, targets)
+    assert len(got) == len(expected)
+    for one, two in zip(got, expected):
+        assert one[:2] == two[:2] and all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(one[2:], two[2:]))
