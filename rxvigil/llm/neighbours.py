@@ -75,7 +75,8 @@ def search(
         _assigner(shared, settings), "list int, home boolean, vec_id long, vector array<double>, query boolean"
     )
     postings = written_table(postings, "posting-lists")
-    held = postings.groupBy("list").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("int")).alias("homes")).collect()
+    at_home = F.count_distinct(F.when(F.col("home"), F.col("vec_id")))
+    held = postings.groupBy("list").agg(F.count("*").alias("n"), at_home.alias("homes")).collect()
     homes = np.zeros(len(graph.centroids), np.int64)
     for row in held:
         homes[row["list"]] = row["homes"]
@@ -298,11 +299,15 @@ def _comparer(k: int):
             for query, point in zip(asked["query_id"].to_pylist(), queries):
                 rough = ((points - point) ** 2).sum(1)
                 rough[ids == query] = np.inf
+                # Rows that repeat a key count once, at the nearest; so more rows are taken until there are k keys.
                 last = min(k, len(rough)) - 1
-                inside = np.flatnonzero((rough <= np.partition(rough, last)[last]) & np.isfinite(rough))
-                best = inside[np.lexsort((ids[inside], rough[inside]))]
-                # Rows that repeat a key count once.
-                best = best[np.sort(np.unique(ids[best], return_index=True)[1])][:k]
+                while True:
+                    inside = np.flatnonzero((rough <= np.partition(rough, last)[last]) & np.isfinite(rough))
+                    best = inside[np.lexsort((ids[inside], rough[inside]))]
+                    best = best[np.sort(np.unique(ids[best], return_index=True)[1])][:k]
+                    if len(best) >= k or last == len(rough) - 1:
+                        break
+                    last = min(4 * (last + 1), len(rough)) - 1
                 for column, values in zip(found, (np.full(len(best), query), ids[best], np.sqrt(rough[best]))):
                     column.append(values)
         arrays = [np.concatenate(c) if c else np.empty(0) for c in found]

@@ -77,3 +77,14 @@ def test_few_rows_clashes_and_empty_tables(spark):
     assert rows(neighbours.search(one, F.col("vec_id") % 100 == 0)) == []
     assert rows(neighbours.search(one.limit(0), F.col("vec_id") % 100 == 0)) == []
     assert rows(neighbours.search(one, F.lit(False))) == []
+
+
+def test_a_key_with_many_near_rows_leaves_room_for_others():
+    """30 rows of one key lie nearer than those of three other keys."""
+    import pyarrow as pa
+
+    ids = [7] * 30 + [8, 9, 10]
+    points = [[0.001 * (i + 1), 0.0] for i in range(30)] + [[1.0, 0.0], [2.0, 0.0], [3.0, 0.0]]
+    asked = pa.table({"query_id": [1], "vector": [[0.0, 0.0]]})
+    found = neighbours._comparer(3)(asked, pa.table({"vec_id": ids, "vector": points})).to_pylist()
+    assert [r["vec_id"] for r in found] == [7, 8, 9] and found[0]["score"] == 0.001
