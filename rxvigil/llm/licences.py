@@ -115,6 +115,14 @@ def _patterns(regex, notices: tuple[Notice, ...]) -> list:
     ]
 
 
+def _matches(pattern, joined: str, low: int, high: int):
+    """Matches in order. The best one comes first and the search goes on after it, so what lies before is searched again."""
+    for match in pattern.finditer(joined, low, high):
+        yield from _matches(pattern, joined, low, match.start())
+        yield match
+        low = match.end()
+
+
 def _places(joined: str, notices: tuple[Notice, ...], seeds, patterns) -> list[dict]:
     windows: dict[int, list[list[int]]] = {}
     for last, (length, owners) in seeds.iter(joined):
@@ -133,7 +141,7 @@ def _places(joined: str, notices: tuple[Notice, ...], seeds, patterns) -> list[d
         notice, size = notices[number], len(notices[number].words) + len(notices[number].tail)
         at = words = 0
         for low, high in ranges:
-            for match in patterns[number].finditer(joined, max(0, low), min(len(joined), high)):
+            for match in _matches(patterns[number], joined, max(0, low), min(len(joined), high)):
                 words += joined.count(" ", at, match.start())
                 at = match.start()
                 errors = sum(match.fuzzy_counts)

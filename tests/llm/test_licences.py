@@ -86,3 +86,9 @@ def test_awkward_rows_clashes_and_an_empty_table(spark):
     assert sorted(r["n_words"] for r in found) == sorted(len(words(t)) for _, t in given)
     assert rows(licences.scan(clash.limit(0))) == []
     assert re.search("label", " ".join(found[0]))
+
+
+def test_a_fuzzy_notice_right_before_a_better_one(spark):
+    notice = Notice("mit", "released under the mit license", errors=3)
+    found = places(spark, ["relesed undr the mit license y released under the mit license"], (notice,))
+    assert [(p["first"], p["past"], p["errors"]) for p in found[0]] == [(0, 5, 2), (6, 11, 0)]
