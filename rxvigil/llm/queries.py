@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxvigil.llm import (
-    decontamination, licences, lm_scoring, neighbours, packing, passages, quality, sharding, simhash, toxicity,
+    decontamination, divergence, edit_prints, licences, lm_scoring, neighbours, oracles, packing, passages, quality, sharding,
+    simhash, target_sampling, toxicity,
 )
 from rxvigil.session import written_table
 
@@ -158,6 +159,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_sampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_edit_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_prints.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_simhash": op2_simhash,
@@ -169,7 +182,13 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_licences": op9_licences,
     "op10_decontamination": op10_decontamination,
+    "op11_target_sampling": op11_target_sampling,
+    "op12_edit_prints": op12_edit_prints,
+    "op13_divergence": op13_divergence,
 }
 
 #: Queries that SQL can express on whole tables.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_target_sampling": oracles.OP11_TARGET_SAMPLING,
+    "op13_divergence": oracles.OP13_DIVERGENCE,
+}
