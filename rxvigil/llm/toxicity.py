@@ -1,12 +1,13 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of labelled texts is held in a block-max inverted index: for each term its postings and, for each block
-of examples, the largest weight in it. A text visits the blocks in order of the bound these give on the cosine,
-and stops when no block left can hold a nearer example than the k found, so the neighbours are exact.
+A bounded sample of labelled texts is held in a block-max inverted index with every term of theirs: for each term its
+postings and, for each block of examples, the largest weight in it. A text opens the blocks whose bounds are largest, then all
+others whose bound on the cosine reaches the k-th nearest example found, so the neighbours are exact.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -15,40 +16,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxvigil.llm.words import plain_words, rows_of
+from rxvigil.llm.words import plain_words
 from rxvigil.session import written_table
 
-HEADS = (3, 4, 5, 6)
-KNOWN_WORDS = 300_000
 EVIDENCE = "array<struct<example:long,label:int,cosine:double>>"
+#: Blocks that are opened before any is left out.
+OPENED_FIRST = 2
 
 
 @dataclass
 class Settings:
-    """Bounds of the fitted part: example texts a class, texts to calibrate with, terms, neighbours, block size.
+    """Bounds of the fitted part: example texts a class, texts to calibrate with, neighbours, examples a block.
 
-    A term must stand in ``least_texts`` examples and reach ``chi2``, which keeps chance finds out although some
-    hundred thousand terms are tested.
+    No term is left out. A term's weight is its TF-IDF times a relevance between ``least_relevance`` and 1, which grows with
+    the chi-square by which the examples' classes differ in it, and is a quarter at ``halfway``: texts share thousands of words that
+    say nothing about their label, and would drown the others in the cosine.
     """
 
-    per_class: int = 2000
+    per_class: int = 500
     to_calibrate: int = 6000
-    terms: int = 2048
     nearest: int = 15
-    block: int = 64
-    least_texts: int = 3
-    chi2: float = 25.0
-
-
-def _features(word: bytes) -> list[bytes]:
-    """A word, and its first few bytes marked as a head, so that inflected forms meet."""
-    return [word, *(word[:n] + b"*" for n in HEADS if len(word) > n)]
+    block: int = 32
+    halfway: float = 20.0
+    least_relevance: float = 1e-4
 
 
 def _learn(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
     """The sampled texts with their label and part: the first of each class by hash to be examples, others to calibrate.
 
-    ``labels`` holds ``key``, ``label`` and ``calibrates``. Repeated keys are labelled 1 if any of their rows is.
+    ``labels`` holds ``key``, ``label`` and ``calibrates``. Repeated keys are labelled 1 if any of their rows is; of several
+    texts with a labelled key the first by bytes is learnt from.
     """
     known = labels.filter("key IS NOT NULL AND label IN (0, 1)").groupBy("key").agg(
         F.max("label").cast("int").alias("label"), F.max("calibrates").alias("calibrates")
@@ -60,7 +57,8 @@ def _learn(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
         parts.append(one.orderBy(*order).limit(settings.per_class))
     # Bounded by the settings, so it may be sent to every task.
     chosen = written_table(parts[0].union(parts[1]).union(parts[2]), "labelled-sample")
-    return docs.join(F.broadcast(chosen), "key").dropDuplicates(["key"])
+    texts = docs.join(F.broadcast(chosen), "key").groupBy("key", "label", "calibrates").agg(F.min("text").alias("text"))
+    return written_table(texts, "labelled-texts")
 
 
 def fit(
@@ -70,45 +68,42 @@ def fit(
     """The index of labelled examples and the calibration of its votes; bounded by ``settings``.
 
     ``labels`` holds the key, the label and optionally a boolean ``calibrates``, which marks rows that set the
-    calibration instead of serving as examples. Terms are words and word heads that tell the classes apart by a
-    chi-square test on the examples; their document frequencies are counted over all documents.
+    calibration instead of serving as examples. Terms are the examples' words; their document frequencies are counted
+    over all documents. The driver holds the examples' terms, never other texts.
     """
     settings = settings or Settings()
     source = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").cast("binary").alias("text"))
     marks = F.col("calibrates") if "calibrates" in labels.columns else F.pmod(F.xxhash64(F.col(key)), F.lit(3)) == 0
     known = labels.select(F.col(key).cast("long").alias("key"), F.col(label).alias("label"), marks.alias("calibrates"))
-    schema = "key long, label int, calibrates boolean, term binary, n int"
-    learnt = written_table(_learn(source, known, settings).mapInArrow(_terms, schema), "labelled-terms")
-
-    examples = learnt.filter("NOT calibrates")
-    whole = examples.filter(F.length("term") == 0).agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
-    n1, n0 = (float(n or 0) for n in whole)
-    per_term = examples.filter(F.length("term") > 0).groupBy("term").agg(
-        F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b")
-    )
-    a, b = F.col("a"), F.col("b")
-    odd = (a * (n0 - b) - b * (n1 - a)) ** 2 * (n1 + n0) / F.nullif((a + b) * (n1 + n0 - a - b) * n1 * n0, F.lit(0.0))
-    telling = per_term.filter(a + b >= settings.least_texts).withColumn("chi2", odd)
-    telling = telling.filter(F.col("chi2") >= settings.chi2).orderBy(F.desc("chi2"), "term").limit(settings.terms)
-    names = [bytes(r.term) for r in telling.select("term").collect()]
-
-    spark = docs.sparkSession
+    learnt = _learn(source, known, settings)
+
+    bags = learnt.filter("NOT calibrates").mapInArrow(_bags, "key long, label int, terms array<binary>, n array<int>")
+    examples = sorted(zip(*(column.to_pylist() for column in bags.toArrow().columns)))
+    classes, of_class = Counter(e[1] for e in examples), (Counter(), Counter())
+    for _, one, terms, _ in examples:
+        of_class[one].update(terms)
+    names = sorted(of_class[0] | of_class[1])
     number = {t: i for i, t in enumerate(names)}
-    shared = spark.sparkContext.broadcast(number)
-    counted = source.select("text").mapInArrow(_document_frequencies(shared), "term int, n long")
-    frequency = dict(counted.groupBy("term").agg(F.sum("n")).collect())
-    total = frequency.get(-1, 0)
-    idf = np.array([np.log((total + 1) / (frequency.get(i, 0) + 1)) + 1 for i in range(len(names))])
-
-    numbered = spark.createDataFrame([(bytearray(t), i) for t, i in number.items()] + [(bytearray(), -1)], "term binary, i int")
-    vectors = (
-        learnt.join(F.broadcast(numbered), "term").groupBy("key", "label", "calibrates")
-        .agg(F.array_sort(F.collect_list(F.struct("i", "n"))).alias("terms")).collect()
-    )
-    weighed = [(r.key, r.label, r.calibrates, *_weigh([t for t in r.terms if t[0] >= 0], idf)) for r in vectors]
-    index = Index.build([w for w in weighed if not w[2]], len(names), settings.block)
+    spark = docs.sparkSession
+    counted = source.select("text").mapInArrow(_document_frequencies(spark.sparkContext.broadcast(number)), "term int, n long")
+    totals = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    frequency = np.zeros(len(names) + 1)
+    frequency[totals["term"].to_numpy()] = totals["n"].to_numpy()
+    idf = np.log((frequency[-1] + 1) / (frequency[:-1] + 1)) + 1
+    idf *= _relevance(*(np.array([c[t] for t in names], float) for c in of_class), classes[0], classes[1], settings)
+
+    weighed = [(k, one, *_weigh([number[t] for t in terms], n, idf)) for k, one, terms, n in examples]
+    index = Index.build(weighed, len(names), settings.block)
     model = Model(number, idf, index, settings.nearest, np.zeros(0), np.zeros(0), 0.5)
-    return model.calibrated([w for w in weighed if w[2]])
+    voted = learnt.filter("calibrates").mapInArrow(_voter(spark.sparkContext.broadcast(model.plain())), "label int, vote double")
+    return model.calibrated(list(zip(*(column.to_pylist() for column in voted.toArrow().columns))))
+
+
+def _relevance(b: np.ndarray, a: np.ndarray, n0: int, n1: int, settings: Settings) -> np.ndarray:
+    """From the examples of label 0 (``b`` of ``n0``) and label 1 (``a`` of ``n1``) that hold each term."""
+    below = (a + b) * (n1 + n0 - a - b) * n1 * n0
+    chi2 = (a * (n0 - b) - b * (n1 - a)) ** 2 * (n1 + n0) / np.maximum(below, 1)
+    return np.maximum((chi2 / (chi2 + settings.halfway)) ** 2, settings.least_relevance)
 
 
 def apply(docs: DataFrame, model: Model, text: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -122,76 +117,102 @@ def apply(docs: DataFrame, model: Model, text: str = "text", carry: list[str] |
     kept = [c for c in (carry or docs.columns) if c.lower() not in ("score", "evidence")]
     wanted = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(text).cast("string").cast("binary").alias("__text"))
     empty = wanted.drop("__text").withColumn("score", F.lit(0.0)).withColumn("evidence", F.lit(None).cast(EVIDENCE))
-    # Plain values, as a worker need not find this module.
-    shared = docs.sparkSession.sparkContext.broadcast({**vars(model), "index": vars(model.index)})
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = Model(**{**shared.value, "index": Index(**shared.value["index"])})
-        features = _Features(fitted.number)
+        fitted = Model.of(shared.value)
+        counts = _Counts(fitted.number)
         struct = pa.struct([("example", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())])
         for batch in batches:
             scores, evidence = [], []
             for value in batch.column(batch.num_columns - 1):
-                rate, near = fitted.score(features.counts(value.as_py()))
+                rate, near = fitted.score(*counts.of(value.as_py()))
                 scores.append(rate)
-                evidence.append([{"example": k, "label": y, "cosine": c} for k, y, c in near])
+                evidence.append([{"example": k, "label": y, "cosine": c} for c, k, y in near])
             columns = [*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(struct))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "score", "evidence"])
 
     return wanted.mapInArrow(scored, empty.schema)
 
 
-class _Features:
-    """The known terms of each word, looked up once a word."""
+class _Counts:
+    """The known terms of a text and how often each occurs."""
 
     def __init__(self, number: dict[bytes, int]):
-        self.number, self.of = number, {}
+        self.number = number
 
-    def counts(self, text: bytes | None) -> list[tuple[int, int]]:
-        found: dict[int, int] = {}
-        for word in plain_words(text):
-            terms = self.of.get(word)
-            if terms is None:
-                if len(self.of) >= KNOWN_WORDS:
-                    self.of.clear()
-                terms = self.of[word] = tuple(self.number[f] for f in _features(word) if f in self.number)
-            for term in terms:
-                found[term] = found.get(term, 0) + 1
-        return sorted(found.items())
+    def of(self, text: bytes | None) -> tuple[list[int], list[int]]:
+        found = sorted((self.number[w], n) for w, n in Counter(plain_words(text)).items() if w in self.number)
+        return [t for t, _ in found], [n for _, n in found]
+
+
+def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        held = [sorted(Counter(plain_words(t)).items()) for t in batch.column("text").to_pylist()]
+        terms, n = ([[pair[i] for pair in bag] for bag in held] for i in (0, 1))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("label"), pa.array(terms, pa.list_(pa.binary())), pa.array(n, pa.list_(pa.int32()))],
+            ["key", "label", "terms", "n"],
+        )
 
 
 def _document_frequencies(shared):
+    """Documents of a task that hold each term; the number after the last term counts them all."""
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = _Features(shared.value)
-        seen, texts = np.zeros(len(shared.value), np.int64), 0
+        number = shared.value
+        seen = np.zeros(len(number) + 1, np.int64)
         for batch in batches:
+            seen[-1] += batch.num_rows
             for value in batch.column(0):
-                texts += 1
-                for term, _ in features.counts(value.as_py()):
-                    seen[term] += 1
+                held = [number[w] for w in set(plain_words(value.as_py())) if w in number]
+                seen[held] += 1
         terms = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(terms, -1).astype(np.int32)), pa.array(np.append(seen[terms], texts))], ["term", "n"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(terms.astype(np.int32)), pa.array(seen[terms])], ["term", "n"])
 
     return count
 
 
-def _weigh(terms: list, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _voter(shared):
+    def vote(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model.of(shared.value)
+        counts = _Counts(model.number)
+        for batch in batches:
+            near = [model.near(*counts.of(t)) for t in batch.column("text").to_pylist()]
+            votes = [model.vote(found) if found else None for found in near]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(votes, pa.float64())], ["label", "vote"])
+
+    return vote
+
+
+def _weigh(terms: list[int], n: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers and their TF-IDF weights, scaled to unit length."""
-    ids = np.array([t[0] for t in terms], np.int64)
-    weights = (1 + np.log(np.array([t[1] for t in terms], np.float64))) * idf[ids] if len(ids) else np.zeros(0)
+    ids = np.array(terms, np.int64)
+    weights = (1 + np.log(np.array(n, np.float64))) * idf[ids]
     return ids, weights / np.sqrt((weights**2).sum()) if len(ids) else weights
 
 
+def _ranges(first: np.ndarray, past: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    lengths = past - first
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - lengths), lengths)
+
+
 @dataclass
 class Index:
-    """Block-max inverted index. ``first`` and ``past`` bound a term's postings in a block, ``most`` its largest weight."""
+    """Block-max inverted index.
+
+    A term has the entries ``of_term[t]`` to ``of_term[t + 1]``, one for each block that holds it: the block, the bounds of its
+    postings there, and the largest weight among them. A posting is an example's place and the term's weight in it.
+    """
 
     keys: np.ndarray
     labels: np.ndarray
     place: np.ndarray
     weight: np.ndarray
+    of_term: np.ndarray
+    block_of: np.ndarray
     first: np.ndarray
     past: np.ndarray
     most: np.ndarray
@@ -200,44 +221,51 @@ class Index:
     @staticmethod
     def build(examples: list[tuple], terms: int, block: int) -> Index:
         """Examples with the same heaviest term stand together, which keeps the blocks' bounds tight."""
-        used = [e for e in examples if len(e[3])]
-        used.sort(key=lambda e: (int(e[3][np.argmax(e[4])]), e[0]))
-        blocks = -(-len(used) // block)
-        postings = sorted((int(t), i, w) for i, e in enumerate(used) for t, w in zip(e[3], e[4]))
-        place = np.array([p[1] for p in postings], np.int64)
-        weight = np.array([p[2] for p in postings], np.float64)
-        first, past, most = np.zeros((terms, blocks), np.int64), np.zeros((terms, blocks), np.int64), np.zeros((terms, blocks))
-        for at, (term, example, w) in enumerate(postings):
-            b = example // block
-            if past[term, b] == 0:
-                first[term, b] = at
-            past[term, b], most[term, b] = at + 1, max(most[term, b], w)
+        used = [e for e in examples if len(e[2])]
+        used.sort(key=lambda e: (int(e[2][np.argmax(e[3])]), e[0]))
         keys, labels = np.array([e[0] for e in used], np.int64), np.array([e[1] for e in used], np.int64)
-        return Index(keys, labels, place, weight, first, past, most, block)
+        place = np.repeat(np.arange(len(used)), [len(e[2]) for e in used])
+        term = np.concatenate([e[2] for e in used]) if used else np.zeros(0, np.int64)
+        weight = np.concatenate([e[3] for e in used]) if used else np.zeros(0)
+        order = np.lexsort((place, term))
+        place, term, weight = place[order], term[order], weight[order]
+        blocks = place // block
+        opens = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (blocks[1:] != blocks[:-1]))) if len(term) else term
+        past = np.append(opens[1:], len(term)) if len(term) else term
+        most = np.maximum.reduceat(weight, opens) if len(term) else weight
+        of_term = np.searchsorted(term[opens], np.arange(terms + 1))
+        return Index(keys, labels, place, weight, of_term, blocks[opens], opens, past, most, block)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int, int]]:
         """The ``k`` examples of largest cosine above 0: cosine, key, label; ties by key."""
-        if not len(ids) or not len(self.keys):
+        first, past = self.of_term[ids], self.of_term[ids + 1]
+        entries, query = _ranges(first, past), np.repeat(weights, past - first)
+        if not len(entries):
             return []
-        bound = weights @ self.most[ids]
-        best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-12:
-                break
-            cosine = np.zeros(self.block)
-            for term, q in zip(ids, weights):
-                part = slice(self.first[term, b], self.past[term, b])
-                cosine[self.place[part] - b * self.block] += q * self.weight[part]
-            least = -best[-1][0] if len(best) == k else 0.0
-            inside = np.flatnonzero((cosine > 0) & (cosine >= least)) + b * self.block
-            found = [(-float(cosine[i - b * self.block]), int(self.keys[i]), int(self.labels[i])) for i in inside]
-            best = sorted(best + found)[:k]
+        blocks = self.block_of[entries]
+        bound = np.bincount(blocks, query * self.most[entries])
+        opened = np.zeros(len(bound), bool)
+        opened[np.argsort(-bound, kind="stable")[:OPENED_FIRST]] = True
+        cosine = self._cosines(entries[opened[blocks]], query[opened[blocks]])
+        least = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
+        rest = (bound > 0) & (bound >= least - 1e-12) & ~opened
+        if rest.any():
+            cosine = cosine + self._cosines(entries[rest[blocks]], query[rest[blocks]])
+            least = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
+        at = np.flatnonzero((cosine > 0) & (cosine >= least))
+        best = sorted((-float(cosine[i]), int(self.keys[i]), int(self.labels[i])) for i in at)[:k]
         return [(-c, key, label) for c, key, label in best]
 
+    def _cosines(self, entries: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Cosines with all examples, those outside the entries' blocks 0."""
+        first, past = self.first[entries], self.past[entries]
+        postings = _ranges(first, past)
+        return np.bincount(self.place[postings], np.repeat(query, past - first) * self.weight[postings], len(self.keys))
+
 
 @dataclass
 class Model:
-    """Term numbers, idf, the example index and the calibration: rates at votes, and of texts without known terms."""
+    """Term numbers, their idf times relevance, the example index and the calibration: rates at votes, and of texts without known terms."""
 
     number: dict[bytes, int]
     idf: np.ndarray
@@ -247,26 +275,34 @@ class Model:
     rates: np.ndarray
     bare: float
 
+    def plain(self) -> dict:
+        """Plain values, as a worker need not find this module."""
+        return {**vars(self), "index": vars(self.index)}
+
+    @staticmethod
+    def of(plain: dict) -> Model:
+        return Model(**{**plain, "index": Index(**plain["index"])})
+
+    def near(self, terms: list[int], n: list[int]) -> list[tuple[float, int, int]]:
+        return self.index.nearest(*_weigh(terms, n, self.idf), self.k)
+
     def vote(self, near: list[tuple[float, int, int]]) -> float:
         weights = [1 / (1.05 - c) for c, _, _ in near]
         return sum(w * label for w, (_, _, label) in zip(weights, near)) / sum(weights)
 
-    def score(self, terms: list[tuple[int, int]]) -> tuple[float, list[tuple[int, int, float]]]:
-        near = self.index.nearest(*_weigh(terms, self.idf), self.k)
+    def score(self, terms: list[int], n: list[int]) -> tuple[float, list[tuple[float, int, int]]]:
+        near = self.near(terms, n)
         if not near:
             return self.bare, []
         vote = self.vote(near)
         rate = float(np.interp(vote, self.votes, self.rates)) if len(self.votes) else vote
-        return min(1.0, max(0.0, rate)), [(key, label, c) for c, key, label in near]
+        return min(1.0, max(0.0, rate)), near
 
     def calibrated(self, rows: list[tuple]) -> Model:
-        """With votes mapped to rates by an isotonic fit on labelled rows; a step's mean is smoothed by half a row."""
-        bare, voted = [], []
-        for _, label, _, ids, weights in rows:
-            near = self.index.nearest(ids, weights, self.k)
-            voted.append((self.vote(near), label)) if near else bare.append(label)
+        """With votes mapped to rates by an isotonic fit on rows of label and vote; a step's mean is smoothed by half a row."""
+        bare = [label for label, vote in rows if vote is None]
         steps: list[tuple] = []  # first and last vote, labels' sum, rows
-        for vote, label in sorted(voted):
+        for vote, label in sorted((vote, label) for label, vote in rows if vote is not None):
             step = (vote, vote, label, 1)
             while steps and steps[-1][2] * step[3] >= step[2] * steps[-1][3]:
                 first, _, labels, rows_ = steps.pop()
@@ -277,19 +313,3 @@ class Model:
         rates = np.maximum.accumulate(np.array([(s[2] + 0.5) / (s[3] + 1) for s in steps for _ in range(2)] or [0.0]))
         rate = (sum(bare) + 0.5) / (len(bare) + 1)
         return Model(self.number, self.idf, self.index, self.k, votes, rates, rate)
-
-
-def _terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text and feature of it; the text itself is the feature ``b""``."""
-    for batch in batches:
-        for key, text, label, calibrates in rows_of([batch.select(["key", "text", "label", "calibrates"])]):
-            counts: dict[bytes, int] = {b"": 1}
-            for word in plain_words(text):
-                for feature in _features(word):
-                    counts[feature] = counts.get(feature, 0) + 1
-            n = len(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * n, pa.int64()), pa.array([label] * n, pa.int32()), pa.array([calibrates] * n),
-                 pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int32())],
-                ["key", "label", "calibrates", "term", "n"],
-            )
