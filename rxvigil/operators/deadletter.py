@@ -100,48 +100,63 @@ def _bytes(record: Column) -> Column:
 
 
 _PART_KEY_BYTES = 64 + 12
+#: What a message log accepts as a topic's name.
+_LEGAL_TOPIC = r"^(?!\.{1,2}$)[A-Za-z0-9._-]{1,249}$"
 
 
-def letters(made: Column, max_bytes: int) -> Column:
-    """The records of an envelope as an array, none of them larger than ``max_bytes``.
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with columns made below a generator: they are computed once a row, not once a use."""
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return rows.select("*", F.explode(F.array(made)).alias("once")).select(*rows.columns, "once.*")
 
-    Usually its letter alone. A letter beyond the limit is cut into parts, base64 of its JSON text, which
-    go to the letter's topic with the suffix ``.parts`` and the key ``sha256#n``, n from 0. The letter itself
-    then holds the envelope without payload, message and context, and in the context how to find the
-    parts and to check them. Nothing is lost or shortened, as long as the limit leaves room for a short letter.
+
+def _with_letters(rows: DataFrame, max_bytes: int) -> DataFrame:
+    """The records of ``rows`` (``record``, ``made``): the record itself, or the letter of the envelope ``made``.
+
+    A letter beyond the limit is cut into parts, base64 of its JSON text, which go to the letter's topic with
+    the suffix ``.parts`` and the key ``sha256#n``, n from 0. The letter itself then holds the envelope without payload,
+    message and context, and in the context how to find the parts and to check them. Nothing is lost or shortened, as
+    long as the limit leaves room for a short letter. Records that pass and letters that fit are touched by no more than a
+    test of their size.
     """
-    whole = letter(made)
-    text = F.translate(F.base64(whole["value"].cast("binary")), "\r\n", "")
-    sha = F.sha2(whole["value"].cast("binary"), 256)
+    made, whole, cut = F.col("made"), F.col("whole"), F.col("cut")
+    rows = _once(rows, whole=F.when(made.isNotNull(), letter(made)))
+    binary = whole["value"].cast("binary")
+    body = F.struct(
+        F.translate(F.base64(binary), "\r\n", "").alias("text"), F.sha2(binary, 256).alias("sha"),
+        F.octet_length(binary).cast("string").alias("bytes"),
+    )
+    rows = _once(rows, cut=F.when(_bytes(whole) > max_bytes, body))
     size = max(max_bytes - _PART_KEY_BYTES, 1)
-    count = F.ceil(F.length(text) / size).cast("int")
     parts_topic = F.concat(whole["topic"], F.lit(S.DLQ_PARTS_SUFFIX))
+    count = F.ceil(F.length(cut["text"]) / size).cast("int")
 
     def part(n: Column) -> Column:
         return output_record(
-            parts_topic, F.concat(sha, F.lit("#"), n.cast("string")), F.substring(text, n * size + 1, F.lit(size))
+            parts_topic, F.concat(cut["sha"], F.lit("#"), n.cast("string")), F.substring(cut["text"], n * size + 1, F.lit(size))
         )
 
     pointer = F.create_map(
         F.lit("partsTopic"), parts_topic,
         F.lit("parts"), count.cast("string"),
-        F.lit("bytes"), F.octet_length(whole["value"]).cast("string"),
-        F.lit("sha256"), sha,
+        F.lit("bytes"), cut["bytes"],
+        F.lit("sha256"), cut["sha"],
     )
     dropped = {"errorMessage", "originalKeyBase64", "originalValueBase64"}
     short = F.struct(*[
         (pointer if f.name == "context" else F.lit(None).cast(f.dataType) if f.name in dropped else made[f.name]).alias(f.name)
         for f in S.DLQ_ENVELOPE
     ])
-    parts = F.transform(F.sequence(F.lit(0), count - 1), part)
-    return F.when(_bytes(whole) <= max_bytes, F.array(whole)).otherwise(F.concat(F.array(letter(short)), parts))
+    in_parts = F.concat(F.array(letter(short)), F.transform(F.sequence(F.lit(0), count - 1), part))
+    records = F.when(cut.isNotNull(), in_parts).when(whole.isNotNull(), F.array(whole)).otherwise(F.array("record"))
+    return rows.select(F.explode(records).alias("record")).select("record.*")
 
 
 def dlq_records(envelopes: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES) -> DataFrame:
-    """Envelope rows as records ``(topic, key, value)`` within the size limit."""
-    made = F.struct(*[F.col(f.name) for f in S.DLQ_ENVELOPE])
-    # One look at each envelope: the array is made below the generator.
-    return envelopes.select(F.explode(letters(made, max_bytes)).alias("record")).select("record.*")
+    """Envelope rows as records ``(topic, key, value)``, none larger than ``max_bytes``; larger letters leave in parts."""
+    made = F.struct(*[F.col(f.name) for f in S.DLQ_ENVELOPE]).alias("made")
+    none = F.lit(None).cast("struct<topic:string,key:string,value:string>").alias("record")
+    return _with_letters(envelopes.select(none, made), max_bytes)
 
 
 def split_failures(
@@ -160,34 +175,61 @@ def _oversized(max_bytes: int) -> Column:
     return _bytes(F.struct("key", "value")) > max_bytes
 
 
-def _production_envelope(max_bytes: int) -> Column:
-    """The output position of a refused record is unknown."""
-    return envelope_struct(
+def legal_topic(topic: Column) -> Column:
+    """Whether a message log accepts the topic's name."""
+    return F.coalesce(topic.rlike(_LEGAL_TOPIC), F.lit(False))
+
+
+def refused_envelope(message: Column, exception_class: Column | str) -> Column:
+    """Envelope of a record (``topic``, ``key``, ``value``) that the sink does not take; its output position is unknown.
+
+    A topic whose name is not legal has no dead-letter topic of its own either: such letters go to that of
+    unknown topics, and the context names it.
+    """
+    legal = legal_topic(F.col("topic"))
+    made = envelope_struct(
         "PRODUCTION",
-        F.format_string(
-            "record of %d bytes exceeds the limit of %d", _bytes(F.struct("key", "value")), F.lit(max_bytes)
-        ),
-        exception_class="RecordTooLargeException",
+        message,
+        context={"topic": F.when(~legal, F.col("topic"))},
         raw_key="key",
         raw_value="value",
+        topic=F.when(legal, F.col("topic")),
         partition=F.lit(-1),
         offset=F.lit(-1),
     )
+    name = F.lit(exception_class) if isinstance(exception_class, str) else exception_class
+    context = F.when(F.size(made["context"]) > 0, made["context"])
+    return made.withField("exceptionClass", name).withField("context", context)
+
+
+def _production_envelope(max_bytes: int) -> Column:
+    too_large = F.format_string(
+        "record of %d bytes exceeds the limit of %d", _bytes(F.struct("key", "value")), F.lit(max_bytes)
+    )
+    size = _oversized(max_bytes)
+    return refused_envelope(
+        F.when(size, too_large).otherwise("not a legal topic name"),
+        F.when(size, "RecordTooLargeException").otherwise("InvalidTopicException"),
+    )
+
+
+def _refused(max_bytes: int) -> Column:
+    return _oversized(max_bytes) | ~legal_topic(F.col("topic"))
 
 
 def guard_output(
     records: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES
 ) -> tuple[DataFrame, DataFrame]:
-    """Split records a sink would refuse for their size: ``(accepted, envelopes)``."""
-    refused = records.where(_oversized(max_bytes))
+    """Split records a sink would refuse for their size or topic: ``(accepted, envelopes)``."""
+    refused = records.where(_refused(max_bytes))
     return (
-        records.where(~_oversized(max_bytes)),
+        records.where(~_refused(max_bytes)),
         refused.select(_production_envelope(max_bytes).alias("envelope")).select("envelope.*"),
     )
 
 
 def guard_records(records: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES) -> DataFrame:
     """The records to write, a refused one replaced by its dead letter, in one pass."""
-    kept = output_record(F.col("topic"), "key", F.col("value"))
-    made = F.when(_oversized(max_bytes), letters(_production_envelope(max_bytes), max_bytes)).otherwise(F.array(kept))
-    return records.select(F.explode(made).alias("record")).select("record.*")
+    kept = output_record(F.col("topic"), "key", F.col("value")).alias("record")
+    made = F.when(_refused(max_bytes), _production_envelope(max_bytes)).alias("made")
+    return _with_letters(records.select(kept, made), max_bytes)

@@ -300,6 +300,17 @@ SELECT topic, key, value FROM v_output WHERE NOT {_OVERSIZED}"""),
 SELECT key AS record, {_b64("key")} AS "originalKeyBase64", {_b64("value")} AS "originalValueBase64", true AS fits,
   true AS intact
 FROM v_output WHERE {_OVERSIZED}"""),
+    "output_isolated": _with("v_output", select=f"""
+SELECT topic, key, value, NULL AS "errorType", NULL AS "exceptionClass", NULL AS "originalTopic",
+  NULL AS "originalKeyBase64", NULL AS "originalValueBase64"
+FROM v_output WHERE CAST(key AS BIGINT) % 5000 NOT IN (17, 42)
+UNION ALL
+SELECT 'hci.dlq.' || substr(refused, 5), refused || '/-1/-1', NULL, 'PRODUCTION', exception, refused,
+  {_b64('key')}, {_b64('value')}
+FROM (
+  SELECT *, CASE CAST(key AS BIGINT) % 5000 WHEN 17 THEN 'hci.refused.v1' ELSE topic END AS refused,
+    CASE CAST(key AS BIGINT) % 5000 WHEN 17 THEN 'InvalidTopicException' ELSE 'CorruptRecordException' END AS exception
+  FROM v_output WHERE CAST(key AS BIGINT) % 5000 IN (17, 42))"""),
     "dlq_unknown_topic": _with("v_raw", select=f"""
 SELECT 'hci.dlq.unknown.v1' AS topic, 'unknown/-1/-1' AS key, 'malformed value' AS "errorMessage",
   {_b64('key')} AS "originalKeyBase64" FROM v_raw WHERE {_BAD}"""),
@@ -378,4 +389,6 @@ SELECT 'hci.dlq.medicinal-products.avro', topic || '/' || "partition" || '/' ||
     "stream_catalogue_verdicts": _with("v_changelog_in_batches", _BATCH_RULES, _BATCH_FOLD, recursive=True, select="""
 SELECT key, ts, "offset", "marketingStatus", verdict, message, "priorStatus" FROM judged"""),
     "stream_asof_price": ORACLES["asof_price"],
+    "stream_delivered_once": _with("v_alerts_in_batches", select="""
+SELECT topic, key, "alertId", severity, true AS repeats FROM v_alerts_in_batches"""),
 })

@@ -19,7 +19,10 @@ from rxvigil.functions import (
 )
 from rxvigil.operators import frequency, surge
 from rxvigil.plans.views import plain_timestamps, view
+from rxvigil.session import scratch_path
 from rxvigil.sources import decode, decode_failures
+from rxvigil.streaming.delivery import Ledger, delivering_sink, read_committed, with_header
+from rxvigil.streaming.sinks import wire_values
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -356,6 +359,34 @@ def output_accepted(spark, sf):
     return accepted.select("topic", "key", "value")
 
 
+def output_isolated(spark, sf):
+    """All documents written to a log that refuses one topic and, elsewhere, single values."""
+    odd = F.col("key").cast("long") % 5000
+    topic = F.when(odd == 17, F.lit("hci.refused.v1")).otherwise(F.col("topic"))
+    records = view(spark, sf, "v_output").withColumn("topic", topic)
+    folder = scratch_path(spark, "isolated")
+    ledger = Ledger(folder, "documents")
+
+    def append(part: DataFrame, delivery: str) -> None:
+        # The log fails the task that brings it such a record.
+        number = F.try_to_number(F.col("key").cast("string"), F.lit("999999999999")) % 5000
+        value = (
+            F.when(F.col("topic") == "hci.refused.v1", F.raise_error(F.lit("InvalidTopicException: hci.refused.v1")))
+            .when(number == 42, F.raise_error(F.lit("CorruptRecordException: checksum"))).otherwise(F.col("value"))
+        )
+        with_header(part.withColumn("value", value), delivery).write.mode("append").parquet(f"{folder}/log")
+
+    delivering_sink(append, ledger)(wire_values(records), 0)
+    written = read_committed(spark.read.parquet(f"{folder}/log"), ledger)
+    written = written.withColumns({"key": F.col("key").cast("string"), "value": F.col("value").cast("string")})
+    is_letter = F.col("topic").startswith(S.DLQ_PREFIX)
+    fields = ["errorType", "exceptionClass", "originalTopic", "originalKeyBase64", "originalValueBase64"]
+    letter = F.from_json(F.when(is_letter, F.col("value")), ", ".join(f"{f} string" for f in fields)).alias("letter")
+    return written.select(
+        "topic", "key", F.when(~is_letter, F.col("value")).alias("value"), letter
+    ).select("topic", "key", "value", "letter.*")
+
+
 def dlq_error_counts(spark, sf):
     _, refused = _guarded(spark, sf)
     routes = [
@@ -383,7 +414,7 @@ QUERIES: dict[str, Query] = {
         late_alerts, alert_frequency_in_arrival_order, stateless_rules, catalogue_verdicts,
         status_transitions, accepted_catalogue, catalogue_dlq, dlq_topics, dlq_records,
         processing_failures, processing_results, output_guard, output_accepted, dlq_error_counts,
-        dlq_parts, dlq_unknown_topic,
+        dlq_parts, dlq_unknown_topic, output_isolated,
     )
 }
 QUERIES["dlq_topic"] = QUERIES.pop("dlq_topics")

@@ -7,6 +7,7 @@ read back. Feed, checkpoint and output live in a new folder below the shared fol
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,6 +118,42 @@ def stream_alert_dead_letters(spark, sf):
     return _parsed(letters, "errorType string, errorMessage string")
 
 
+class _StopsBeforeCommit(st.Ledger):
+    """A ledger whose run ends between the write and the commit of its second batch, once."""
+
+    stopped = False
+
+    def commit(self, spark, batch_id, deliveries):
+        if batch_id == 1 and not self.stopped:
+            self.stopped = True
+            raise InterruptedError("ended between write and commit")
+        super().commit(spark, batch_id, deliveries)
+
+
+def stream_delivered_once(spark, sf):
+    """Alerts appended to a log, with a stop after a write, and what a reader of committed records then sees."""
+    folder = scratch_path(spark, "delivered")
+    raw = to_raw(view(spark, sf, "v_alerts_in_batches"), S.ALERT_FEED)
+    ledger = _StopsBeforeCommit(f"{folder}/ledger", "alerts")
+    sink = st.log_sink("parquet", {"path": f"{folder}/log"}, ledger)
+    for batch in range(BATCHES):
+        raw.where(F.col("arrives") == batch).drop("arrives").write.mode("append").parquet(f"{folder}/feed")
+        for _ in range(2 if batch == 1 else 1):
+            stream = stream_feed(spark, f"{folder}/feed").select("topic", F.col("key").cast("string"), F.col("value").cast("string"))
+            query = (
+                stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/checkpoint")
+                .trigger(availableNow=True).start()
+            )
+            try:
+                query.awaitTermination()
+            except StreamingQueryException as failed:
+                if "ended between" not in str(failed):
+                    raise
+    log = spark.read.parquet(f"{folder}/log")
+    records = st.read_committed(log, ledger).select("topic", F.col("key").cast("string"), F.col("value").cast("string"))
+    return _parsed(records, "alertId string, severity string").withColumn("repeats", F.lit(log.count() > records.count()))
+
+
 def stream_price_surges(spark, sf):
     products = to_raw(table_stream(spark, sf, "v_catalogue"), S.PRODUCT_FEED)
     raw = products.unionByName(to_raw(table_stream(spark, sf, "v_price_updates"), S.PRICE_FEED))
@@ -175,6 +212,6 @@ STREAM_QUERIES = {
     for f in (
         stream_enriched_alerts, stream_alert_dead_letters, stream_price_surges,
         stream_alert_frequency, stream_catalogue_admission, stream_catalogue_verdicts,
-        stream_asof_price,
+        stream_asof_price, stream_delivered_once,
     )
 }

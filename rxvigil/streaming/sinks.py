@@ -12,6 +12,9 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rxvigil import schemas as S
+from rxvigil.streaming.delivery import Ledger, delivering_sink, with_header
+
 Sink = Callable[[DataFrame, int], None]
 RECORD = "key string, value string, number bigint, topic string, batch_id bigint"
 
@@ -41,13 +44,23 @@ def file_sink(root: str, fmt: str = "parquet") -> Sink:
     return write
 
 
-def log_sink(fmt: str, options: Mapping[str, str]) -> Sink:
-    """Append to a message log through Spark's own connector: at least once."""
+def log_sink(
+    fmt: str, options: Mapping[str, str], ledger: Ledger | None = None, isolate: bool = True,
+    max_bytes: int = S.MAX_RECORD_BYTES,
+) -> Sink:
+    """Append to a message log through Spark's own connector.
 
-    def write(records: DataFrame, batch_id: int) -> None:
-        wire_values(records).write.format(fmt).options(**options).save()
+    Records the log refuses one by one become dead letters (``isolate``); every other failure fails the batch. At least once
+    without a ``ledger``; with one every write names its delivery in the records' headers, and :func:`read_committed`
+    gives each record once.
+    """
 
-    return write
+    def append(records: DataFrame, delivery: str) -> None:
+        named = with_header(records, delivery) if ledger else records
+        named.write.format(fmt).mode("append").options(**options).save()
+
+    deliver = delivering_sink(append, ledger, isolate, max_bytes)
+    return lambda records, batch_id: deliver(wire_values(records), batch_id)
 
 
 def read_records(spark: SparkSession, root: str, topic: str | None = None) -> DataFrame:
