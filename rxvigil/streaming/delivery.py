@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from rxvigil import schemas as S
 from rxvigil.operators.deadletter import dlq_records, refused_envelope
 from rxvigil.session import written_table
+from rxvigil.streaming.files import create_once, exists, names
 
 #: Appends records under a delivery name.
 Append = Callable[[DataFrame, str], None]
@@ -59,66 +60,31 @@ class Ledger:
     def open(self, spark: SparkSession) -> int:
         """Take the next epoch. A sink does this on its first batch."""
         while self._epoch is None:
-            wanted = self._newest(spark, "epochs") + 1
-            if self._create(spark, f"epochs/{wanted}", ""):
+            wanted = self._newest_epoch(spark) + 1
+            if create_once(spark, f"{self.folder}/epochs/{wanted}", ""):
                 self._epoch = wanted
         return self._epoch
 
     def has(self, spark: SparkSession, batch_id: int) -> bool:
-        path = self._path(spark, f"batches/{batch_id}.json")
-        return path.getFileSystem(self._conf(spark)).exists(path)
+        return exists(spark, f"{self.folder}/batches/{batch_id}.json")
 
     def commit(self, spark: SparkSession, batch_id: int, deliveries: list[str]) -> None:
         """List a batch's deliveries; fails if the batch is listed already or a newer run has opened the ledger."""
-        if self._newest(spark, "epochs") != self.open(spark):
+        if self._newest_epoch(spark) != self.open(spark):
             raise FencedError(f"{self.query}: a newer run is at work")
         text = "".join(json.dumps({"query": self.query, "batch_id": batch_id, "delivery": d}) + "\n" for d in deliveries)
-        if not self._create(spark, f"batches/{batch_id}.json", text):
+        if not create_once(spark, f"{self.folder}/batches/{batch_id}.json", text):
             raise FencedError(f"{self.query}: batch {batch_id} is delivered already")
 
     def deliveries(self, spark: SparkSession) -> DataFrame:
         """``query``, ``batch_id``, ``delivery`` of every write that counts."""
         schema = "query string, batch_id bigint, delivery string"
-        path = self._path(spark, "batches")
-        if not path.getFileSystem(self._conf(spark)).exists(path):
+        if not exists(spark, f"{self.folder}/batches"):
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).json(f"{self.folder}/batches")
 
-    def _conf(self, spark: SparkSession):
-        return spark._jsc.hadoopConfiguration()
-
-    def _path(self, spark: SparkSession, name: str):
-        return spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-
-    def _newest(self, spark: SparkSession, name: str) -> int:
-        path = self._path(spark, name)
-        files = path.getFileSystem(self._conf(spark))
-        if not files.exists(path):
-            return 0
-        names = (f.getPath().getName() for f in files.listStatus(path))
-        return max((int(n) for n in names if n.isdigit()), default=0)
-
-    def _create(self, spark: SparkSession, name: str, text: str) -> bool:
-        """Create a file with its whole content, unless there is one of that name."""
-        hadoop, target = spark._jvm.org.apache.hadoop.fs, self._path(spark, name)
-        files = target.getFileSystem(self._conf(spark))
-        draft = hadoop.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
-        out = files.create(draft, False)
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
-        # A rename that must not replace: the later of two writers fails.
-        context = hadoop.FileContext.getFileContext(files.getUri(), self._conf(spark))
-        options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
-        try:
-            context.rename(draft, target, options)
-        except Exception as failed:
-            files.delete(draft, False)
-            if "FileAlreadyExistsException" in str(failed):
-                return False
-            raise
-        return True
+    def _newest_epoch(self, spark: SparkSession) -> int:
+        return max((int(n) for n in names(spark, f"{self.folder}/epochs") if n.isdigit()), default=0)
 
 
 def with_header(records: DataFrame, delivery: str) -> DataFrame:
@@ -196,9 +162,9 @@ def _write_isolated(records: DataFrame, write: Callable[[DataFrame], None], max_
             else:
                 pending += [(bits + 1, value), (bits + 1, value | 1 << bits)]
     if refused:
-        names = records.sparkSession.createDataFrame(refused, f"{_ROW} long, kind string, message string")
+        reasons = records.sparkSession.createDataFrame(refused, f"{_ROW} long, kind string, message string")
         # As many rows as records that were refused one by one.
-        bad = held.join(F.broadcast(names), _ROW).withColumn("key", F.col("key").cast("string"))
+        bad = held.join(F.broadcast(reasons), _ROW).withColumn("key", F.col("key").cast("string"))
         made = refused_envelope(F.col("message"), F.col("kind")).alias("made")
         letters = dlq_records(bad.select(made).select("made.*"), max_bytes)
         write(letters.select("topic", "key", F.col("value").cast("binary").alias("value")))

@@ -100,10 +100,12 @@ def _lookup_pipeline(
     """Shared course of the two pipelines that look events up in the product table.
 
     A batch's product changes are applied first, so an event sees the table as of the end of
-    its batch.
+    its batch. A ``shared`` table is kept by another query; its newest version is read and product records are not.
     """
-    if catalogue not in ("raw", "validated"):
-        raise ValueError(f"catalogue must be 'raw' or 'validated', not {catalogue!r}")
+    if catalogue not in ("raw", "validated", "shared"):
+        raise ValueError(f"catalogue must be 'raw', 'validated' or 'shared', not {catalogue!r}")
+    if catalogue == "shared" and table is None:
+        raise ValueError("a shared catalogue needs its table")
     table = table or ChangeTable(f"{checkpoint}/catalogue", _TABLE_FIELDS)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -114,13 +116,17 @@ def _lookup_pipeline(
             products = decoded_good(changes)
             events = decoded_good(arrived).where(~F.col("is_delete"))
             letters = [decode_failures(changes), decode_failures(arrived)]
+            if catalogue == "shared":
+                letters = letters[1:]
             if catalogue == "validated":
                 verdicts = _admitted(table, products, batch_id).persist()
                 kept.append(verdicts)
                 products = verdicts.where(F.col("verdict").isin(OK, TOMBSTONE))
                 letters.append(rejection_envelopes(verdicts))
-            table.apply(products, batch_id)
-            current = table.as_of(batch.sparkSession, batch_id, table.schema_of(products), events)
+            if catalogue != "shared":
+                table.apply(products, batch_id)
+            version = None if catalogue == "shared" else batch_id
+            current = table.as_of(batch.sparkSession, version, table.schema_of(products), events)
             records = guard_records(output(events, current), max_bytes)
             sink(records.unionByName(dlq_records(_union(letters), max_bytes)), batch_id)
         finally:
@@ -142,7 +148,8 @@ def start_alert_enrichment(
     """Alerts with their product; narcotics copied to their own topic; unknowns dead-lettered.
 
     ``raw`` carries the alert and the product topic. ``catalogue="validated"`` admits only
-    product updates that pass the rules and the status lifecycle.
+    product updates that pass the rules and the status lifecycle; ``"shared"`` looks alerts up in a ``table`` that
+    another query, such as ``start_catalogue_admission``, keeps.
     """
 
     def output(alerts, products):
