@@ -389,6 +389,7 @@ SELECT 'hci.dlq.medicinal-products.avro', topic || '/' || "partition" || '/' ||
     "stream_catalogue_verdicts": _with("v_changelog_in_batches", _BATCH_RULES, _BATCH_FOLD, recursive=True, select="""
 SELECT key, ts, "offset", "marketingStatus", verdict, message, "priorStatus" FROM judged"""),
     "stream_asof_price": ORACLES["asof_price"],
+    "stream_asof_in_time_order": ORACLES["asof_price"],
     "stream_delivered_once": _with("v_alerts_in_batches", select="""
 SELECT topic, key, "alertId", severity, true AS repeats FROM v_alerts_in_batches"""),
 })

@@ -146,6 +146,13 @@ for _name, _view, _arrives in (
      "else 2 end + case when event_id % 20 = 0 then 1 else 0 end)"),
     ("v_catalogue_in_batches", "v_catalogue", "p_partkey % 3"),
     ("v_changelog_in_batches", "v_product_changelog", "o_orderkey % 3"),
+    # In order of time, with every tenth row a batch late.
+    ("v_price_updates_delayed", "v_price_updates",
+     "least(2, case when l_shipdate < timestamp '1997-04-01 00:00:00' then 0 when l_shipdate < timestamp '1999-07-01 00:00:00' "
+     "then 1 else 2 end + case when l_orderkey % 10 = 0 then 1 else 0 end)"),
+    ("v_product_changelog_delayed", "v_product_changelog",
+     "least(2, case when o_orderdate < timestamp '1997-04-01 00:00:00' then 0 when o_orderdate < timestamp '1999-07-01 00:00:00' "
+     "then 1 else 2 end + case when o_orderkey % 10 = 0 then 1 else 0 end)"),
 ):
     VIEWS[_name] = (VIEWS[_view][0], {**VIEWS[_view][1], "arrives": f"cast({_arrives} as int)"})
 

@@ -7,6 +7,7 @@ Python as one JSON text; everything else is done by Spark expressions around the
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -124,16 +125,103 @@ class _TableLookup(StatefulProcessor):
         pass
 
 
+#: Rows in a page of waiting rows, and rows gathered before pages are stored.
+_PAGE, _GATHERED = 1_000, 20_000
+
+
+class _OrderedLookup(StatefulProcessor):
+    """As ``_TableLookup``, but rows wait until the watermark has passed them and are then taken in order of time.
+
+    Waiting rows lie in pages by slice of time. A timer at the earliest one releases slice after slice, so a call
+    holds one slice of one key, however many rows of it wait.
+    """
+
+    def __init__(self, slice_micros: int):
+        self._slice = slice_micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._entry = handle.getValueState("entry", "entry string")
+        self._pages = handle.getValueState("pages", "pages bigint")
+        self._waiting = handle.getMapState("waiting", "slice bigint, page bigint", "rows string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        gathered: dict[int, list] = {}
+        held, first = 0, None
+        for row in rows:
+            gathered.setdefault(row.micros // self._slice, []).append((row.micros, row.side, row.offset, row.payload))
+            held, first = held + 1, row.micros if first is None else min(first, row.micros)
+            if held >= _GATHERED:
+                self._store(gathered)
+                gathered, held = {}, 0
+        self._store(gathered)
+        if first is not None:
+            self._wake(first)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        pages: dict[int, list] = {}
+        for number, page in self._waiting.keys():
+            pages.setdefault(number, []).append((number, page))
+        held = self._entry.get()
+        before = entry = held[0] if held else None
+        later = [n for n in pages if n * self._slice > mark]
+        for number in sorted(set(pages) - set(later)):
+            rows = [row for at in pages[number] for row in json.loads(self._waiting.getValue(at)[0])]
+            for at in pages[number]:
+                self._waiting.removeKey(at)
+            rows.sort(key=lambda r: r[:3])
+            for micros, side, _, payload in rows:
+                if micros > mark:
+                    break
+                if side == _EVENT:
+                    yield Row(event=payload, entry=entry)
+                else:
+                    entry = payload
+            rest = [r for r in rows if r[0] > mark]
+            if rest:
+                self._store({number: rest})
+                self._wake(rest[0][0])
+        if later:
+            self._wake(min(later) * self._slice)
+        if entry is None:
+            self._entry.clear()
+        elif entry != before:
+            self._entry.update((entry,))
+
+    def close(self) -> None:
+        pass
+
+    def _wake(self, micros: int) -> None:
+        self._handle.registerTimer(-(-micros // 1000))
+
+    def _store(self, gathered: dict[int, list]) -> None:
+        held = self._pages.get()
+        page = held[0] if held else 0
+        for number, rows in gathered.items():
+            for at in range(0, len(rows), _PAGE):
+                self._waiting.updateValue((number, page), (json.dumps(rows[at : at + _PAGE]),))
+                page += 1
+        if gathered:
+            self._pages.update((page,))
+
+
 def stateful_asof(
     events: DataFrame,
     changelog: DataFrame,
     columns: Sequence[str],
     key: str = "key",
+    delay: str | None = None,
+    slice_seconds: int = 3600,
 ) -> DataFrame:
     """Streaming form of ``asof_join``: each event sees the table as it stands when processed.
 
-    Rows of a micro-batch are taken in ``(ts, table first, offset)`` order; across batches
-    arrival order counts. A delete has a null payload and empties the state.
+    Rows of a micro-batch are taken in ``(ts, table first, offset)`` order; across batches arrival order counts. A delete
+    has a null payload and empties the state. With ``delay`` rows count in order of ``ts`` whatever batch brings them, as long as
+    they come no later than ``delay`` after newer ones: they wait until the watermark has passed them, so an event leaves
+    ``delay`` after its time. Rows that come later still, and rows without a time, are dropped, as by every watermark.
+    ``slice_seconds`` bounds the rows of a key that are sorted at once.
     """
     gone = F.coalesce("is_delete", F.lit(False))
     table_side = changelog.where(F.col(key).isNotNull()).select(
@@ -144,14 +232,16 @@ def stateful_asof(
         F.col(key).alias("state_key"), "ts", F.lit(_EVENT).alias("side"), "offset",
         _pack(events.columns).alias("payload"),
     )
+    both = table_side.unionByName(event_side)
+    if delay:
+        both = both.where(F.col("ts").isNotNull()).withWatermark("ts", delay).withColumn("micros", F.unix_micros("ts"))
     joined = (
-        table_side.unionByName(event_side)
-        .groupBy("state_key")
+        both.groupBy("state_key")
         .transformWithState(
-            statefulProcessor=_TableLookup(),
+            statefulProcessor=_OrderedLookup(slice_seconds * 1_000_000) if delay else _TableLookup(),
             outputStructType="event string, entry string",
             outputMode="Append",
-            timeMode="None",
+            timeMode="EventTime" if delay else "None",
         )
         .select(
             _unpack("event", events.schema).alias("event"),

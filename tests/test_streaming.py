@@ -336,6 +336,34 @@ def test_stateful_asof_equals_the_batch_join_in_one_batch(spark, tmp_path):
         expected.select(*got.columns).collect(), key=lambda r: r.offset)
 
 
+@pytest.mark.parametrize("page, slice_seconds", [(1000, 3600), (2, 7)])
+def test_rows_that_arrive_late_count_in_order_of_time(spark, tmp_path, monkeypatch, page, slice_seconds):
+    """Shuffled arrivals within the watermark, a hot key, ties in time: the batch join's rows, batch by batch."""
+    monkeypatch.setattr(st.stateful, "_PAGE", page)
+    monkeypatch.setattr(st.stateful, "_GATHERED", 5 * page)
+    keys = ["hot"] * 6 + ["k1", "k2"]
+    log = changelog(spark, [change(keys[i % 8], i, delete=i % 7 == 0, public=float(i)) for i in range(80)])
+    rows = [(keys[i % 7], 1000 + i, at(i * 0.8 // 1)) for i in range(100)] + [(None, 2000, at(3))]
+    events = spark.createDataFrame(rows, "key string, offset bigint, ts timestamp")
+    order = F.pmod(F.xxhash64("offset"), F.lit(3))
+    for batch in range(4):
+        last = [("end", 9999, at(10_000))] if batch == 3 else []
+        log.where(order == batch).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+        more = events.where(order == batch).unionByName(spark.createDataFrame(last, events.schema))
+        more.coalesce(1).write.mode("append").parquet(str(tmp_path / "events"))
+        joined = st.stateful_asof(
+            spark.readStream.schema(events.schema).parquet(str(tmp_path / "events")),
+            spark.readStream.schema(log.schema).parquet(str(tmp_path / "log")),
+            ["publicPriceCHF", "marketingStatus"], delay="200 seconds", slice_seconds=slice_seconds,
+        )
+        got = collected(spark, joined, tmp_path)
+        # Nothing leaves before the watermark has passed it.
+        assert batch == 3 or got.where("key IS NOT NULL").count() == 0
+    expected = asof_join(events, log, ["publicPriceCHF", "marketingStatus"])
+    assert sorted(got.collect(), key=lambda r: r.offset) == sorted(
+        expected.select(*got.columns).collect(), key=lambda r: r.offset)
+
+
 def test_change_table_merges_compacts_and_survives_retries(spark, tmp_path):
     table = ChangeTable(str(tmp_path / "t"), ["publicPriceCHF"], compact_every=2)
     batches = [
