@@ -374,10 +374,10 @@ def output_isolated(spark, sf):
             F.when(F.col("topic") == "hci.refused.v1", F.raise_error(F.lit("InvalidTopicException: hci.refused.v1")))
             .when(number == 42, F.raise_error(F.lit("CorruptRecordException: checksum"))).otherwise(F.col("value"))
         )
-        with_header(part.withColumn("value", value), delivery).write.mode("append").parquet(f"{folder}/log")
+        with_header(part.withColumn("value", value), delivery).write.parquet(f"{folder}/log/{delivery}")
 
-    delivering_sink(append, ledger)(wire_values(records), 0)
-    written = read_committed(spark.read.parquet(f"{folder}/log"), ledger)
+    delivering_sink(append, ledger, at_once=8)(wire_values(records), 0)
+    written = read_committed(spark.read.parquet(f"{folder}/log/*"), ledger)
     written = written.withColumns({"key": F.col("key").cast("string"), "value": F.col("value").cast("string")})
     is_letter = F.col("topic").startswith(S.DLQ_PREFIX)
     fields = ["errorType", "exceptionClass", "originalTopic", "originalKeyBase64", "originalValueBase64"]
