@@ -2,7 +2,8 @@
 
 Rounds of exact counting find the shard boundaries. A round counts the bytes of every cell of the key
 space; a cell that holds more than the tolerance is divided further by the next round's probes. Once no
-cell is too large, every boundary can be put at a cell's edge, and one exchange moves the rows.
+cell is too large, every boundary can be put at a cell's edge, or between two rows of a cell of equal ones. Then one exchange
+sorts the rows, and a row's place in the order says its shard.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ def shard_by_bytes(
     ideal place by at most half of ``tolerance`` of a shard's bytes, or half of a single larger row. ``slot``
     counts a shard's rows from 0 in key order. Null keys sort first. Rows with equal keys are ordered by a
     hash of their text and may be parted by a boundary, so that a hot key is split; rows equal in key and
-    text are interchangeable and stay together. Input columns named like an added one are replaced. An
-    empty table gives an empty result. The key must be an integer.
+    text are interchangeable and are parted like others, in any order. Input columns named like an added one are replaced. An
+    empty table gives an empty result. The key must be an integer. The rows are written once, in order; no task
+    holds more than a range of the order, whose size Spark's range partitioning balances.
     """
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + 1
     names = {"size", "shard", "slot"}
@@ -59,22 +61,40 @@ def shard_by_bytes(
         step = probes[-1] + STEP_BITS
         probes.append(KEY_BITS if probes[-1] < KEY_BITS < step else min(2 * KEY_BITS, step))
 
+    bounds = _bounds(cells, total, shards, tolerance)
+    order = ["k", "t", "u"]
+    sorted_ = keyed.withColumn("u", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().alias("place")
+    ordered = written_table(sorted_.select("row", "size", place), "sharding-order")
+    # One number a partition.
+    part = F.shiftright("place", 33)
+    held = {r["part"]: r["count"] for r in ordered.groupBy(part.alias("part")).count().collect()}
+    before, bases = 0, []
+    for number in range(max(held) + 1):
+        bases.append(before - (number << 33))
+        before += held.get(number, 0)
+    base = F.element_at(F.expr(f"array({', '.join(f'{b}L' for b in bases)})"), (part + 1).cast("int"))
+    rank = ordered.withColumn("rank", F.col("place") + base)
+    first = F.expr(f"array({', '.join(f'{b}L' for b in bounds)})")
+    dealt = rank.withColumn("shard", F.size(F.filter(first, lambda b: b <= F.col("rank"))) - 1)
+    return dealt.select("row.*", "size", "shard", (F.col("rank") - F.element_at(first, F.col("shard") + 1)).alias("slot"))
+
+
+def _bounds(cells: DataFrame, total: int, shards: int, tolerance: float) -> list[int]:
+    """The rank of each shard's first row. Shards that begin at one rank: all but the last of them stay empty."""
     in_order = Window.orderBy("cell", "cell_t").rowsBetween(Window.unboundedPreceding, -1)
-    below = cells.select(
-        "*",
-        F.coalesce(F.sum("bytes").over(in_order), F.lit(0)).alias("bytes_below"),
-        F.coalesce(F.sum("rows").over(in_order), F.lit(0)).alias("rows_below"),
-    )
-    middle = (F.col("bytes_below") + F.expr("bytes div 2")).cast("decimal(38,0)")
-    dealt = below.withColumn("shard", F.least(F.floor(middle * shards / F.lit(total)), F.lit(shards - 1)).cast("int"))
-    dealt = dealt.withColumn("base", F.col("rows_below") - F.min("rows_below").over(Window.partitionBy("shard")))
-    dealt = written_table(dealt.select("cell", "cell_t", "shard", "base"), "sharding-splitters")
-
-    in_cell = Window.partitionBy("cell", "cell_t").orderBy("k", "t")
-    placed = _located(keyed, probes, too_large).withColumn("nth", F.row_number().over(in_cell) - 1)
-    return placed.join(F.broadcast(dealt), ["cell", "cell_t"]).select(
-        "row.*", "size", "shard", (F.col("base") + F.col("nth")).alias("slot")
-    )
+    below = cells.withColumn("bytes_below", F.coalesce(F.sum("bytes").over(in_order), F.lit(0)).cast("decimal(38,0)"))
+    # Only cells of rows equal in key and text are still too large; their rows have one size.
+    equal = (F.col("bytes") > tolerance * total / shards) & (F.col("rows") > 1)
+    sums = []
+    for shard in range(1, shards):
+        edge = F.lit(shard * total // shards).cast("decimal(38,0)")
+        whole = F.when(F.col("bytes_below") + F.expr("bytes div 2") < edge, F.col("rows")).otherwise(0)
+        inside = F.round((edge - F.col("bytes_below")) * F.col("rows") / F.col("bytes")).cast("long")
+        taken = F.when(equal, F.least(F.col("rows"), F.greatest(F.lit(0), inside))).otherwise(whole)
+        sums.append(F.sum(taken).cast("long").alias(f"b{shard}"))
+    # One number a shard.
+    return [0, *(below.agg(*sums).first() if sums else [])]
 
 
 def _prefix(column: str, bits: int) -> Column:

@@ -61,3 +61,26 @@ def test_no_python_on_the_main_path(spark, capsys):
     queries.op8_sharding(spark, SF).explain("formatted")
     plan = capsys.readouterr().out
     assert not any(word in plan for word in ("Python", "Pandas", "MapInArrow", "ExistingRDD"))
+
+
+def test_rows_equal_in_key_and_text_are_parted(spark):
+    """Half of all rows are one row; shards are still within a row of equal bytes, and slots gapless."""
+    table = frame(spark, [(7, "x" * 14)] * 2000 + [(i, "y" * 10) for i in range(100, 2100)]).repartition(9)
+    found = rows(sharding.shard_by_bytes(table))
+    held = {s: [r for r in found if r["shard"] == s] for s in range(16)}
+    total = sum(r["size"] for r in found)
+    assert len(found) == 4000 and total == 2000 * 15 + 2000 * 11
+    assert all(abs(sum(r["size"] for r in own) - total / 16) <= 15 + 0.01 * total / 16 for own in held.values())
+    assert all(sorted(r["slot"] for r in own) == list(range(len(own))) for own in held.values())
+
+
+def test_a_single_repeated_row_fills_every_shard(spark):
+    found = rows(sharding.shard_by_bytes(frame(spark, [(None, None)] * 160)))
+    assert sorted(r["shard"] for r in found) == sorted(list(range(16)) * 10)
+
+
+def test_no_task_needs_a_whole_cell(spark):
+    """The rows are dealt by ranges alone: no window or hash exchange stands above the texts."""
+    table = frame(spark, [(i, "z" * i) for i in range(50)])
+    plan = sharding.shard_by_bytes(table)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan and "Python" not in plan
