@@ -25,11 +25,8 @@ ROWS_AT_ONCE = 64
 
 @dataclass(frozen=True)
 class Settings:
-    """``pull``: weight of the unigram distribution, in counts. ``vocabulary`` and ``buckets`` do nothing: all words and
-    bigrams are told apart."""
+    """``pull``: weight of the unigram distribution, in counts."""
 
-    vocabulary: int | None = None
-    buckets: int | None = None
     pull: float = 20.0
 
 
