@@ -41,7 +41,7 @@ def test_losses_equal_brute_force(spark):
     given = awkward(awkward_rng())[:-3] + [(100 + i, prose(rng, 30)) for i in range(30)]
     targets = {4, 100, 101, 102, None}
     keys = spark.createDataFrame([(k,) for k in targets], "doc_id long")
-    settings = lm_scoring.Settings()  # so many that hardly any bigrams meet
+    settings = lm_scoring.Settings()
     found = rows(lm_scoring.score(frame(spark, given), keys, settings))
     got = sorted((str(r["doc_id"]), r["n_tokens"], r["target_loss"], r["background_loss"]) for r in found)
     for one, two in zip(got, brute(given, targets - {None})):
