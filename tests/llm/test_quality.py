@@ -1,4 +1,8 @@
 import math
+import re
+from collections import Counter
+
+import xxhash
 
 from rxvigil.llm import quality, queries
 from tests.llm.samples import awkward, awkward_rng, frame, rows
@@ -43,3 +47,30 @@ def test_no_targets_clashes_and_empty_tables(spark):
     clash = frame(spark, [(1, "a b"), (2, None)]).selectExpr("*", "1 AS draw", "2 AS key", "3 AS target")
     assert [r["log_weight"] for r in rows(quality.resample(clash, none, 0.5))] == [0.0, 0.0]
     assert rows(quality.resample(clash.limit(0), none, 0.5)) == []
+
+
+def test_weights_against_plain_counting(spark):
+    """Both models counted text by text, with every bucket smoothed by one."""
+    given = awkward(awkward_rng())[:-4] + [(100 + i, f"word{i % 7} tail {'x' * (i % 3)}, end-{i % 5}!") for i in range(40)]
+    chosen = {100, 101, 105, 112, 4}
+    targets = spark.createDataFrame([(k,) for k in chosen], "doc_id long")
+    size = quality.Settings().buckets
+
+    def buckets(text):
+        lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode()
+        tokens = re.findall(rb"[0-9a-z\x80-\xff]+|[^\s0-9a-z\x80-\xff]+", lowered)
+        one = [xxhash.xxh64_intdigest(t) for t in tokens]
+        two = [(a * 0x9E3779B97F4A7C15 + b) % 2**64 for a, b in zip(one, one[1:])]
+        return [h % size for h in one + [h ^ h >> 31 for h in two]]
+
+    raw, wanted = Counter(), Counter()
+    for key, text in given:
+        raw.update(buckets(text))
+        wanted.update(buckets(text) if key in chosen else [])
+    total = [sum(c.values()) + size for c in (wanted, raw)]
+    expected = sorted(
+        (str(key), round(sum(math.log((wanted[b] + 1) / total[0]) - math.log((raw[b] + 1) / total[1]) for b in buckets(text)), 6))
+        for key, text in given
+    )
+    found = rows(quality.resample(frame(spark, given), targets, 0.3))
+    assert sorted((str(r["doc_id"]), round(r["log_weight"], 6)) for r in found) == expected
