@@ -2,25 +2,40 @@
 
 Both models are interpolated bigram models over one vocabulary with the same smoothing, and the background's counts are
 scaled to the target's number of words, so that they differ in nothing but the texts they were counted on. Counts are
-exact and lie in tables, which grow with the corpus: every word and every bigram has a row.
+exact and grow with the corpus: every word and every bigram is counted.
+
+Texts are kept in blocks of bounded size as numbers of their block's words. A block sends each of its distinct bigrams
+once, with its count, to the part that counts it, packed with all others of that part; the part sends back the sums in
+the same order. So no string of a bigram is stored or shuffled. Parts grow in number with the bigrams, not in size.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxvigil.llm.words import plain_words
+from rxvigil.llm.words import in_blocks, plain_words, rows_of
 from rxvigil.session import written_table
 
-BAGS = "target boolean, n_tokens long, before array<binary>, word array<binary>, n array<int>"
-#: Rows whose bigrams are held at once.
-ROWS_AT_ONCE = 64
+#: Bytes of text in a block, and those counted for a row beside its text.
+BLOCK_BYTES, ROW_BYTES = 16 << 20, 64
+#: Distinct bigrams of blocks that a part counts, about.
+PART_BIGRAMS = 1 << 18
+COUNTS = ("word_target", "word_background", "before_target", "before_background")
+BLOCKS = "n_tokens long, target boolean, ids binary, n_bigrams long, words array<binary>, " + ", ".join(
+    f"{c} array<bigint>" for c in COUNTS
+)
+PACKED = "part int, block long, before binary, word binary, target binary, background binary"
+SUMS = "part int, block long, target binary, background binary"
+MODELS = ("target", "background")
 
 
 @dataclass(frozen=True)
@@ -39,63 +54,160 @@ def score(
     ``difference`` is the mean over the words of target loss less background loss, so it is lower for a document
     closer to the target. A text's words are runs of letters, digits and non-ASCII characters with A-Z lower-cased.
     Null and wordless texts have 0 tokens and a difference of 0. Without target documents both models are equal and
-    every difference is 0. Repeated rows are counted and scored each; null keys are background only. Other input columns
-    are not carried. An empty table gives an empty result.
+    every difference is 0. Repeated rows are counted and scored each; null keys are background only. A text longer than
+    a block is a block of its own. Other input columns are not carried. An empty table gives an empty result.
     """
     settings = settings or Settings()
     source = docs.select(F.col(key).alias("key"), F.col(text).cast("string").cast("binary").alias("text"))
     marks = targets.select(F.col(key).alias("key")).distinct().withColumn("target", F.lit(True))
     marked = source.join(marks, "key", "left").select("key", "text", F.coalesce("target", F.lit(False)).alias("target"))
     kind = source.schema["key"].dataType.simpleString()
-    bags = marked.mapInArrow(_bags, f"key {kind}, {BAGS}").withColumn("row", F.monotonically_increasing_id())
-    bags = written_table(bags, "bags-of-bigrams")
-    pairs = bags.select("row", "target", F.inline(F.arrays_zip("before", "word", "n")))
-
-    n = F.col("n").cast("long")
-    bigrams = pairs.groupBy("before", "word").agg(
-        F.sum(F.when(F.col("target"), n).otherwise(0)).alias("target"), F.sum(n).alias("background")
-    )
-    bigrams = written_table(bigrams, "bigrams")
-    singles = _sums(bigrams, "word")
-    contexts = _sums(bigrams, "before")
-    size, target_mass, mass = singles.agg(F.count("*") + 1, F.sum("word_target"), F.sum("word_background")).first()
-    names = {"target": ("target" if target_mass else "background", 1.0), "background": ("background", (target_mass or mass or 1) / (mass or 1))}
-    target_mass = target_mass or mass or 0
-    counted = bigrams.join(singles, "word").join(contexts, "before")
-    losses = []
-    for model, (name, scale) in names.items():
-        single = (F.col(f"word_{name}") * scale + 1) / F.lit(float(target_mass + size))
-        seen = F.col(name) * scale + settings.pull * single
-        losses.append((-F.log2(seen / (F.col(f"before_{name}") * scale + settings.pull))).alias(f"{model}_loss"))
-    losses = written_table(counted.select("before", "word", *losses), "bigram-losses")
-    totals = pairs.join(losses, ["before", "word"]).groupBy("row").agg(
-        *(F.sum(n * F.col(c)).alias(c) for c in ("target_loss", "background_loss"))
+    blocks = written_table(marked.mapInArrow(_blocks, f"block long, key {kind}, {BLOCKS}"), "blocks-of-texts")
+    texts = blocks.filter("words IS NULL").select("block", "key", "n_tokens", "target", "ids")
+
+    own = blocks.filter("words IS NOT NULL").select("block", F.posexplode(F.arrays_zip("words", *COUNTS)).alias("place", "of"))
+    words = own.groupBy(F.col("of.words").alias("word")).agg(*(F.sum(f"of.{c}").alias(c) for c in COUNTS))
+    words = written_table(words.withColumn("number", F.monotonically_increasing_id()), "words")
+    size, target_mass, mass = words.agg(
+        F.count(F.when(F.col("word_background") > 0, 1)) + 1, F.sum("word_target"), F.sum("word_background")
+    ).first()
+    numbers = own.select("block", "place", F.col("of.words").alias("word")).join(words, "word").drop("word")
+    numbers = written_table(numbers, "words-of-blocks")
+
+    bigrams = blocks.agg(F.sum("n_bigrams")).first()[0] or 0
+    parts = -(-bigrams // PART_BIGRAMS) or 1
+    by_block = numbers.groupBy("block")
+    packed = texts.select("block", "target", "ids").groupBy("block").cogroup(by_block).applyInArrow(_packer(parts), PACKED)
+    sums = written_table(packed.groupBy("part").applyInArrow(_add_up, SUMS), "bigram-sums")
+
+    mass = mass or 0
+    models = {"target": ("target" if target_mass else "background", 1.0), "background": ("background", (target_mass or mass) / (mass or 1))}
+    both = texts.drop("target").unionByName(sums, allowMissingColumns=True)
+    scorer = _scorer(parts, models, float(size), float(target_mass or mass), settings.pull)
+    scored = both.groupBy("block").cogroup(by_block).applyInArrow(
+        scorer, f"key {kind}, n_tokens long, target_loss double, background_loss double"
     )
-    words = F.greatest("n_tokens", F.lit(1))
-    means = [F.coalesce(F.col(c) / words, F.lit(0.0)).alias(c) for c in ("target_loss", "background_loss")]
-    scored = bags.select("row", "key", "n_tokens").join(totals, "row", "left").select("key", "n_tokens", *means)
     return scored.withColumn("difference", F.col("target_loss") - F.col("background_loss")).withColumnRenamed("key", key)
 
 
-def _sums(bigrams: DataFrame, column: str) -> DataFrame:
-    """The bigrams' counts summed by one of their words."""
-    return written_table(
-        bigrams.groupBy(column).agg(*(F.sum(c).alias(f"{column}_{c}") for c in ("target", "background"))), f"{column}-counts"
-    )
+def _packed(values: np.ndarray) -> bytes:
+    """The bytes of the numbers, all lowest ones first, then all second ones and so on: the higher ones compress well."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
 
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
-def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row's distinct bigrams and their number; a text's beginning is the empty word."""
-    for whole in batches:
-        for at in range(0, whole.num_rows, ROWS_AT_ONCE):
-            batch = whole.slice(at, ROWS_AT_ONCE)
-            rows = []
-            for text in batch.column(1):
-                words = plain_words(text.as_py())
-                bag = Counter(zip([b"", *words[:-1]], words))
-                rows.append((len(words), [v for v, _ in bag], [w for _, w in bag], list(bag.values())))
-            kinds = (pa.int64(), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *(pa.array(c, t) for c, t in zip(zip(*rows), kinds))],
-                ["key", "target", "n_tokens", "before", "word", "n"],
-            )
+
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each text with its words as numbers, and one for each block with its words and their counts.
+
+    Word 0 of a block is the empty one before a text's beginning.
+    """
+    batches = iter(batches)
+    first = next(batches, None)
+    if first is None:
+        return
+    kinds = [pa.int64(), first.schema.types[0], pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.list_(pa.binary())]
+    kinds += len(COUNTS) * [pa.list_(pa.int64())]
+    names = ["block", "key", "n_tokens", "target", "ids", "n_bigrams", "words", *COUNTS]
+    base = TaskContext.get().partitionId() << 32
+    for number, rows in enumerate(in_blocks(rows_of(chain([first], batches)), 1, BLOCK_BYTES, ROW_BYTES)):
+        known: dict[bytes, int] = {b"": 0}
+        ids = [np.array([known.setdefault(w, len(known)) for w in plain_words(text)], np.uint32) for _, text, _ in rows]
+        marks = [target for _, _, target in rows]
+        before, word, target = _bigrams(ids, marks)
+        counts = [np.bincount(c, minlength=len(known)).tolist() for c in (word[target], word, before[target], before)]
+        n_bigrams = len(np.unique(before << np.uint64(32) | word))
+        out = [(base + number, key, len(i), mark, _packed(i), *(2 + len(COUNTS)) * [None]) for (key, _, mark), i in zip(rows, ids)]
+        out.append((base + number, None, None, None, None, n_bigrams, list(known), *counts))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+
+
+def _bigrams(ids: list[np.ndarray], marks: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word of the texts the one before it, the word itself and the text's mark."""
+    word = np.concatenate([np.empty(0, np.uint32), *ids])
+    before = np.concatenate([np.empty(0, np.uint32), *(i for own in ids if len(own) for i in (np.zeros(1, np.uint32), own[:-1]))])
+    return before.astype(np.uint64), word.astype(np.uint64), np.repeat(np.array(marks, bool), [len(i) for i in ids])
+
+
+def _distinct(ids: list[np.ndarray], numbers: np.ndarray, parts: int) -> tuple[np.ndarray, ...]:
+    """The block's distinct bigrams in order of part and word numbers, and for each word of the texts the place of its bigram.
+
+    The order depends on the bigrams alone, so the sums of a part come back in it.
+    """
+    before, word, _ = _bigrams(ids, [False] * len(ids))
+    pairs, inverse = np.unique(before << np.uint64(32) | word, return_inverse=True)
+    before, word = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    mixed = numbers[before].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + numbers[word].astype(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    part = ((mixed >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((numbers[word], numbers[before], part))
+    places = np.empty(len(order), np.int64)
+    places[order] = np.arange(len(order))
+    return part[order], before[order], word[order], places[inverse]
+
+
+def _of_places(table: pa.Table, column: str) -> np.ndarray:
+    """A column of a block's words in their order."""
+    out = np.empty(table.num_rows, np.int64)
+    out[table["place"].to_numpy()] = table[column].to_numpy()
+    return out
+
+
+def _packer(parts: int):
+    schema = pa.schema([("part", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in ("before", "word", *MODELS))])
+
+    def pack(texts: pa.Table, words: pa.Table) -> pa.Table:
+        ids = [_unpacked(i, np.uint32) for i in texts["ids"].to_pylist()]
+        numbers = _of_places(words, "number")
+        part, before, word, at = _distinct(ids, numbers, parts)
+        marks = np.repeat(np.array(texts["target"].to_pylist(), bool), [len(i) for i in ids])
+        target, background = (np.bincount(a, minlength=len(part)).astype(np.uint32) for a in (at[marks], at))
+        columns = (numbers[before], numbers[word], target, background)
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)] if len(part) else [0]
+        rows = [
+            (int(part[a]), words["block"][0].as_py(), *(_packed(np.ascontiguousarray(c[a:b])) for c in columns)) for a, b in zip(cuts, cuts[1:])
+        ]
+        return pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+
+    return pack
+
+
+def _add_up(packed: pa.Table) -> pa.Table:
+    """The sums of a part's bigrams over all blocks, for each block in its order."""
+    before, word, target, background = (
+        [_unpacked(v, kind) for v in packed[c].to_pylist()]
+        for c, kind in (("before", np.int64), ("word", np.int64), ("target", np.uint32), ("background", np.uint32))
+    )
+    ends = np.cumsum([len(b) for b in before])[:-1]
+    before, word = np.concatenate(before), np.concatenate(word)
+    order = np.lexsort((word, before))
+    new = np.append(True, (np.diff(before[order]) != 0) | (np.diff(word[order]) != 0))
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    out = []
+    for counts in (target, background):
+        ordered = np.concatenate(counts).astype(np.int64)[order]
+        sums = np.add.reduceat(ordered, np.flatnonzero(new))[group]
+        out.append(pa.array([_packed(s) for s in map(np.ascontiguousarray, np.split(sums, ends))], pa.binary()))
+    return pa.table([packed["part"], packed["block"], *out], names=["part", "block", *MODELS])
+
+
+def _scorer(parts: int, models: dict[str, tuple[str, float]], size: float, mass: float, pull: float):
+    def score(rows: pa.Table, words: pa.Table) -> pa.Table:
+        texts, sums = rows.filter(pc.is_null(rows["part"])), rows.filter(pc.is_valid(rows["part"])).sort_by("part")
+        ids = [_unpacked(i, np.uint32) for i in texts["ids"].to_pylist()]
+        _, before, word, at = _distinct(ids, _of_places(words, "number"), parts)
+        lengths = np.array([len(i) for i in ids], np.int64)
+        text = np.repeat(np.arange(len(ids)), lengths)
+        losses = []
+        for name, scale in models.values():
+            counts = np.concatenate([np.empty(0, np.int64), *(_unpacked(v, np.int64) for v in sums[name].to_pylist())])
+            single = (_of_places(words, f"word_{name}")[word] * scale + 1) / (mass + size)
+            seen = (counts * scale + pull * single) / (_of_places(words, f"before_{name}")[before] * scale + pull)
+            losses.append(np.bincount(text, -np.log2(seen)[at], len(ids)) / np.maximum(lengths, 1))
+        return pa.table([texts["key"], texts["n_tokens"], *losses], names=["key", "n_tokens", *(f"{m}_loss" for m in models)])
+
+    return score

@@ -22,12 +22,15 @@ def plain_words(text: bytes | None) -> list[bytes]:
     return text.translate(ALNUM).split() if text else []
 
 
-def in_blocks(rows: Iterable[tuple], text_at: int, limit: int) -> Iterator[list[tuple]]:
-    """Lists of rows whose texts together hold about ``limit`` bytes, so that a task's memory is bounded."""
+def in_blocks(rows: Iterable[tuple], text_at: int, limit: int, row_bytes: int = 0) -> Iterator[list[tuple]]:
+    """Lists of rows whose texts together hold about ``limit`` bytes, so that a task's memory is bounded.
+
+    ``row_bytes`` are counted for each row beside its text, where many texts may be empty.
+    """
     block, held = [], 0
     for row in rows:
         block.append(row)
-        held += len(row[text_at] or b"")
+        held += len(row[text_at] or b"") + row_bytes
         if held >= limit:
             yield block
             block, held = [], 0

@@ -79,3 +79,17 @@ def test_production_settings_tell_all_words_and_bigrams_apart(spark):
     assert len(got) == len(expected)
     for one, two in zip(got, expected):
         assert one[:2] == two[:2] and all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(one[2:], two[2:]))
+
+
+def test_many_blocks_and_parts_give_the_same_losses(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(lm_scoring, "PART_BIGRAMS", 100)
+    rng = random.Random(3)
+    given = awkward(awkward_rng())[:-3] + [(100 + i, prose(rng, 60)) for i in range(60)] + [(7, "same words again")] * 40
+    targets = {7, 100, 101, 150}
+    found = rows(lm_scoring.score(frame(spark, given), spark.createDataFrame([(k,) for k in targets], "doc_id long")))
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["target_loss"], r["background_loss"]) for r in found)
+    expected = brute(given, targets)
+    assert len(got) == len(expected)
+    for one, two in zip(got, expected):
+        assert one[:2] == two[:2] and all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(one[2:], two[2:]))
