@@ -4,9 +4,9 @@ Both models are interpolated bigram models over one vocabulary with the same smo
 scaled to the target's number of words, so that they differ in nothing but the texts they were counted on. Counts are
 exact and grow with the corpus: every word and every bigram is counted.
 
-Texts are kept in blocks of bounded size as numbers of their block's words. A block sends each of its distinct bigrams
-once, with its count, to the part that counts it, packed with all others of that part; the part sends back the sums in
-the same order. So no string of a bigram is stored or shuffled. Parts grow in number with the bigrams, not in size.
+Texts are kept in blocks of bounded size as numbers of their block's words. A block sends each of its distinct words
+once, with its counts, to the part that counts it, packed with all others of that part; the part sends back the sums in
+the same order. The same is done with bigrams, as pairs of the words' numbers. Parts grow in number, not in size.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,12 +28,13 @@ from rxvigil.session import written_table
 
 #: Bytes of text in a block, and those counted for a row beside its text.
 BLOCK_BYTES, ROW_BYTES = 16 << 20, 64
-#: Distinct bigrams of blocks that a part counts, about.
-PART_BIGRAMS = 1 << 18
+#: Distinct words and bigrams of blocks that a part counts, about.
+PART_WORDS, PART_BIGRAMS = 1 << 17, 1 << 18
 COUNTS = ("word_target", "word_background", "before_target", "before_background")
-BLOCKS = "n_tokens long, target boolean, ids binary, n_bigrams long, words array<binary>, " + ", ".join(
-    f"{c} array<bigint>" for c in COUNTS
-)
+PLANES = ", ".join(f"{c} binary" for c in COUNTS)
+BLOCKS = f"n_tokens long, target boolean, ids binary, n_bigrams long, n_words long, words array<binary>, {PLANES}"
+WORDS = f"part int, block long, words array<binary>, {PLANES}"
+NUMBERS = f"part int, block long, n_words long, number binary, {PLANES}"
 PACKED = "part int, block long, before binary, word binary, target binary, background binary"
 SUMS = "part int, block long, target binary, background binary"
 MODELS = ("target", "background")
@@ -59,28 +61,26 @@ def score(
     """
     settings = settings or Settings()
     source = docs.select(F.col(key).alias("key"), F.col(text).cast("string").cast("binary").alias("text"))
-    marks = targets.select(F.col(key).alias("key")).distinct().withColumn("target", F.lit(True))
+    # Written, so that its size decides whether it is broadcast; else all texts would be shuffled by key.
+    marks = written_table(targets.select(F.col(key).alias("key")).distinct().withColumn("target", F.lit(True)), "target-keys")
     marked = source.join(marks, "key", "left").select("key", "text", F.coalesce("target", F.lit(False)).alias("target"))
     kind = source.schema["key"].dataType.simpleString()
     blocks = written_table(marked.mapInArrow(_blocks, f"block long, key {kind}, {BLOCKS}"), "blocks-of-texts")
     texts = blocks.filter("words IS NULL").select("block", "key", "n_tokens", "target", "ids")
+    mass, target_mass, n_words, n_bigrams = (
+        n or 0 for n in blocks.agg(F.sum("n_tokens"), F.sum(F.when(F.col("target"), F.col("n_tokens"))), F.sum("n_words"), F.sum("n_bigrams")).first()
+    )
 
-    own = blocks.filter("words IS NOT NULL").select("block", F.posexplode(F.arrays_zip("words", *COUNTS)).alias("place", "of"))
-    words = own.groupBy(F.col("of.words").alias("word")).agg(*(F.sum(f"of.{c}").alias(c) for c in COUNTS))
-    words = written_table(words.withColumn("number", F.monotonically_increasing_id()), "words")
-    size, target_mass, mass = words.agg(
-        F.count(F.when(F.col("word_background") > 0, 1)) + 1, F.sum("word_target"), F.sum("word_background")
-    ).first()
-    numbers = own.select("block", "place", F.col("of.words").alias("word")).join(words, "word").drop("word")
-    numbers = written_table(numbers, "words-of-blocks")
-
-    bigrams = blocks.agg(F.sum("n_bigrams")).first()[0] or 0
-    parts = -(-bigrams // PART_BIGRAMS) or 1
-    by_block = numbers.groupBy("block")
-    packed = texts.select("block", "target", "ids").groupBy("block").cogroup(by_block).applyInArrow(_packer(parts), PACKED)
+    own = blocks.filter("words IS NOT NULL").select("block", "words", *COUNTS)
+    own = own.mapInArrow(_word_packer(-(-n_words // PART_WORDS) or 1), WORDS)
+    numbers = written_table(own.groupBy("part").applyInArrow(_number_words, NUMBERS), "words-of-blocks")
+    size = (numbers.agg(F.sum("n_words")).first()[0] or 0) + 1
+    parts = -(-n_bigrams // PART_BIGRAMS) or 1
+    by_block = numbers.select("block", F.col("part").alias("word_part"), "number", *COUNTS).groupBy("block")
+    numbered = numbers.select("block", F.col("part").alias("word_part"), "number").groupBy("block")
+    packed = texts.select("block", "target", "ids").groupBy("block").cogroup(numbered).applyInArrow(_packer(parts), PACKED)
     sums = written_table(packed.groupBy("part").applyInArrow(_add_up, SUMS), "bigram-sums")
 
-    mass = mass or 0
     models = {"target": ("target" if target_mass else "background", 1.0), "background": ("background", (target_mass or mass) / (mass or 1))}
     both = texts.drop("target").unionByName(sums, allowMissingColumns=True)
     scorer = _scorer(parts, models, float(size), float(target_mass or mass), settings.pull)
@@ -90,6 +90,52 @@ def score(
     return scored.withColumn("difference", F.col("target_loss") - F.col("background_loss")).withColumnRenamed("key", key)
 
 
+def _hash(word: bytes) -> int:
+    """The word's place in the order of a block; the empty word is the first."""
+    return xxhash.xxh64_intdigest(word) >> 1 if word else -1
+
+
+def _word_packer(parts: int):
+    """The words of each block cut by part, a range of hashes."""
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                words = batch.column(1)[row].values
+                hashes = np.array([max(_hash(w), 0) for w in words.to_pylist()], np.int64)
+                part = (hashes >> 31) * parts >> 32
+                counts = [_unpacked(batch.column(2 + i)[row].as_py(), np.int64) for i in range(len(COUNTS))]
+                starts = np.append(0, np.flatnonzero(np.diff(part)) + 1)
+                ends = np.append(starts[1:], len(part))
+                cuts = [[_packed(np.ascontiguousarray(c[a:b])) for a, b in zip(starts, ends)] for c in counts]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(part)), pa.int32()), words)
+                blocks = pa.array(np.full(len(starts), batch.column(0)[row].as_py()), pa.int64())
+                columns = [pa.array(part[starts], pa.int32()), blocks, lists, *(pa.array(c, pa.binary()) for c in cuts)]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "block", "words", *COUNTS])
+
+    return pack
+
+
+def _number_words(packed: pa.Table) -> pa.Table:
+    """The number and the sums of a part's words, for each block in its order."""
+    lists = packed["words"].combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    words = lists.flatten().dictionary_encode()
+    word = words.indices.to_numpy().astype(np.int64)
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))[:-1]
+    # The empty word is none of the vocabulary.
+    distinct = len(words.dictionary) - pc.sum(pc.equal(pc.binary_length(words.dictionary), 0)).as_py()
+    columns = [word + (packed["part"][0].as_py() << 32)]
+    for name in COUNTS:
+        counts = np.concatenate([_unpacked(v, np.int64) for v in packed[name].to_pylist()])
+        sums = np.zeros(len(words.dictionary), np.int64)
+        np.add.at(sums, word, counts)
+        columns.append(sums[word])
+    once = pa.array([distinct, *(packed.num_rows - 1) * [0]], pa.int64())
+    cut = [pa.array([_packed(np.ascontiguousarray(c)) for c in np.split(v, ends)], pa.binary()) for v in columns]
+    return pa.table([packed["part"], packed["block"], once, *cut], names=["part", "block", "n_words", "number", *COUNTS])
+
+
 def _packed(values: np.ndarray) -> bytes:
     """The bytes of the numbers, all lowest ones first, then all second ones and so on: the higher ones compress well."""
     return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
@@ -109,19 +155,24 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = next(batches, None)
     if first is None:
         return
-    kinds = [pa.int64(), first.schema.types[0], pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.list_(pa.binary())]
-    kinds += len(COUNTS) * [pa.list_(pa.int64())]
-    names = ["block", "key", "n_tokens", "target", "ids", "n_bigrams", "words", *COUNTS]
+    kinds = [pa.int64(), first.schema.types[0], pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.binary())]
+    kinds += len(COUNTS) * [pa.binary()]
+    names = ["block", "key", "n_tokens", "target", "ids", "n_bigrams", "n_words", "words", *COUNTS]
     base = TaskContext.get().partitionId() << 32
     for number, rows in enumerate(in_blocks(rows_of(chain([first], batches)), 1, BLOCK_BYTES, ROW_BYTES)):
         known: dict[bytes, int] = {b"": 0}
         ids = [np.array([known.setdefault(w, len(known)) for w in plain_words(text)], np.uint32) for _, text, _ in rows]
+        # Words of a block are in order of their hash, so that those of a part are side by side.
+        words = sorted(known, key=_hash)
+        rank = np.empty(len(words), np.uint32)
+        rank[[known[w] for w in words]] = np.arange(len(words), dtype=np.uint32)
+        ids = [rank[i] for i in ids]
         marks = [target for _, _, target in rows]
         before, word, target = _bigrams(ids, marks)
-        counts = [np.bincount(c, minlength=len(known)).tolist() for c in (word[target], word, before[target], before)]
+        counts = [_packed(np.bincount(c, minlength=len(words))) for c in (word[target], word, before[target], before)]
         n_bigrams = len(np.unique(before << np.uint64(32) | word))
-        out = [(base + number, key, len(i), mark, _packed(i), *(2 + len(COUNTS)) * [None]) for (key, _, mark), i in zip(rows, ids)]
-        out.append((base + number, None, None, None, None, n_bigrams, list(known), *counts))
+        out = [(base + number, key, len(i), mark, _packed(i), *(3 + len(COUNTS)) * [None]) for (key, _, mark), i in zip(rows, ids)]
+        out.append((base + number, None, None, None, None, n_bigrams, len(words), words, *counts))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
 
@@ -149,11 +200,9 @@ def _distinct(ids: list[np.ndarray], numbers: np.ndarray, parts: int) -> tuple[n
     return part[order], before[order], word[order], places[inverse]
 
 
-def _of_places(table: pa.Table, column: str) -> np.ndarray:
+def _of_words(table: pa.Table, column: str) -> np.ndarray:
     """A column of a block's words in their order."""
-    out = np.empty(table.num_rows, np.int64)
-    out[table["place"].to_numpy()] = table[column].to_numpy()
-    return out
+    return np.concatenate([_unpacked(v, np.int64) for v in table.sort_by("word_part")[column].to_pylist()])
 
 
 def _packer(parts: int):
@@ -161,15 +210,16 @@ def _packer(parts: int):
 
     def pack(texts: pa.Table, words: pa.Table) -> pa.Table:
         ids = [_unpacked(i, np.uint32) for i in texts["ids"].to_pylist()]
-        numbers = _of_places(words, "number")
+        numbers = _of_words(words, "number")
         part, before, word, at = _distinct(ids, numbers, parts)
         marks = np.repeat(np.array(texts["target"].to_pylist(), bool), [len(i) for i in ids])
         target, background = (np.bincount(a, minlength=len(part)).astype(np.uint32) for a in (at[marks], at))
-        columns = (numbers[before], numbers[word], target, background)
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)] if len(part) else [0]
-        rows = [
-            (int(part[a]), words["block"][0].as_py(), *(_packed(np.ascontiguousarray(c[a:b])) for c in columns)) for a, b in zip(cuts, cuts[1:])
-        ]
+        rows = []
+        for a, b in zip(cuts, cuts[1:]):
+            steps = np.diff(numbers[before[a:b]], prepend=0)
+            columns = (steps, numbers[word[a:b]], target[a:b], background[a:b])
+            rows.append((int(part[a]), words["block"][0].as_py(), *map(_packed, map(np.ascontiguousarray, columns))))
         return pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
 
     return pack
@@ -182,7 +232,7 @@ def _add_up(packed: pa.Table) -> pa.Table:
         for c, kind in (("before", np.int64), ("word", np.int64), ("target", np.uint32), ("background", np.uint32))
     )
     ends = np.cumsum([len(b) for b in before])[:-1]
-    before, word = np.concatenate(before), np.concatenate(word)
+    before, word = np.concatenate([np.cumsum(steps) for steps in before]), np.concatenate(word)
     order = np.lexsort((word, before))
     new = np.append(True, (np.diff(before[order]) != 0) | (np.diff(word[order]) != 0))
     group = np.empty(len(order), np.int64)
@@ -199,14 +249,14 @@ def _scorer(parts: int, models: dict[str, tuple[str, float]], size: float, mass:
     def score(rows: pa.Table, words: pa.Table) -> pa.Table:
         texts, sums = rows.filter(pc.is_null(rows["part"])), rows.filter(pc.is_valid(rows["part"])).sort_by("part")
         ids = [_unpacked(i, np.uint32) for i in texts["ids"].to_pylist()]
-        _, before, word, at = _distinct(ids, _of_places(words, "number"), parts)
+        _, before, word, at = _distinct(ids, _of_words(words, "number"), parts)
         lengths = np.array([len(i) for i in ids], np.int64)
         text = np.repeat(np.arange(len(ids)), lengths)
         losses = []
         for name, scale in models.values():
             counts = np.concatenate([np.empty(0, np.int64), *(_unpacked(v, np.int64) for v in sums[name].to_pylist())])
-            single = (_of_places(words, f"word_{name}")[word] * scale + 1) / (mass + size)
-            seen = (counts * scale + pull * single) / (_of_places(words, f"before_{name}")[before] * scale + pull)
+            single = (_of_words(words, f"word_{name}")[word] * scale + 1) / (mass + size)
+            seen = (counts * scale + pull * single) / (_of_words(words, f"before_{name}")[before] * scale + pull)
             losses.append(np.bincount(text, -np.log2(seen)[at], len(ids)) / np.maximum(lengths, 1))
         return pa.table([texts["key"], texts["n_tokens"], *losses], names=["key", "n_tokens", *(f"{m}_loss" for m in models)])
 
