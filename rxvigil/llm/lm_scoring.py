@@ -27,7 +27,9 @@ from rxvigil.llm.words import in_blocks, plain_words, rows_of
 from rxvigil.session import written_table
 
 #: Bytes of text in a block, and those counted for a row beside its text.
-BLOCK_BYTES, ROW_BYTES = 16 << 20, 64
+BLOCK_BYTES, ROW_BYTES = 8 << 20, 64
+#: Bytes of target keys, each counted with ``ROW_BYTES`` beside it, up to which they are broadcast.
+BROADCAST_BYTES = 64 << 20
 #: Distinct words and bigrams of blocks that a part counts, about.
 PART_WORDS, PART_BIGRAMS = 1 << 17, 1 << 18
 COUNTS = ("word_target", "word_background", "before_target", "before_background")
@@ -61,8 +63,11 @@ def score(
     """
     settings = settings or Settings()
     source = docs.select(F.col(key).alias("key"), F.col(text).cast("string").cast("binary").alias("text"))
-    # Written, so that its size decides whether it is broadcast; else all texts would be shuffled by key.
     marks = written_table(targets.select(F.col(key).alias("key")).distinct().withColumn("target", F.lit(True)), "target-keys")
+    # Few keys are broadcast; more are joined by shuffling the texts.
+    key_bytes = marks.agg(F.sum(F.coalesce(F.octet_length(F.col("key").cast("string")), F.lit(0)) + ROW_BYTES)).first()[0] or 0
+    if key_bytes <= BROADCAST_BYTES:
+        marks = F.broadcast(marks)
     marked = source.join(marks, "key", "left").select("key", "text", F.coalesce("target", F.lit(False)).alias("target"))
     kind = source.schema["key"].dataType.simpleString()
     blocks = written_table(marked.mapInArrow(_blocks, f"block long, key {kind}, {BLOCKS}"), "blocks-of-texts")

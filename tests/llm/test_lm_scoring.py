@@ -83,6 +83,7 @@ def test_production_settings_tell_all_words_and_bigrams_apart(spark):
 
 def test_many_blocks_and_parts_give_the_same_losses(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(lm_scoring, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(lm_scoring, "PART_BIGRAMS", 100)
     monkeypatch.setattr(lm_scoring, "PART_WORDS", 50)
     rng = random.Random(3)
