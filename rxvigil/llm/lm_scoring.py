@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -142,12 +143,12 @@ def _number_words(packed: pa.Table) -> pa.Table:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """The bytes of the numbers, all lowest ones first, then all second ones and so on: the higher ones compress well."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    """The numbers compressed, all lowest bytes first, then all second ones and so on."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
 
 
 def _unpacked(data: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
