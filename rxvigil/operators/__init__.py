@@ -8,10 +8,13 @@ from rxvigil.operators.catalogue import (
     validate_catalogue,
 )
 from rxvigil.operators.deadletter import (
+    Guarded,
     dlq_records,
     envelope,
+    guard_expressions,
     guard_output,
     guard_records,
+    processing_routes,
     split_failures,
 )
 from rxvigil.operators.enrich import (
@@ -28,9 +31,9 @@ from rxvigil.operators.lookup import lookup_join
 from rxvigil.operators.surge import detect_price_surges, price_changes
 
 __all__ = [
-    "accepted_catalogue", "admission_records", "alert_event_time", "alert_records", "asof_join",
+    "Guarded", "accepted_catalogue", "admission_records", "alert_event_time", "alert_records", "asof_join",
     "check_rules", "count_alerts", "detect_price_surges", "dlq_records", "enrich_alerts",
-    "envelope", "guard_output", "guard_records", "known", "late_alerts", "latest_by_key",
-    "lookup_join", "narcotics_only", "price_changes", "rejected", "rejection_envelopes",
+    "envelope", "guard_expressions", "guard_output", "guard_records", "known", "late_alerts", "latest_by_key",
+    "lookup_join", "narcotics_only", "price_changes", "processing_routes", "rejected", "rejection_envelopes",
     "split_failures", "unknown", "unknown_envelopes", "validate_catalogue",
 ]

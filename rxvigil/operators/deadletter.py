@@ -7,6 +7,7 @@ routes of a frame are produced in one pass. ``envelope`` gives the same as a fra
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ def envelope_struct(
     message: Column | None = None,
     processor: str | None = None,
     context: Mapping[str, Column | str] | None = None,
-    exception_class: str | None = None,
+    exception_class: Column | str | None = None,
     raw_key: str | None = None,
     raw_value: str | None = None,
     topic: Column | str = "topic",
@@ -37,6 +38,9 @@ def envelope_struct(
     def column(c: Column | str) -> Column:
         return F.col(c) if isinstance(c, str) else c
 
+    def literal(c: Column | str) -> Column:
+        return F.lit(c) if isinstance(c, str) else c
+
     def payload(name: str | None) -> Column:
         if name is None:
             return text
@@ -55,7 +59,7 @@ def envelope_struct(
         F.coalesce(column(offset).cast("bigint"), F.lit(-1).cast("bigint")).alias("offset"),
         F.lit(error_type).alias("errorType"),
         (text if message is None else message).alias("errorMessage"),
-        (F.lit(exception_class) if exception_class else text).alias("exceptionClass"),
+        (text if exception_class is None else literal(exception_class)).alias("exceptionClass"),
         text.alias("stackTrace"),
         F.lit(0).alias("retryCount"),
         payload(raw_key).alias("originalKeyBase64"),
@@ -171,6 +175,57 @@ def split_failures(
     return computed.where(~failed), computed.where(failed).drop(name)
 
 
+class Guarded(NamedTuple):
+    """An expression that gives null where it fails (``try_*``), and what is said of it then.
+
+    Where ``absent`` is true its input is missing, and null is its proper result.
+    """
+
+    result: Column
+    message: Column | str
+    exception_class: str
+    absent: Column | None = None
+
+
+def guard_expressions(records: DataFrame, expressions: Mapping[str, Guarded], errors: str = "errors") -> DataFrame:
+    """``records`` with a column for each expression, all computed in one projection, and the array ``errors``.
+
+    It names the expressions that failed, with message and exception class, in the mapping's order. An expression
+    sees the input columns, not other expressions.
+    """
+    computed = records.select("*", *(g.result.alias(name) for name, g in expressions.items()))
+    failures = []
+    for name, g in expressions.items():
+        absent = F.lit(False) if g.absent is None else F.coalesce(g.absent, F.lit(False))
+        message = F.lit(g.message) if isinstance(g.message, str) else g.message
+        failure = F.struct(
+            F.lit(name).alias("expression"), message.alias("message"), F.lit(g.exception_class).alias("exceptionClass")
+        )
+        failures.append(F.when(F.col(name).isNull() & ~absent, failure))
+    return computed.withColumn(errors, F.array_compact(F.array(*failures)))
+
+
+def processing_routes(
+    records: DataFrame,
+    expressions: Mapping[str, Guarded],
+    processor: str | None = None,
+    context: Mapping[str, Column | str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Records for which every expression holds, with their results; and one PROCESSING envelope for each other record.
+
+    The envelope tells the first failure, as processing would stop there; ``failedExpressions`` in its context names all.
+    """
+    errors = "__errors"
+    computed = guard_expressions(records, expressions, errors)
+    first = F.try_element_at(errors, F.lit(1))
+    failed = envelope(
+        computed.where(F.size(errors) > 0), "PROCESSING", first["message"], processor,
+        {**(context or {}), "failedExpressions": F.array_join(F.col(errors)["expression"], ",")},
+        exception_class=first["exceptionClass"],
+    )
+    return computed.where(F.size(errors) == 0).drop(errors), failed
+
+
 def _oversized(max_bytes: int) -> Column:
     return _bytes(F.struct("key", "value")) > max_bytes
 

@@ -390,6 +390,20 @@ SELECT 'hci.dlq.medicinal-products.avro', topic || '/' || "partition" || '/' ||
 SELECT key, ts, "offset", "marketingStatus", verdict, message, "priorStatus" FROM judged"""),
     "stream_asof_price": ORACLES["asof_price"],
     "stream_asof_in_time_order": ORACLES["asof_price"],
+    "stream_processing_failures": _with("v_price_updates_delayed", select="""
+SELECT CASE WHEN failed THEN 'hci.dlq.price-updates.avro' ELSE 'price.ratios' END AS topic,
+  CASE WHEN failed THEN topic || '/' || "partition" || '/' || "offset" ELSE key END AS key,
+  CASE WHEN NOT failed THEN gtin END AS gtin,
+  CASE WHEN NOT failed THEN new / previous END AS "priceRatio", CASE WHEN NOT failed THEN previous / (1300 - new) END AS headroom,
+  CASE WHEN failed THEN 'PROCESSING' END AS "errorType",
+  CASE WHEN previous = 0 THEN 'no previous price' WHEN new = 1300 THEN 'price at its cap' END AS "errorMessage",
+  CASE WHEN previous = 0 THEN 'ArithmeticException' WHEN new = 1300 THEN 'IllegalStateException' END AS "exceptionClass",
+  CASE WHEN failed THEN 'PriceRatio' END AS "processorName",
+  CASE WHEN previous = 0 AND new = 1300 THEN 'priceRatio,headroom' WHEN previous = 0 THEN 'priceRatio'
+    WHEN new = 1300 THEN 'headroom' END AS "failedExpressions"
+FROM (SELECT *, previous = 0 OR new = 1300 AS failed FROM (
+  SELECT *, CAST("previousPublicPriceCHF" AS DOUBLE) AS previous, CAST("newPublicPriceCHF" AS DOUBLE) AS new
+  FROM v_price_updates_delayed))"""),
     "stream_delivered_once": _with("v_alerts_in_batches", select="""
 SELECT topic, key, "alertId", severity, true AS repeats FROM v_alerts_in_batches"""),
 })

@@ -14,11 +14,14 @@ from pyspark.sql import types as T
 
 from rxvigil import schemas as S
 from rxvigil import streaming as st
+from rxvigil.operators import Guarded
 from rxvigil.plans.views import BATCHES, VIEWS, plain_timestamps, project_view, view
 from rxvigil.session import scratch_path
 from rxvigil.sources import stream_feed
 
 ACCEPTED_TOPIC = "catalogue.accepted"
+RATIOS_TOPIC = "price.ratios"
+PRICE_CAP_CHF = 1300.0
 
 
 def table_stream(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
@@ -166,6 +169,26 @@ def stream_price_surges(spark, sf):
     ).drop("topic")
 
 
+def stream_processing_failures(spark, sf):
+    """Two guarded expressions over price updates: their results, and one letter for each update that fails either."""
+    raw = to_raw(view(spark, sf, "v_price_updates_delayed"), S.PRICE_FEED)
+    new, previous = F.col("newPublicPriceCHF"), F.col("previousPublicPriceCHF")
+    guarded = {
+        "priceRatio": Guarded(F.try_divide(new, previous), "no previous price", "ArithmeticException"),
+        "headroom": Guarded(F.try_divide(previous, F.lit(PRICE_CAP_CHF) - new), "price at its cap", "IllegalStateException"),
+    }
+
+    def start(stream, sink, checkpoint):
+        columns = ["gtin", *guarded]
+        return st.start_processing(stream, S.PRICE_FEED, guarded, RATIOS_TOPIC, columns, sink, checkpoint, processor="PriceRatio")
+
+    return _parsed(
+        _run(spark, "processing", raw, start),
+        "gtin string, priceRatio double, headroom double, errorType string, errorMessage string, exceptionClass string, "
+        "processorName string, context map<string,string>",
+    ).withColumn("failedExpressions", F.col("context")["failedExpressions"]).drop("context")
+
+
 def stream_alert_frequency(spark, sf):
     raw = to_raw(view(spark, sf, "v_alerts_in_batches"), S.ALERT_FEED)
     records = _run(spark, "frequency", raw, st.start_alert_frequency)
@@ -231,5 +254,6 @@ STREAM_QUERIES = {
         stream_enriched_alerts, stream_alert_dead_letters, stream_price_surges,
         stream_alert_frequency, stream_catalogue_admission, stream_catalogue_verdicts,
         stream_asof_price, stream_asof_in_time_order, stream_delivered_once,
+        stream_processing_failures,
     )
 }

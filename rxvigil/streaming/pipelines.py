@@ -10,7 +10,7 @@ one frame of records, and that frame is written once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rxvigil import schemas as S
 from rxvigil.functions import json_record
 from rxvigil.operators import (
+    Guarded,
     admission_records,
     alert_records,
     count_alerts,
@@ -27,6 +28,7 @@ from rxvigil.operators import (
     dlq_records,
     enrich_alerts,
     guard_records,
+    processing_routes,
     rejection_envelopes,
     validate_catalogue,
 )
@@ -69,9 +71,17 @@ def _good(raw: DataFrame, feed: S.Feed) -> DataFrame:
     return decoded_good(_decoded(raw, feed))
 
 
-def _letters(raw: DataFrame, feeds: list[S.Feed], max_bytes: int) -> DataFrame:
-    """Dead letters of the feeds' undecodable records."""
-    return dlq_records(_union([decode_failures(_decoded(raw, f)) for f in feeds]), max_bytes)
+def _letters(raw: DataFrame, feeds: list[S.Feed], max_bytes: int, more: Sequence[DataFrame] = ()) -> DataFrame:
+    """Dead letters of the feeds' undecodable records and of further envelopes."""
+    return dlq_records(_union([*(decode_failures(_decoded(raw, f)) for f in feeds), *more]), max_bytes)
+
+
+def _held_to(events: DataFrame, guarded: Mapping[str, Guarded] | None) -> tuple[DataFrame, list[DataFrame]]:
+    """Events for which every guarded expression holds, and the envelopes of the others."""
+    if not guarded:
+        return events, []
+    good, failed = processing_routes(events, guarded)
+    return good.drop(*guarded), [failed]
 
 
 def _records(df: DataFrame, topic: str, columns) -> DataFrame:
@@ -96,11 +106,13 @@ def _lookup_pipeline(
     table: ChangeTable | None,
     catalogue: str,
     max_bytes: int,
+    guarded: Mapping[str, Guarded] | None,
 ) -> StreamingQuery:
     """Shared course of the two pipelines that look events up in the product table.
 
     A batch's product changes are applied first, so an event sees the table as of the end of
     its batch. A ``shared`` table is kept by another query; its newest version is read and product records are not.
+    An event for which an expression of ``guarded`` fails becomes a letter instead of output.
     """
     if catalogue not in ("raw", "validated", "shared"):
         raise ValueError(f"catalogue must be 'raw', 'validated' or 'shared', not {catalogue!r}")
@@ -118,6 +130,8 @@ def _lookup_pipeline(
             letters = [decode_failures(changes), decode_failures(arrived)]
             if catalogue == "shared":
                 letters = letters[1:]
+            events, failed = _held_to(events, guarded)
+            letters += failed
             if catalogue == "validated":
                 verdicts = _admitted(table, products, batch_id).persist()
                 kept.append(verdicts)
@@ -144,19 +158,21 @@ def start_alert_enrichment(
     table: ChangeTable | None = None,
     catalogue: str = "raw",
     max_bytes: int = S.MAX_RECORD_BYTES,
+    guarded: Mapping[str, Guarded] | None = None,
 ) -> StreamingQuery:
     """Alerts with their product; narcotics copied to their own topic; unknowns dead-lettered.
 
     ``raw`` carries the alert and the product topic. ``catalogue="validated"`` admits only
     product updates that pass the rules and the status lifecycle; ``"shared"`` looks alerts up in a ``table`` that
-    another query, such as ``start_catalogue_admission``, keeps.
+    another query, such as ``start_catalogue_admission``, keeps. Alerts for which an expression of ``guarded`` fails
+    are dead-lettered.
     """
 
     def output(alerts, products):
         return alert_records(enrich_alerts(alerts, products))
 
     return _lookup_pipeline(
-        raw, S.ALERT_FEED, output, sink, checkpoint, trigger, table, catalogue, max_bytes
+        raw, S.ALERT_FEED, output, sink, checkpoint, trigger, table, catalogue, max_bytes, guarded
     )
 
 
@@ -169,8 +185,10 @@ def start_price_surges(
     catalogue: str = "raw",
     threshold: float = S.SURGE_THRESHOLD_PERCENT,
     max_bytes: int = S.MAX_RECORD_BYTES,
+    guarded: Mapping[str, Guarded] | None = None,
 ) -> StreamingQuery:
-    """Surge notifications. ``raw`` carries the price-update and the product topic."""
+    """Surge notifications. ``raw`` carries the price-update and the product topic. Updates for which an expression
+    of ``guarded`` fails are dead-lettered."""
 
     def output(updates, products):
         prices = products.select("key", F.col("publicPriceCHF").alias("confirmedPriceCHF"))
@@ -178,7 +196,7 @@ def start_price_surges(
         return _records(found, S.SURGE_TOPIC, S.SURGE_COLUMNS)
 
     return _lookup_pipeline(
-        raw, S.PRICE_FEED, output, sink, checkpoint, trigger, table, catalogue, max_bytes
+        raw, S.PRICE_FEED, output, sink, checkpoint, trigger, table, catalogue, max_bytes, guarded
     )
 
 
@@ -188,16 +206,16 @@ def start_strict_enrichment(
     checkpoint: str,
     trigger: Mapping | None = None,
     max_bytes: int = S.MAX_RECORD_BYTES,
+    guarded: Mapping[str, Guarded] | None = None,
 ) -> StreamingQuery:
     """As ``start_alert_enrichment``, but each alert sees the product as of its own place in
     the order of arrival, with the table held as keyed state."""
     feeds = [S.ALERT_FEED, S.PRODUCT_FEED]
-    joined = stateful_asof(
-        _good(raw, S.ALERT_FEED).where(~F.col("is_delete")), _good(raw, S.PRODUCT_FEED), PRODUCT_FIELDS
-    )
+    events, failed = _held_to(_good(raw, S.ALERT_FEED).where(~F.col("is_delete")), guarded)
+    joined = stateful_asof(events, _good(raw, S.PRODUCT_FEED), PRODUCT_FIELDS)
 
     records = guard_records(alert_records(project_enriched(joined)), max_bytes)
-    return _start(records.unionByName(_letters(raw, feeds, max_bytes)), sink, checkpoint, trigger)
+    return _start(records.unionByName(_letters(raw, feeds, max_bytes, failed)), sink, checkpoint, trigger)
 
 
 def start_strict_price_surges(
@@ -207,18 +225,20 @@ def start_strict_price_surges(
     trigger: Mapping | None = None,
     threshold: float = S.SURGE_THRESHOLD_PERCENT,
     max_bytes: int = S.MAX_RECORD_BYTES,
+    guarded: Mapping[str, Guarded] | None = None,
 ) -> StreamingQuery:
     """As ``start_price_surges``, with the confirmed price held as keyed state."""
     feeds = [S.PRICE_FEED, S.PRODUCT_FEED]
+    events, failed = _held_to(_good(raw, S.PRICE_FEED).where(~F.col("is_delete")), guarded)
     joined = stateful_asof(
-        _good(raw, S.PRICE_FEED).where(~F.col("is_delete")),
+        events,
         _good(raw, S.PRODUCT_FEED).withColumnRenamed("publicPriceCHF", "confirmedPriceCHF"),
         ["confirmedPriceCHF"],
     )
     found = surges(with_change(with_baseline(joined)), threshold)
 
     records = guard_records(_records(found, S.SURGE_TOPIC, S.SURGE_COLUMNS), max_bytes)
-    return _start(records.unionByName(_letters(raw, feeds, max_bytes)), sink, checkpoint, trigger)
+    return _start(records.unionByName(_letters(raw, feeds, max_bytes, failed)), sink, checkpoint, trigger)
 
 
 def start_alert_frequency(
@@ -257,6 +277,35 @@ def start_decode_failures(
     return _start(_letters(raw, [feed], max_bytes), sink, checkpoint, trigger)
 
 
+def start_processing(
+    raw: DataFrame,
+    feed: S.Feed,
+    guarded: Mapping[str, Guarded],
+    topic: str,
+    columns: list[str],
+    sink: Sink,
+    checkpoint: str,
+    trigger: Mapping | None = None,
+    processor: str | None = None,
+    max_bytes: int = S.MAX_RECORD_BYTES,
+) -> StreamingQuery:
+    """A feed's records with named expressions computed on each: ``columns`` of these and of the input go to ``topic``.
+
+    A record for which any expression fails, or that cannot be decoded, becomes one dead letter.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        decoded = _decoded(batch, feed).persist()
+        try:
+            good, failed = processing_routes(decoded_good(decoded).where(~F.col("is_delete")), guarded, processor)
+            records = guard_records(_records(good, topic, columns), max_bytes)
+            sink(records.unionByName(dlq_records(_union([decode_failures(decoded), failed]), max_bytes)), batch_id)
+        finally:
+            decoded.unpersist()
+
+    return _start(raw, handle, checkpoint, trigger)
+
+
 def start_catalogue_admission(
     raw: DataFrame,
     sink: Sink,

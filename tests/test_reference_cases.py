@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rxvigil import schemas as S
 from rxvigil.functions import dlq_topic, half_up_2dp, is_blank, iso_instant, json_record
 from rxvigil.operators import (
+    Guarded,
     alert_event_time,
     alert_records,
     count_alerts,
@@ -16,12 +17,14 @@ from rxvigil.operators import (
     dlq_records,
     enrich_alerts,
     envelope,
+    guard_expressions,
     guard_output,
     guard_records,
     known,
     late_alerts,
     narcotics_only,
     price_changes,
+    processing_routes,
     split_failures,
     unknown,
     unknown_envelopes,
@@ -198,6 +201,27 @@ def test_split_failures(spark):
     assert [tuple(r) for r in bad.collect()] == [("x",)]
 
 
+def test_several_guarded_expressions(spark):
+    df = spark.createDataFrame(
+        [("t", 0, 1, "8", "2"), ("t", 0, 2, "x", "2"), ("t", 0, 3, "8", "0"), ("t", 0, 4, "x", "0"), ("t", 0, 5, None, "2")],
+        "topic string, partition int, offset bigint, a string, b string",
+    )
+    expressions = {
+        "n": Guarded(F.col("a").try_cast("int"), F.concat(F.lit("no number: "), "a"), "NumberFormatException", F.col("a").isNull()),
+        "part": Guarded(F.try_divide(F.lit(1), F.col("b").try_cast("int")), "Division by zero", "ArithmeticException"),
+    }
+    listed = guard_expressions(df, expressions).select("offset", F.col("errors.expression").alias("failed")).collect()
+    assert {r.offset: r.failed for r in listed} == {1: [], 2: ["n"], 3: ["part"], 4: ["n", "part"], 5: []}
+    good, failed = processing_routes(df, expressions, "Parser", {"b": "b"})
+    assert {r.offset: (r.n, r.part) for r in good.collect()} == {1: (8, 0.5), 5: (None, 0.5)}
+    letters = {r.offset: (r.errorType, r.errorMessage, r.exceptionClass, r.processorName, r.context) for r in failed.collect()}
+    assert letters == {
+        2: ("PROCESSING", "no number: x", "NumberFormatException", "Parser", {"b": "2", "failedExpressions": "n"}),
+        3: ("PROCESSING", "Division by zero", "ArithmeticException", "Parser", {"b": "0", "failedExpressions": "part"}),
+        4: ("PROCESSING", "no number: x", "NumberFormatException", "Parser", {"b": "0", "failedExpressions": "n,part"}),
+    }
+
+
 def test_guard(spark):
     df = spark.createDataFrame([("t", "a", "é" * 5), ("t", "b", "é" * 6), ("t", "c", None)],
                                "topic string, key string, value string")

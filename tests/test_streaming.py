@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rxvigil import schemas as S
 from rxvigil import streaming as st
-from rxvigil.operators import asof_join, validate_catalogue
+from rxvigil.operators import Guarded, asof_join, validate_catalogue
 from rxvigil.sources import read_feed, stream_feed
 from rxvigil.streaming.tables import ChangeTable
 from tests.builders import T0, at, change, changelog
@@ -189,6 +189,23 @@ def test_price_surges(run, feed, start):
     assert found["a"]["productName"] is None and found["a"]["detectedAt"].endswith("Z")
 
 
+@pytest.mark.parametrize("start", [st.start_price_surges, st.start_strict_price_surges])
+def test_events_that_fail_a_guarded_expression_are_dead_lettered(run, feed, start):
+    guarded = {
+        "ratio": Guarded(F.try_divide("newPublicPriceCHF", "previousPublicPriceCHF"), "no previous price", "ArithmeticException"),
+        "room": Guarded(F.try_divide(F.lit(1), 300 - F.col("newPublicPriceCHF")), "at its cap", "IllegalStateException"),
+    }
+    feed.add(*[(P, k, product(k, public=100.0)) for k in "abcd"])
+    feed.add((U, "a", price("a", 100.0, 125.0)), (U, "b", price("b", 0.0, 200.0)), (U, "c", b"{broken"))
+    feed.add((U, "d", price("d", 0.0, 300.0)), (U, "a", price("a", 100.0, 300.0)))
+    found = run(start, feed, guarded=guarded)
+    assert [k for k, _ in found[S.SURGE_TOPIC]] == ["a"]
+    letters = [json.loads(v) for _, v in found["hci.dlq.price-updates.avro"]]
+    failed = {v["offset"]: (v["errorMessage"], v["context"]["failedExpressions"]) for v in letters if v["errorType"] == "PROCESSING"}
+    assert failed == {5: ("no previous price", "ratio"), 7: ("no previous price", "ratio,room"), 8: ("at its cap", "room")}
+    assert [v["offset"] for v in letters if v["errorType"] != "PROCESSING"] == [6]
+
+
 def test_validated_catalogue_ignores_rejected_updates(run, feed):
     feed.add((P, "p", product("p", public=100.0)))
     feed.add((P, "p", product("p", public=1.0, ex=5.0)), (P, "p", product("p", public=50.0, status="PENDING")))
