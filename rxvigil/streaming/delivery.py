@@ -18,10 +18,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rxvigil import schemas as S
 from rxvigil.operators.deadletter import dlq_records, refused_envelope
-from rxvigil.session import written_table
+from rxvigil.session import scratch_path, written_table
 from rxvigil.streaming.files import create_once, exists, names
 
 #: Appends records under a delivery name.
@@ -29,7 +30,9 @@ Append = Callable[[DataFrame, str], None]
 #: Failures that lie in a record and come back however often it is written (fixed values).
 RECORD_ERRORS = ("RecordTooLargeException", "SerializationException", "InvalidTopicException", "CorruptRecordException")
 HEADER = "delivery"
-_ROW = "__row"
+_ROW, _FOLDER = "__row", "__folder"
+#: Rows in a folder of a batch that is cut, and rows of a part that are looked at one by one.
+_FOLDER_ROWS, _FEW = 2_000, 16
 
 
 class FencedError(RuntimeError):
@@ -139,42 +142,76 @@ it, as logs do and a single folder of files does not. A refused dead letter fail
     return sink
 
 
+def _mask(value: int, bits: int) -> int:
+    return value & (1 << bits) - 1
+
+
+def _low_bits(value: Column, bits: int) -> Column:
+    return value.bitwiseAND(F.lit(_mask(-1, bits)).cast("long"))
+
+
 def _write_isolated(records: DataFrame, write: Callable[[DataFrame], None], max_bytes: int, at_once: int) -> None:
     """Write all records but those the sink refuses one by one, and these as dead letters.
 
     The batch is kept in a table, so that its parts stay the same. It is known to fail as a whole. Parts that fail are cut in
-    four again and again. ``n`` refused of ``m`` records take about
-    4 n log4(m) writes in log4(m) rounds.
+    four again and again, in sixteen while all of them fail. ``n`` refused of ``m`` records take about
+    4 n log4(m) writes in log4(m) rounds. The table lies in folders by a row's hash, so a small part reads one small folder,
+    however many records the batch has.
     """
+    spark = records.sparkSession
     held = written_table(records.withColumn(_ROW, F.monotonically_increasing_id()), "refused-batch")
-
-    def failure(bits: int, value: int) -> tuple[str, list] | None:
-        """Why a part was refused, and up to two of its rows; None if it was written."""
-        low = F.xxhash64(_ROW).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-        part = held.where(low == F.lit(value).cast("long"))
+    total, low = held.count(), F.xxhash64(_ROW)
+    deep = 0
+    while total > _FOLDER_ROWS << deep:
+        deep += 2
+    if deep:
+        path = scratch_path(spark, "refused-parts")
+        placed = held.withColumn(_FOLDER, _low_bits(low, deep))
+        placed.repartition(_FOLDER).write.partitionBy(_FOLDER).parquet(path)
+        held = spark.read.schema(T.StructType([*held.schema.fields, T.StructField(_FOLDER, T.LongType())])).parquet(path)
+
+    def rows(bits: int, value: int, of: list | None) -> DataFrame:
+        """The rows of which this many low bits of the hash have this value, or these rows of them."""
+        part = held
+        if deep:
+            known = min(bits, deep)
+            part = part.where(_low_bits(F.col(_FOLDER), known) == F.lit(_mask(value, known)).cast("long")).drop(_FOLDER)
+        return part.where(F.col(_ROW).isin(of) if of else _low_bits(low, bits) == F.lit(value).cast("long"))
+
+    def failure(part: tuple[int, int, list | None]) -> tuple[str, list | None] | None:
+        """Why a part was refused, and its rows if they are few; None if it was written."""
         try:
-            write(part.drop(_ROW))
+            write(rows(*part).drop(_ROW))
         except Exception as error:
             kind = record_error(error)
             if not kind:
                 raise
-            return kind, [r[0] for r in part.select(_ROW).take(2)]
+            bits, _, of = part
+            if of is None and total >> bits <= _FEW:
+                found = [r[0] for r in rows(*part).select(_ROW).take(4 * _FEW)]
+                of = found if len(found) < 4 * _FEW else None
+            return kind, of
         return None
 
     refused: list[tuple[int, str, str]] = []
-    # Of a row's hash this many low bits, with this value. The hash of a long number is a permutation, so rows part.
-    bits, values = 2, list(range(4))
+    # The hash of a long number is a permutation, so rows part.
+    parts, step = [(2, value, None) for value in range(4)], 2
     with ThreadPoolExecutor(at_once) as writers:
-        while values:
-            found = list(writers.map(failure, [bits] * len(values), values))
-            failed = [(value, *why) for value, why in zip(values, found) if why]
-            refused += [(rows[0], kind, f"refused by the sink: {kind}") for _, kind, rows in failed if len(rows) == 1]
-            values = [value | n << bits for value, _, rows in failed if len(rows) > 1 for n in range(4)]
-            bits += 2
+        while parts:
+            failed = [(part, *why) for part, why in zip(parts, writers.map(failure, parts)) if why]
+            step = 4 if len(failed) == len(parts) else 2
+            parts = []
+            for (bits, value, _), kind, of in failed:
+                if of is None:
+                    parts += [(bits + step, value | n << bits, None) for n in range(1 << step)]
+                elif len(of) == 1:
+                    refused.append((of[0], kind, f"refused by the sink: {kind}"))
+                else:
+                    parts += [(bits, value, of[n::4]) for n in range(min(4, len(of)))]
     if refused:
-        reasons = records.sparkSession.createDataFrame(refused, f"{_ROW} long, kind string, message string")
+        reasons = spark.createDataFrame(refused, f"{_ROW} long, kind string, message string")
         # As many rows as records that were refused one by one.
-        bad = held.join(F.broadcast(reasons), _ROW).withColumn("key", F.col("key").cast("string"))
+        bad = held.drop(_FOLDER).join(F.broadcast(reasons), _ROW).withColumn("key", F.col("key").cast("string"))
         made = refused_envelope(F.col("message"), F.col("kind")).alias("made")
         letters = dlq_records(bad.select(made).select("made.*"), max_bytes)
         write(letters.select("topic", "key", F.col("value").cast("binary").alias("value")))

@@ -130,3 +130,24 @@ def test_topic_names_are_checked_before_the_write(spark):
     assert {e.get("context", {}).get("topic") for e in letters} == {"no spaces", "..", "", "a" * 250, None}
     accepted, envelopes = O.guard_output(given)
     assert accepted.count() == 2 and envelopes.count() == 5
+
+
+def test_small_parts_of_a_refused_batch_read_a_small_share_of_it(spark, tmp_path):
+    """Each write opens the files of its own part, so many refused records do not read the batch over and over."""
+
+    class Counted(Log):
+        scans = ()
+
+        def append(self, part, delivery):
+            plan = part._jdf.queryExecution().executedPlan().toString()
+            self.scans += (plan.split("PartitionFilters: ")[-1].split("PushedFilters")[0],)
+            super().append(part, delivery)
+
+    number = F.col("key").cast("string").try_cast("long")
+    log = Counted(tmp_path / "log", F.when(number % 2_000 == 42, "CorruptRecordException"))
+    st.delivering_sink(log.append, at_once=8)(wire(records(spark, 20_000)), 0)
+    # Between the write of all and that of the letters.
+    assert all("__folder" in filters for filters in log.scans[1:-1])
+    found = log.read(spark)
+    assert sum(topic == "hci.dlq.out.v1" for topic, _, _ in found) == 10
+    assert {key for topic, key, _ in found if topic == "hci.out.v1"} == {str(i) for i in range(20_000) if i % 2_000 != 42}
