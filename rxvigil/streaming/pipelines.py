@@ -4,16 +4,17 @@ Each takes one raw stream carrying all the topics it needs, a sink and a checkpo
 checkpoint records the source offsets, so after a failure the interrupted micro-batch runs again
 with the same id and input; with an idempotent sink every record takes effect once.
 
-Spark has no side outputs. A micro-batch is decoded once and kept, every route becomes rows of
-one frame of records, and that frame is written once.
+Spark has no side outputs. A micro-batch is decoded once and kept in a table while it is handled (or its routes are
+made in one pass), every route becomes rows of one frame of records, and that frame is written once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,7 +37,9 @@ from rxvigil.operators.catalogue import OK, TOMBSTONE
 from rxvigil.operators.enrich import PRODUCT_FIELDS, project_enriched
 from rxvigil.operators.frequency import alert_event_time
 from rxvigil.operators.surge import surges, with_baseline, with_change
+from rxvigil.session import scratch_path
 from rxvigil.sources import decode, decode_failures, decoded_good
+from rxvigil.streaming.files import remove
 from rxvigil.streaming.sinks import Sink
 from rxvigil.streaming.stateful import stateful_asof
 from rxvigil.streaming.tables import ChangeTable
@@ -67,6 +70,33 @@ def _decoded(raw: DataFrame, feed: S.Feed) -> DataFrame:
     return decode(raw.where(F.col("topic") == feed.topic), feed)
 
 
+@contextmanager
+def _held() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Within a micro-batch, a way to keep frames for several routes; they are removed at its end.
+
+    They are kept as tables in the shared folder: a batch may be far larger than the executors' memory, and each route
+    reads only the columns it needs.
+    """
+    folders: list[tuple[SparkSession, str]] = []
+
+    def hold(rows: DataFrame) -> DataFrame:
+        spark = rows.sparkSession
+        folders.append((spark, scratch_path(spark, "batch")))
+        rows.write.parquet(folders[-1][1])
+        return spark.read.schema(rows.schema).parquet(folders[-1][1])
+
+    try:
+        yield hold
+    finally:
+        for spark, folder in folders:
+            remove(spark, folder)
+
+
+def _without_payload(decoded: DataFrame) -> DataFrame:
+    """Decoded records; the payload is needed for letters only, so that of good records is left out."""
+    return decoded.withColumn("value", F.when(F.col("decode_error").isNotNull(), F.col("value")))
+
+
 def _good(raw: DataFrame, feed: S.Feed) -> DataFrame:
     return decoded_good(_decoded(raw, feed))
 
@@ -121,10 +151,9 @@ def _lookup_pipeline(
     table = table or ChangeTable(f"{checkpoint}/catalogue", _TABLE_FIELDS)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        changes = _decoded(batch, S.PRODUCT_FEED).persist()
-        arrived = _decoded(batch, feed).persist()
-        kept = [changes, arrived]
-        try:
+        with _held() as hold:
+            changes = hold(_without_payload(_decoded(batch, S.PRODUCT_FEED)))
+            arrived = hold(_without_payload(_decoded(batch, feed)))
             products = decoded_good(changes)
             events = decoded_good(arrived).where(~F.col("is_delete"))
             letters = [decode_failures(changes), decode_failures(arrived)]
@@ -133,8 +162,7 @@ def _lookup_pipeline(
             events, failed = _held_to(events, guarded)
             letters += failed
             if catalogue == "validated":
-                verdicts = _admitted(table, products, batch_id).persist()
-                kept.append(verdicts)
+                verdicts = hold(_admitted(table, products, batch_id))
                 products = verdicts.where(F.col("verdict").isin(OK, TOMBSTONE))
                 letters.append(rejection_envelopes(verdicts))
             if catalogue != "shared":
@@ -143,9 +171,6 @@ def _lookup_pipeline(
             current = table.as_of(batch.sparkSession, version, table.schema_of(products), events)
             records = guard_records(output(events, current), max_bytes)
             sink(records.unionByName(dlq_records(_union(letters), max_bytes)), batch_id)
-        finally:
-            for frame in kept:
-                frame.unpersist()
 
     return _start(raw, handle, checkpoint, trigger)
 
@@ -322,14 +347,11 @@ def start_catalogue_admission(
     table = table or ChangeTable(f"{checkpoint}/catalogue", _TABLE_FIELDS)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        decoded = _decoded(batch, S.PRODUCT_FEED).persist()
-        verdicts = _admitted(table, decoded_good(decoded), batch_id).persist()
-        try:
+        with _held() as hold:
+            decoded = hold(_without_payload(_decoded(batch, S.PRODUCT_FEED)))
+            verdicts = hold(_admitted(table, decoded_good(decoded), batch_id))
             table.apply(verdicts.where(F.col("verdict").isin(OK, TOMBSTONE)), batch_id)
             records = guard_records(admission_records(verdicts, accepted_topic), max_bytes)
             sink(records.unionByName(dlq_records(decode_failures(decoded), max_bytes)), batch_id)
-        finally:
-            verdicts.unpersist()
-            decoded.unpersist()
 
     return _start(raw, handle, checkpoint, trigger)

@@ -412,3 +412,19 @@ def test_feed_reads_what_is_already_there(spark, feed):
     feed.add((A, "p", alert("b", "p")))
     assert read_feed(spark, feed.folder).count() == 2
     assert feed.stream().isStreaming
+
+
+@pytest.mark.parametrize("start", [st.start_price_surges, lambda *a: st.start_catalogue_admission(*a, "accepted")])
+def test_a_batch_is_held_in_files_that_are_removed(spark, feed, tmp_path, monkeypatch, start):
+    """A batch larger than the executors' memory must not fill it, and leaves nothing behind."""
+    feed.add((P, "a", product("a", public=100.0)), (P, "b", b"{"), (U, "a", price("a", 100.0, 125.0)), (U, "b", b"{"))
+    jvm, inside = spark.sparkContext._jsc.sc(), []
+    monkeypatch.setattr("rxvigil.session.shared_folder", lambda _: str(tmp_path / "shared"))
+
+    def sink(records, batch_id):
+        records.collect()
+        inside.append((jvm.getPersistentRDDs().size(), len(list((tmp_path / "shared").glob("batch-*")))))
+
+    before = jvm.getPersistentRDDs().size()
+    start(feed.stream(), sink, str(tmp_path / "checkpoint")).awaitTermination()
+    assert inside == [(before, 2)] and not list((tmp_path / "shared").glob("batch-*"))
