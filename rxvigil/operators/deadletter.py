@@ -217,15 +217,24 @@ def processing_routes(
     """
     errors = "__errors"
     computed = guard_expressions(records, expressions, errors)
-    first = F.try_element_at(errors, F.lit(1))
-    failed = envelope(
-        computed.where(F.size(errors) > 0), "PROCESSING", first["message"], processor,
-        {**(context or {}), "failedExpressions": F.array_join(F.col(errors)["expression"], ",")},
-        exception_class=first["exceptionClass"],
-    )
+    failed = envelope(computed.where(F.size(errors) > 0), **processing_failure(errors, processor, context))
     return computed.where(F.size(errors) == 0).drop(errors), failed
 
 
+def processing_failure(
+    errors: str, processor: str | None = None, context: Mapping[str, Column | str] | None = None
+) -> dict:
+    """What an envelope says of the failures in the array ``errors``, as options of ``envelope_struct``."""
+    first = F.try_element_at(errors, F.lit(1))
+    return {
+        "error_type": "PROCESSING",
+        "message": first["message"],
+        "processor": processor,
+        "context": {**(context or {}), "failedExpressions": F.array_join(F.col(errors)["expression"], ",")},
+        "exception_class": first["exceptionClass"],
+    }
+
+
 def _oversized(max_bytes: int) -> Column:
     return _bytes(F.struct("key", "value")) > max_bytes
 
@@ -283,8 +292,11 @@ def guard_output(
     )
 
 
-def guard_records(records: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES) -> DataFrame:
-    """The records to write, a refused one replaced by its dead letter, in one pass."""
+def guard_records(records: DataFrame, max_bytes: int = S.MAX_RECORD_BYTES, made: str | None = None) -> DataFrame:
+    """The records to write, a refused one replaced by its dead letter, in one pass.
+
+    ``made`` names a column of envelopes; a row that has one leaves as its letter.
+    """
     kept = output_record(F.col("topic"), "key", F.col("value")).alias("record")
-    made = F.when(_refused(max_bytes), _production_envelope(max_bytes)).alias("made")
-    return _with_letters(records.select(kept, made), max_bytes)
+    refused = F.when(_refused(max_bytes), _production_envelope(max_bytes))
+    return _with_letters(records.select(kept, (F.coalesce(made, refused) if made else refused).alias("made")), max_bytes)

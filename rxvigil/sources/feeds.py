@@ -126,28 +126,36 @@ def decode(
 
 def decoded_good(decoded: DataFrame) -> DataFrame:
     """Good records: text key, position, ``ts`` (record time), ``is_delete``, and the fields."""
-    good = decoded.where(F.col("decode_error").isNull())
+    return decoded.where(F.col("decode_error").isNull()).select(*record_columns(decoded))
+
+
+def record_columns(decoded: DataFrame) -> list[Column]:
+    """Columns of a decoded record: text key, position, ``ts``, ``is_delete``, and the fields."""
     ts = F.col("timestamp") if "timestamp" in decoded.columns else F.lit(None).cast("timestamp")
-    return good.select(
+    return [
         F.col("key").cast("string").alias("key"),
-        "topic", "partition", "offset",
+        *map(F.col, ("topic", "partition", "offset")),
         ts.alias("ts"),
-        "is_delete",
-        "record.*",
-    )
+        F.col("is_delete"),
+        F.col("record.*"),
+    ]
+
+
+def undecodable(error: str = "decode_error", processor: str | None = None, raw_key: str = "key", raw_value: str = "value") -> dict:
+    """What an envelope says of an undecodable record, as options of ``envelope_struct``."""
+    return {
+        "error_type": "DESERIALIZATION",
+        "message": F.col(error),
+        "processor": processor,
+        "exception_class": "SerializationException",
+        "raw_key": raw_key,
+        "raw_value": raw_value,
+    }
 
 
 def decode_failures(decoded: DataFrame, processor: str | None = None) -> DataFrame:
     """DESERIALIZATION envelopes with the raw key and value for replay."""
-    return envelope(
-        decoded.where(F.col("decode_error").isNotNull()),
-        "DESERIALIZATION",
-        F.col("decode_error"),
-        processor,
-        exception_class="SerializationException",
-        raw_key="key",
-        raw_value="value",
-    )
+    return envelope(decoded.where(F.col("decode_error").isNotNull()), **undecodable(processor=processor))
 
 
 def split_decoded(raw: DataFrame, feed: S.Feed) -> tuple[DataFrame, DataFrame]:

@@ -34,11 +34,13 @@ from rxvigil.operators import (
     validate_catalogue,
 )
 from rxvigil.operators.catalogue import OK, TOMBSTONE
+from rxvigil.operators.deadletter import envelope_struct, guard_expressions, processing_failure
 from rxvigil.operators.enrich import PRODUCT_FIELDS, project_enriched
 from rxvigil.operators.frequency import alert_event_time
 from rxvigil.operators.surge import surges, with_baseline, with_change
 from rxvigil.session import scratch_path
 from rxvigil.sources import decode, decode_failures, decoded_good
+from rxvigil.sources.feeds import record_columns, undecodable
 from rxvigil.streaming.files import remove
 from rxvigil.streaming.sinks import Sink
 from rxvigil.streaming.stateful import stateful_asof
@@ -319,14 +321,23 @@ def start_processing(
     A record for which any expression fails, or that cannot be decoded, becomes one dead letter.
     """
 
+    # Every row is read, decoded and computed once and leaves as its record or as its letter.
+    bad, errors = F.col("__error").isNotNull(), "__errors"
+    held = {name: g._replace(result=F.when(~bad, g.result)) for name, g in guarded.items()}
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        decoded = _decoded(batch, feed).persist()
-        try:
-            good, failed = processing_routes(decoded_good(decoded).where(~F.col("is_delete")), guarded, processor)
-            records = guard_records(_records(good, topic, columns), max_bytes)
-            sink(records.unionByName(dlq_records(_union([decode_failures(decoded), failed]), max_bytes)), batch_id)
-        finally:
-            decoded.unpersist()
+        decoded = _decoded(batch, feed).where(F.col("decode_error").isNotNull() | ~F.col("is_delete"))
+        computed = guard_expressions(decoded.select(
+            *record_columns(decoded), F.struct("key", "value").alias("__raw"), F.col("decode_error").alias("__error")
+        ), held, errors)
+        undecoded = envelope_struct(**undecodable("__error", raw_key="__raw.key", raw_value="__raw.value"))
+        failed = envelope_struct(**processing_failure(errors, processor))
+        made = F.when(bad, undecoded).when(F.size(errors) > 0, failed)
+        routed = computed.withColumn("__made", made).select(
+            F.lit(topic).alias("topic"), "key",
+            F.when(F.col("__made").isNull(), json_record(computed, columns)).alias("value"), F.col("__made").alias("made"),
+        )
+        sink(guard_records(routed, max_bytes, "made"), batch_id)
 
     return _start(raw, handle, checkpoint, trigger)
 
