@@ -22,6 +22,7 @@ from rxvigil.sources import stream_feed
 ACCEPTED_TOPIC = "catalogue.accepted"
 RATIOS_TOPIC = "price.ratios"
 PRICE_CAP_CHF = 1300.0
+_ASOF_COLUMNS = ("key", "ts", "offset", "newPublicPriceCHF")
 
 
 def table_stream(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
@@ -222,7 +223,8 @@ def stream_catalogue_verdicts(spark, sf):
 
 
 def stream_asof_price(spark, sf):
-    updates = table_stream(spark, sf, "v_price_updates")
+    # What nobody reads does not travel through the state's processor.
+    updates = table_stream(spark, sf, "v_price_updates").select(*_ASOF_COLUMNS)
     changelog = table_stream(spark, sf, "v_product_changelog")
     joined, folder = st.stateful_asof(updates, changelog, ["publicPriceCHF"]), scratch_path(spark, "asof")
     _write(joined, folder)
@@ -234,6 +236,8 @@ def stream_asof_in_time_order(spark, sf):
     """As ``stream_asof_price``, but rows arrive up to 900 days late and still count in order of time."""
     folder = scratch_path(spark, "asof-in-order")
     feeds = {n: view(spark, sf, f"v_{n}_delayed") for n in ("price_updates", "product_changelog")}
+    feeds["price_updates"] = feeds["price_updates"].select(*_ASOF_COLUMNS, "arrives")
+    feeds["product_changelog"] = feeds["product_changelog"].select("key", "ts", "offset", "is_delete", "publicPriceCHF", "arrives")
     for batch in range(BATCHES + 1):
         for name, feed in feeds.items():
             rows = feed.where(F.col("arrives") == batch)

@@ -117,7 +117,8 @@ class _TableLookup(StatefulProcessor):
             else:
                 entry = row.payload
         if entry is None:
-            self._entry.clear()
+            if before is not None:
+                self._entry.clear()
         elif entry != before:
             self._entry.update((entry,))
 
@@ -132,7 +133,8 @@ _PAGE, _GATHERED = 1_000, 20_000
 class _OrderedLookup(StatefulProcessor):
     """As ``_TableLookup``, but rows wait until the watermark has passed them and are then taken in order of time.
 
-    Waiting rows lie in pages by slice of time. A timer at the earliest one releases slice after slice, so a call
+    Up to a page of waiting rows lies with the key's table row in one value, read and written once a call. Of a key with more
+    they lie in pages by slice of time. A timer at the earliest one releases slice after slice, so a call
     holds one slice of one key, however many rows of it wait.
     """
 
@@ -141,35 +143,51 @@ class _OrderedLookup(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._entry = handle.getValueState("entry", "entry string")
-        self._pages = handle.getValueState("pages", "pages bigint")
+        # The table row, up to a page of waiting rows, and the number of pages ever stored.
+        self._held = handle.getValueState("held", "entry string, few string, pages bigint")
         self._waiting = handle.getMapState("waiting", "slice bigint, page bigint", "rows string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        gathered: dict[int, list] = {}
-        held, first = 0, None
+        entry, few, pages = before = self._load()
+        waiting = json.loads(few) if few else []
+        awaited = min((r[0] for r in waiting), default=None)
+        first, gathered = None, waiting
         for row in rows:
-            gathered.setdefault(row.micros // self._slice, []).append((row.micros, row.side, row.offset, row.payload))
-            held, first = held + 1, row.micros if first is None else min(first, row.micros)
-            if held >= _GATHERED:
-                self._store(gathered)
-                gathered, held = {}, 0
-        self._store(gathered)
-        if first is not None:
+            gathered.append((row.micros, row.side, row.offset, row.payload))
+            first = row.micros if first is None else min(first, row.micros)
+            if len(gathered) >= _GATHERED:
+                pages, gathered = self._store(gathered, pages), []
+        if pages or len(gathered) > _PAGE:
+            pages, gathered = self._store(gathered, pages), []
+        self._save(before, (entry, json.dumps(gathered) if gathered else None, pages))
+        # There is a timer at the earliest of the few rows already.
+        if first is not None and (awaited is None or first < awaited):
             self._wake(first)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        pages: dict[int, list] = {}
-        for number, page in self._waiting.keys():
-            pages.setdefault(number, []).append((number, page))
-        held = self._entry.get()
-        before = entry = held[0] if held else None
-        later = [n for n in pages if n * self._slice > mark]
-        for number in sorted(set(pages) - set(later)):
-            rows = [row for at in pages[number] for row in json.loads(self._waiting.getValue(at)[0])]
-            for at in pages[number]:
+        entry, few, pages = before = self._load()
+        if few:
+            rows = sorted(json.loads(few), key=lambda r: r[:3])
+            passed = sum(r[0] <= mark for r in rows)
+            for _, side, _, payload in rows[:passed]:
+                if side == _EVENT:
+                    yield Row(event=payload, entry=entry)
+                else:
+                    entry = payload
+            rest = rows[passed:]
+            few = json.dumps(rest) if rest else None
+            if rest:
+                self._wake(rest[0][0])
+        slices: dict[int, list] = {}
+        if pages:
+            for number, page in self._waiting.keys():
+                slices.setdefault(number, []).append((number, page))
+        later, left = [n for n in slices if n * self._slice > mark], False
+        for number in sorted(set(slices) - set(later)):
+            rows = [row for at in slices[number] for row in json.loads(self._waiting.getValue(at)[0])]
+            for at in slices[number]:
                 self._waiting.removeKey(at)
             rows.sort(key=lambda r: r[:3])
             for micros, side, _, payload in rows:
@@ -181,14 +199,11 @@ class _OrderedLookup(StatefulProcessor):
                     entry = payload
             rest = [r for r in rows if r[0] > mark]
             if rest:
-                self._store({number: rest})
+                pages, left = self._store(rest, pages), True
                 self._wake(rest[0][0])
         if later:
             self._wake(min(later) * self._slice)
-        if entry is None:
-            self._entry.clear()
-        elif entry != before:
-            self._entry.update((entry,))
+        self._save(before, (entry, few, pages if later or left else 0))
 
     def close(self) -> None:
         pass
@@ -196,15 +211,28 @@ class _OrderedLookup(StatefulProcessor):
     def _wake(self, micros: int) -> None:
         self._handle.registerTimer(-(-micros // 1000))
 
-    def _store(self, gathered: dict[int, list]) -> None:
-        held = self._pages.get()
-        page = held[0] if held else 0
-        for number, rows in gathered.items():
-            for at in range(0, len(rows), _PAGE):
-                self._waiting.updateValue((number, page), (json.dumps(rows[at : at + _PAGE]),))
+    def _load(self) -> tuple:
+        held = self._held.get()
+        return tuple(held) if held else (None, None, 0)
+
+    def _save(self, before: tuple, now: tuple) -> None:
+        if now == before:
+            return
+        if now == (None, None, 0):
+            self._held.clear()
+        else:
+            self._held.update(now)
+
+    def _store(self, rows: list, page: int) -> int:
+        """Store rows in pages by slice of time, numbered from ``page`` on; the next number."""
+        slices: dict[int, list] = {}
+        for row in rows:
+            slices.setdefault(row[0] // self._slice, []).append(row)
+        for number, part in slices.items():
+            for at in range(0, len(part), _PAGE):
+                self._waiting.updateValue((number, page), (json.dumps(part[at : at + _PAGE]),))
                 page += 1
-        if gathered:
-            self._pages.update((page,))
+        return page
 
 
 def stateful_asof(

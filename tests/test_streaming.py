@@ -428,3 +428,54 @@ def test_a_batch_is_held_in_files_that_are_removed(spark, feed, tmp_path, monkey
     before = jvm.getPersistentRDDs().size()
     start(feed.stream(), sink, str(tmp_path / "checkpoint")).awaitTermination()
     assert inside == [(before, 2)] and not list((tmp_path / "shared").glob("batch-*"))
+
+
+def test_processing_reads_a_batch_once(spark, feed, tmp_path):
+    """Records, failures and undecodable values leave in one pass over the batch."""
+    feed.add((U, "a", price("a", 100.0, 125.0)), (U, "b", price("b", 0.0, 2.0)), (U, "c", b"{"), (U, "d", None), (A, "x", b"{"))
+    guarded = {"ratio": Guarded(F.try_divide("newPublicPriceCHF", "previousPublicPriceCHF"), "no previous price", "ArithmeticException")}
+    scans, found = [], []
+
+    def sink(records, batch_id):
+        plan = records._jdf.queryExecution().optimizedPlan()
+        scans.append(plan.collectLeaves().size())
+        found.extend((r.topic, r.key, r.value) for r in records.collect())
+
+    st.start_processing(feed.stream(), S.PRICE_FEED, guarded, "ratios", ["gtin", "ratio"], sink, str(tmp_path / "c"), processor="R").awaitTermination()
+    assert scans == [1] and len(found) == 3
+    assert [json.loads(v) for t, _, v in found if t == "ratios"] == [{"gtin": "a", "ratio": 1.25}]
+    letters = {e["errorType"]: e for e in (json.loads(v) for t, _, v in found if t == "hci.dlq.price-updates.avro")}
+    assert letters["PROCESSING"]["offset"] == 1 and letters["PROCESSING"]["processorName"] == "R"
+    assert letters["DESERIALIZATION"]["offset"] == 2 and letters["DESERIALIZATION"]["originalValueBase64"] == "ew=="
+
+
+def test_a_key_with_few_waiting_rows_uses_one_value(monkeypatch):
+    """One read and one write of state a call, whatever slices of time the rows lie in."""
+    from types import SimpleNamespace
+
+    calls = []
+
+    class State:
+        def __init__(self, name):
+            self.name, self.value = name, None
+
+        def __getattr__(self, call):
+            def called(*args):
+                calls.append((self.name, call))
+                if call == "update":
+                    self.value = args[0]
+                return self.value if call == "get" else None
+            return called
+
+    states = {}
+    handle = SimpleNamespace(
+        getValueState=lambda name, _: states.setdefault(name, State(name)), getMapState=lambda name, *_: states.setdefault(name, State(name)),
+        registerTimer=lambda _: None,
+    )
+    lookup = st.stateful._OrderedLookup(10)
+    lookup.init(handle)
+    rows = [SimpleNamespace(micros=100 * i, side=i % 2, offset=i, payload=f"p{i}") for i in range(20)]
+    assert not list(lookup.handleInputRows(("k",), iter(rows), None)) and len(calls) == 2
+    calls.clear()
+    out = list(lookup.handleExpiredTimer(("k",), SimpleNamespace(getCurrentWatermarkInMs=lambda: 1), None))
+    assert [(r.event, r.entry) for r in out] == [(f"p{i}", f"p{i - 1}") for i in range(1, 11, 2)] and len(calls) == 2
