@@ -2,8 +2,8 @@
 
 A walk over a text's characters writes the character it stands on and, by a random bit shared by all texts, stays or steps on.
 Texts a few edits apart soon fall into step again, so the written sequences differ in few places: edit distance becomes
-Hamming distance. A fingerprint samples places of the whole sequence. Bands of sampled digits bring near texts
-together, and the whole fingerprints verify them.
+Hamming distance. A fingerprint samples places of the whole sequence. Bands of sampled digits, one more than may differ,
+bring all near texts together, and the whole fingerprints verify them.
 """
 
 from __future__ import annotations
@@ -27,8 +27,12 @@ SEED = 2021
 DIGITS, PERIOD = 128, 1 << 12
 #: Characters that texts walked together hold; texts that still walk in step at least.
 BLOCK, IN_STEP = 4 << 20, 48
-#: Bands, sampled digits a band, and digits that each further round of a band adds.
-BANDS, BAND_DIGITS, MORE_DIGITS = 12, 8, 4
+#: Sampled digits of a band at most, and digits that are compared before all others.
+BAND_DIGITS, MORE_DIGITS = 8, 48
+#: Members up to which a group is compared pair by pair, and from about which on it is dealt over several tasks.
+SMALL, HEAVY = 64, 1 << 14
+#: Rows whose groups are compared together.
+ROWS = 1 << 16
 LONGEST = 1 << 40
 
 
@@ -102,64 +106,169 @@ def likeness(a: Column, b: Column) -> Column:
 def near_components(prints: DataFrame, least: float = 0.8) -> DataFrame:
     """``fingerprint`` and ``component_id`` for each distinct fingerprint of ``prints`` (``doc_id``, ``fingerprint``).
 
-    Fingerprints with equal digits in a band are candidates of the band's smallest one, and linked with it if their
-    likeness is ``least`` or more. Those that fail meet among themselves, with more digits of the band, until none is
-    left. So no pairs within a band are formed, and a band that holds very many is linked in one round. ``component_id`` is the
-    smallest key reachable by links, null if there is none but null keys.
+    Fingerprints with a likeness of ``least`` or more are linked, all of them: the digits are cut into one band more than
+    may differ, so they are equal in a band at least, and all that are equal in a band are compared as a whole. Groups of
+    ``HEAVY`` members or more are dealt into blocks, each pair of which is a group of its own. Of a group's links so many
+    are given as connect it. ``component_id`` is the smallest key reachable by links, null if there is none but null keys.
     """
-    spark = prints.sparkSession
     nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     nodes = written_table(nodes.withColumn("node", F.monotonically_increasing_id()), "distinct-prints")
-    every = F.sequence(F.lit(0), F.lit(BANDS - 1))
-    links, at, left = None, 0, nodes.withColumn("bands", every)
-    while True:
-        keys = left.mapInArrow(_banded(at), "key long, band int, node long")
-        groups = keys.groupBy("key").agg(F.min("node").alias("to"), F.max("node").alias("last")).filter("`to` < last")
-        pairs = keys.join(groups.drop("last"), "key").filter("node <> `to`")
-        # A node has at most as many partners as bands.
-        ends = pairs.groupBy("node", "to").agg(F.collect_set("band").alias("bands"))
-        one = nodes.select("node", F.col("fingerprint").alias("print"))
-        other = nodes.select(F.col("node").alias("to"), F.col("fingerprint").alias("print_to"))
-        met = ends.join(one, "node").join(other, "to")
-        near = (likeness(F.col("print"), F.col("print_to")) >= least).alias("near")
-        met = written_table(met.select("node", "to", "bands", near), "print-pairs")
-        near = met.filter("near").select(F.col("node").alias("a"), F.col("to").alias("b"))
-        links = near if links is None else links.unionByName(near)
-        at += 1
-        failed = met.filter("NOT near").groupBy("node").agg(F.flatten(F.collect_list("bands")).alias("bands"))
-        if BAND_DIGITS + at * MORE_DIGITS > DIGITS or failed.isEmpty():
-            break
-        left = nodes.join(failed, "node")
+    most = _most_different(least)
+    keys = nodes.select("node", "fingerprint").mapInArrow(_banded(most + 1), "key long, node long, print binary")
+    # A sixteenth of the nodes tells which groups are large. That deals the work only: any dealing gives the same links.
+    some = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(16)) == 0).select("node", "fingerprint")
+    some = some.mapInArrow(_banded(most + 1), "key long, node long, print binary")
+    large = some.groupBy("key").agg(F.ceil(F.count("*") * 16 / HEAVY).cast("int").alias("blocks")).filter("blocks > 1")
+    dealt = keys.join(F.broadcast(large), "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own, other = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = dealt.select("key", "node", "print", own.alias("own"), other.alias("other"))
+    dealt = dealt.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "print")
+    group = ["key", "low", "high"]
+    links = dealt.repartition(*group).sortWithinPartitions(*group).mapInArrow(_linked(most), "a long, b long")
     roots = connected_components(links)
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.join(smallest, "root").select("fingerprint", "component_id")
 
 
-def _banded(at: int):
-    """A row for each of a node's ``bands``; in round ``at`` a band has so many more digits."""
+def _most_different(least: float) -> int:
+    """Digits that may differ at a likeness of ``least``; -1 if none reaches it."""
+    alike = [max(0.0, (n / DIGITS - 1 / 16) / (15 / 16)) >= least for n in range(DIGITS + 1)]
+    return sum(alike) - 1
 
-    def banded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
 
-        draw = np.random.default_rng(SEED)
-        size = min(DIGITS, BAND_DIGITS + at * MORE_DIGITS)
-        samples = [draw.permutation(DIGITS)[:size] for _ in range(BANDS)]
+def _banded(bands: int):
+    """A row for each band of a node: the band's digits, and all digits packed."""
+
+    def banded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = [own[:BAND_DIGITS] for own in np.array_split(np.arange(DIGITS), bands)] if bands else []
         for batch in batches:
-            own = [batch.column(batch.schema.names.index(n)) for n in ("node", "fingerprint", "bands")]
-            node, bands = own[0].to_numpy(), own[2].to_pylist()
-            table = np.frombuffer("".join(own[1].to_pylist()).encode(), np.uint8).reshape(-1, DIGITS)
-            for band, places in enumerate(samples):
-                mine = np.array([n for n, b in enumerate(bands) if band in b], np.int64)
-                taken = np.ascontiguousarray(table[mine][:, places])
-                keys = np.array([xxhash.xxh64_intdigest(row.tobytes(), band) for row in taken], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(np.full(len(mine), band, np.int32)), pa.array(node[mine])], ["key", "band", "node"]
-                )
+            for some in (batch.slice(at, 4096) for at in range(0, batch.num_rows, 4096)):
+                packed = [bytes.fromhex(f) for f in some.column(1).to_pylist()]
+                digits = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, DIGITS // 2)
+                digits = np.stack([digits >> 4, digits & 15], axis=2).reshape(-1, DIGITS).astype(np.int64)
+                for band, own in enumerate(places):
+                    key = np.zeros(len(digits), np.int64)
+                    for place in own:
+                        key = key << 4 | digits[:, place]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(band << 4 * BAND_DIGITS | key), some.column(0), pa.array(packed, pa.binary())], ["key", "node", "print"]
+                    )
 
     return banded
 
 
+def _linked(most: int):
+    """Links that connect the near ones of each group; the rows come group by group."""
+
+    def linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count < ROWS:
+                continue
+            rows = pa.Table.from_batches(held)
+            group = _group_of(rows)
+            # The last group may go on in the next batch.
+            last = int((group < group[-1]).sum())
+            if last:
+                yield _links(rows.slice(0, last), group[:last], most)
+            held, count = rows.slice(last).to_batches(), 0
+        if held:
+            rows = pa.Table.from_batches(held)
+            if rows.num_rows:
+                yield _links(rows, _group_of(rows), most)
+
+    return linked
+
+
+def _group_of(rows: pa.Table) -> np.ndarray:
+    """Numbers of the rows' groups, from 0 on."""
+    changes = np.zeros(rows.num_rows, bool)
+    for name in ("key", "low", "high"):
+        values = rows.column(name).to_numpy()
+        changes[1:] |= values[1:] != values[:-1]
+    return changes.cumsum()
+
+
+def _links(rows: pa.Table, group: np.ndarray, most: int) -> pa.RecordBatch:
+    node = rows.column("node").to_numpy()
+    prints = np.frombuffer(b"".join(rows.column("print").to_pylist()), "<u8").reshape(len(node), -1)
+    sizes = np.bincount(group)
+    first, past = [], []
+    # All small groups together: each row with the next one, with the one after that, and so on.
+    small = np.flatnonzero((sizes > 1)[group] & (sizes <= SMALL)[group])
+    for step in range(1, SMALL):
+        a = small[: len(small) - step]
+        b = small[step:]
+        same = group[a] == group[b]
+        if not same.any():
+            break
+        a, b = a[same], b[same]
+        near = _near(prints, a, b, most)
+        first.append(a[near])
+        past.append(b[near])
+    starts = sizes.cumsum() - sizes
+    for n in np.flatnonzero(sizes > SMALL):
+        for a, b in _links_of_many(prints, np.arange(starts[n], starts[n] + sizes[n]), most):
+            first.append(a)
+            past.append(b)
+    a, b = (np.concatenate([np.empty(0, np.int64), *ends]) for ends in (first, past))
+    # Every row's smallest reachable one stands for its links.
+    root = np.arange(len(node))
+    while (root[a] != root[b]).any():
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        root = root[root]
+    at = np.flatnonzero(root != np.arange(len(node)))
+    return pa.RecordBatch.from_arrays([pa.array(node[root[at]]), pa.array(node[at])], ["a", "b"])
+
+
+def _links_of_many(prints: np.ndarray, rows: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links that connect a large group: those near its first one stand together, then those near the first one left, and so on.
+
+    Of two that are near and stand apart, each is at most twice ``most`` from the other's first one.
+    """
+    stands, around, left = [], np.full(len(rows), -1), np.arange(len(rows))
+    while len(left):
+        near = _near(prints, rows[left[:1]], rows[left], most)
+        around[left[near]] = len(stands)
+        stands.append(left[near])
+        left = left[~near]
+    for n, own in enumerate(stands):
+        yield np.full(len(own) - 1, rows[own[0]]), rows[own[1:]]
+        if len(own) == 1:
+            continue
+        later = np.flatnonzero(around > n)
+        later = later[_near(prints, rows[own[:1]], rows[later], 2 * most)]
+        for one in own[1:]:
+            if not len(later):
+                break
+            near = later[_near(prints, rows[[one]], rows[later], most)]
+            if len(near):
+                yield np.full(len(near), rows[one]), rows[near]
+                later = later[~np.isin(around[later], around[near])]
+
+
+def _near(prints: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Whether at most so many digits differ, of rows ``a`` and ``b`` of the packed prints."""
+    head = max(1, MORE_DIGITS // 16)
+    near = _different(prints[a, :head], prints[b, :head]) <= most
+    at = np.flatnonzero(near)
+    near[at] = _different(prints[a if len(a) == 1 else a[at]], prints[b[at]]) <= most
+    return near
+
+
+def _different(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of different hex digits."""
+    bits = a ^ b
+    bits |= bits >> np.uint64(2)
+    bits |= bits >> np.uint64(1)
+    return np.bitwise_count(bits & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
+
+
 def _in_turn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of a partition in order, each with the next; the last row is left to be paired, with its text."""
     part, kind = TaskContext.get().partitionId(), None

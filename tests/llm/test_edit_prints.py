@@ -152,3 +152,49 @@ def test_single_rows_clashing_columns_and_empty_tables(spark):
     assert rows(edit_prints.edited_likeness(spark.createDataFrame([], SCHEMA))) == []
     replaced = edit_prints.fingerprints(one)
     assert [r["fingerprint"] for r in rows(replaced)] == [found[0]["fingerprint"]]
+
+
+def joined(spark, digits, least=0.8):
+    """Whether each two of these fingerprints share a component, and whether links of all pairs join them."""
+    prints = [edit_prints._hex(d) for d in digits]
+    given = spark.createDataFrame(list(enumerate(prints)), "doc_id long, fingerprint string")
+    named = {r["fingerprint"]: r["component_id"] for r in rows(edit_prints.near_components(given, least))}
+    root = list(range(len(prints)))
+    for i in range(len(prints)):
+        for j in np.flatnonzero([edit_prints._alike(digits[i], d) >= least for d in digits[:i]]):
+            root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    return [named[p] for p in prints], root
+
+
+def test_every_link_is_found(spark):
+    """Pairs at the threshold itself, their differences anywhere."""
+    rng = np.random.default_rng(8)
+    one = rng.integers(0, 16, (300, edit_prints.DIGITS)).astype(np.uint8)
+    digits = []
+    for n, own in enumerate(one):
+        other, places = own.copy(), rng.permutation(edit_prints.DIGITS)[: 24 + n % 2]
+        if n % 3 == 0:
+            places = np.arange(24 + n % 2) * 5 % edit_prints.DIGITS  # as evenly spread as can be
+        other[places] ^= 1
+        digits += [own, other]
+    found, wanted = joined(spark, np.array(digits))
+    assert found == wanted and 0 < len(set(found)) < 600
+
+
+def test_links_within_large_groups_dealt_into_blocks(spark, monkeypatch):
+    """Many agree in a band; chains of links, of which no two ends are near, run through them."""
+    monkeypatch.setattr(edit_prints, "SMALL", 4)
+    monkeypatch.setattr(edit_prints, "HEAVY", 40)
+    monkeypatch.setattr(edit_prints, "ROWS", 100)
+    rng = np.random.default_rng(9)
+    digits = []
+    for _ in range(6):
+        own = rng.integers(0, 16, edit_prints.DIGITS).astype(np.uint8)
+        for n in range(40):
+            own = own.copy()
+            own[rng.permutation(edit_prints.DIGITS - 6)[: 18 + n % 9] + 6] ^= 1 + n % 15
+            digits.append(own)
+    digits = np.array(digits)[rng.permutation(240)]
+    digits[:, :6] = 7
+    found, wanted = joined(spark, digits)
+    assert found == wanted and 6 < len(set(found)) < 200
