@@ -146,7 +146,8 @@ def links(distinct: DataFrame, threshold: int = 2, name: str = "fingerprint") ->
     homes = homes.join(hot, "anchor", "left").select("anchor", "a", F.pmod(F.xxhash64("a"), parts).cast("int").alias("part"))
     guests = guests.join(hot, "anchor", "left").select("anchor", "b", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
     close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold)
-    met = homes.join(guests, (homes.anchor == guests.anchor) & (homes.part == guests.part) & close)
+    # Spark takes the replicas for no larger than the fingerprints they are made of, and would broadcast them.
+    met = homes.join(guests.hint("merge"), (homes.anchor == guests.anchor) & (homes.part == guests.part) & close)
     return met.select("a", "b")
 
 

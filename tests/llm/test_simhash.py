@@ -2,9 +2,11 @@ import random
 import re
 
 import xxhash
+from pyspark.sql import functions as F
 
 from rxvigil.llm import queries, simhash
 from rxvigil.llm.components import connected_components
+from rxvigil.session import written_table
 from tests.llm.samples import awkward, awkward_rng, frame, prose, rows
 
 SF = "/root/testdata/sf0.001"
@@ -96,3 +98,12 @@ def test_clashing_columns_and_an_empty_table(spark):
     assert rows(simhash.components(clash)) and simhash.keep_one(clash).columns == clash.columns
     assert {r["Fingerprint"] for r in rows(simhash.keep_one(clash))} == {"x"}
     assert rows(simhash.components(clash.limit(0))) == [] and rows(simhash.keep_one(clash.limit(0))) == []
+
+
+def test_replicas_are_not_broadcast(spark):
+    """Each fingerprint has about 60 of them, which Spark's estimate of their size does not know."""
+    given = spark.range(3_000).select(F.xxhash64("id").alias("fingerprint"))
+    found = simhash.links(written_table(given, "test-fingerprints"))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan.split("replicate")[0]
