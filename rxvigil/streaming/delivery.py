@@ -14,7 +14,7 @@ import json
 import re
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ Append = Callable[[DataFrame, str], None]
 RECORD_ERRORS = ("RecordTooLargeException", "SerializationException", "InvalidTopicException", "CorruptRecordException")
 HEADER = "delivery"
 _ROW, _FOLDER = "__row", "__folder"
-#: Rows in a folder of a batch that is cut, and rows of a part that are looked at one by one.
+#: Rows in a folder of a batch that is cut, and refused rows of a folder after which others may go on with the rest of it.
 _FOLDER_ROWS, _FEW = 2_000, 16
 
 
@@ -142,72 +142,82 @@ it, as logs do and a single folder of files does not. A refused dead letter fail
     return sink
 
 
-def _mask(value: int, bits: int) -> int:
-    return value & (1 << bits) - 1
-
-
-def _low_bits(value: Column, bits: int) -> Column:
-    return value.bitwiseAND(F.lit(_mask(-1, bits)).cast("long"))
-
-
 def _write_isolated(records: DataFrame, write: Callable[[DataFrame], None], max_bytes: int, at_once: int) -> None:
     """Write all records but those the sink refuses one by one, and these as dead letters.
 
-    The batch is kept in a table, so that its parts stay the same. It is known to fail as a whole. Parts that fail are cut in
-    four again and again, in sixteen while all of them fail. ``n`` refused of ``m`` records take about
-    4 n log4(m) writes in log4(m) rounds. The table lies in folders by a row's hash, so a small part reads one small folder,
-    however many records the batch has.
+    The batch is kept in a table, so that its parts stay the same, in folders of about ``_FOLDER_ROWS`` rows that follow one
+    another by topic; a row's number tells its place. It is known to fail as a whole. Ranges of folders that fail are cut in four
+    again and again, in sixteen while all of them fail. In a folder that fails the first refused row is found by halves: a first half
+    that fails holds it, one that is written leaves it in the second; what follows the row is then written at once. So ``n``
+    refused rows of ``m`` in a folder take about ``n * (log2(m) + 2)`` writes, and those of a topic that is refused, which lie side by
+    side, about two each. A part of a folder reads this folder alone, however many records the batch has.
     """
     spark = records.sparkSession
-    held = written_table(records.withColumn(_ROW, F.monotonically_increasing_id()), "refused-batch")
-    total, low = held.count(), F.xxhash64(_ROW)
-    deep = 0
-    while total > _FOLDER_ROWS << deep:
-        deep += 2
-    if deep:
-        path = scratch_path(spark, "refused-parts")
-        placed = held.withColumn(_FOLDER, _low_bits(low, deep))
-        placed.repartition(_FOLDER).write.partitionBy(_FOLDER).parquet(path)
-        held = spark.read.schema(T.StructType([*held.schema.fields, T.StructField(_FOLDER, T.LongType())])).parquet(path)
-
-    def rows(bits: int, value: int, of: list | None) -> DataFrame:
-        """The rows of which this many low bits of the hash have this value, or these rows of them."""
-        part = held
-        if deep:
-            known = min(bits, deep)
-            part = part.where(_low_bits(F.col(_FOLDER), known) == F.lit(_mask(value, known)).cast("long")).drop(_FOLDER)
-        return part.where(F.col(_ROW).isin(of) if of else _low_bits(low, bits) == F.lit(value).cast("long"))
-
-    def failure(part: tuple[int, int, list | None]) -> tuple[str, list | None] | None:
-        """Why a part was refused, and its rows if they are few; None if it was written."""
+    kept = written_table(records.withColumn(_ROW, F.monotonically_increasing_id()), "refused-batch")
+    path, folders = scratch_path(spark, "refused-parts"), max(1, -(-kept.count() // _FOLDER_ROWS))
+    placed = kept.repartitionByRange(folders, "topic", _ROW).sortWithinPartitions("topic", _ROW)
+    placed.withColumns({_FOLDER: F.spark_partition_id(), _ROW: F.monotonically_increasing_id()}).write.partitionBy(_FOLDER).parquet(path)
+    schema = T.StructType([*kept.schema.fields, T.StructField(_FOLDER, T.IntegerType())])
+    held = spark.read.schema(schema).parquet(path)
+    # One row a folder.
+    spans = sorted(tuple(r) for r in held.groupBy(_FOLDER).agg(F.min(_ROW), F.max(_ROW) + 1).collect())
+
+    def failure(part: DataFrame) -> str | None:
+        """Why a part was refused; None if it was written."""
         try:
-            write(rows(*part).drop(_ROW))
+            write(part.drop(_ROW, _FOLDER))
         except Exception as error:
             kind = record_error(error)
             if not kind:
                 raise
-            bits, _, of = part
-            if of is None and total >> bits <= _FEW:
-                found = [r[0] for r in rows(*part).select(_ROW).take(4 * _FEW)]
-                of = found if len(found) < 4 * _FEW else None
-            return kind, of
+            return kind
         return None
 
+    def of_folders(part: list[tuple]) -> str | None:
+        return failure(held.where(F.col(_FOLDER).between(part[0][0], part[-1][0])))
+
+    def isolated(part: tuple[int, int, int, bool]) -> tuple[list[tuple], list[tuple]]:
+        """Refused rows of a folder from one row on up to another, and ranges that are left; whether the range is known to fail."""
+        folder, start, past, fails = part
+        rows = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/{_FOLDER}={folder}").where(F.col(_FOLDER) == folder)
+        refused: list[tuple[int, str, str]] = []
+        # A refused row lies before ``bad``, if that is known.
+        bad, alone = past if fails else None, False
+        while start < past:
+            if len(refused) >= _FEW:
+                step = -(-(past - start) // 4)
+                return refused, [(folder, n, min(n + step, past), False) for n in range(start, past, step)]
+            if bad is None:
+                end = start + 1 if alone else past
+            else:
+                end = start + max(1, (bad - start) // 2)
+            kind = failure(rows.where(F.col(_ROW).between(start, end - 1)))
+            if not kind:
+                # The rest up to ``bad`` is known to fail, unless there is none.
+                start, alone, bad = end, False, bad if bad and end < bad else None
+            elif end - start > 1:
+                bad = end
+            else:
+                # Other records of the topic are refused as well; so may be what follows two refused side by side.
+                alone = kind == "InvalidTopicException" or bool(refused) and refused[-1][0] == start - 1
+                refused.append((start, kind, f"refused by the sink: {kind}"))
+                start, bad = end, None
+        return refused, []
+
     refused: list[tuple[int, str, str]] = []
-    # The hash of a long number is a permutation, so rows part.
-    parts, step = [(2, value, None) for value in range(4)], 2
+    parts, single = _cut(spans, 4), []
     with ThreadPoolExecutor(at_once) as writers:
         while parts:
-            failed = [(part, *why) for part, why in zip(parts, writers.map(failure, parts)) if why]
-            step = 4 if len(failed) == len(parts) else 2
-            parts = []
-            for (bits, value, _), kind, of in failed:
-                if of is None:
-                    parts += [(bits + step, value | n << bits, None) for n in range(1 << step)]
-                elif len(of) == 1:
-                    refused.append((of[0], kind, f"refused by the sink: {kind}"))
-                else:
-                    parts += [(bits, value, of[n::4]) for n in range(min(4, len(of)))]
+            failed = [part for part, kind in zip(parts, writers.map(of_folders, parts)) if kind]
+            step = 16 if len(failed) == len(parts) else 4
+            single += [(*part[0], True) for part in failed if len(part) == 1]
+            parts = [one for part in failed if len(part) > 1 for one in _cut(part, step)]
+        at_work = {writers.submit(isolated, part) for part in single}
+        while at_work:
+            done, at_work = wait(at_work, return_when=FIRST_COMPLETED)
+            for found, left in (one.result() for one in done):
+                refused += found
+                at_work |= {writers.submit(isolated, part) for part in left}
     if refused:
         reasons = spark.createDataFrame(refused, f"{_ROW} long, kind string, message string")
         # As many rows as records that were refused one by one.
@@ -215,3 +225,9 @@ def _write_isolated(records: DataFrame, write: Callable[[DataFrame], None], max_
         made = refused_envelope(F.col("message"), F.col("kind")).alias("made")
         letters = dlq_records(bad.select(made).select("made.*"), max_bytes)
         write(letters.select("topic", "key", F.col("value").cast("binary").alias("value")))
+
+
+def _cut(parts: list, pieces: int) -> list[list]:
+    """Up to so many lists, one after another."""
+    size = -(-len(parts) // pieces) or 1
+    return [parts[n : n + size] for n in range(0, len(parts), size)]

@@ -151,3 +151,32 @@ def test_small_parts_of_a_refused_batch_read_a_small_share_of_it(spark, tmp_path
     found = log.read(spark)
     assert sum(topic == "hci.dlq.out.v1" for topic, _, _ in found) == 10
     assert {key for topic, key, _ in found if topic == "hci.out.v1"} == {str(i) for i in range(20_000) if i % 2_000 != 42}
+
+
+def test_records_of_a_refused_topic_take_few_writes(spark, tmp_path):
+    """They are looked for side by side; others take about one write for each halving of a folder."""
+    key = F.col("key").cast("string")
+    refused = F.when(F.col("topic") == "hci.closed.v1", "InvalidTopicException").when(key.try_cast("long") % 2_500 == 42, "CorruptRecordException")
+    log, ledger = Log(tmp_path / "log", refused), st.Ledger(str(tmp_path / "ledger"), "q")
+    closed = F.col("key").cast("long") % 250 == 17
+    given = records(spark, 10_000).withColumn("topic", F.when(closed, F.lit("hci.closed.v1")).otherwise(F.col("topic")))
+    st.delivering_sink(log.append, ledger, at_once=8)(wire(given), 0)
+    found = log.read(spark, ledger)
+    assert sorted(int(k) for t, k, _ in found if t == "hci.out.v1") == [i for i in range(10_000) if i % 250 != 17 and i % 2_500 != 42]
+    letters = sorted((t, int(base64.b64decode(json.loads(v)["originalKeyBase64"]))) for t, _, v in found if t.startswith(S.DLQ_PREFIX))
+    assert letters == [("hci.dlq.closed.v1", i) for i in range(17, 10_000, 250)] + [("hci.dlq.out.v1", i) for i in range(42, 10_000, 2_500)]
+    # 44 refused records; about 20 writes each if all are looked for one by one.
+    assert log.writes < 260, log.writes
+
+
+def test_rows_that_are_refused_only_beside_others_are_written(spark, tmp_path):
+    """A record alone decides: what is written then is no letter, whatever its part did before."""
+
+    class Crowded(Log):
+        def append(self, part, delivery):
+            self.refuses = F.when(F.col("key").cast("string") == "5", "SerializationException") if part.count() > 1 else None
+            super().append(part, delivery)
+
+    log = Crowded(tmp_path / "log")
+    st.delivering_sink(log.append)(wire(records(spark, 20)), 0)
+    assert sorted(int(k) for _, k, _ in log.read(spark)) == list(range(20))
