@@ -8,10 +8,13 @@ Python as one JSON text; everything else is done by Spark expressions around the
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Iterator, Sequence
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rxvigil import schemas as S
@@ -126,40 +129,101 @@ class _TableLookup(StatefulProcessor):
         pass
 
 
-#: Rows in a page of waiting rows, and rows gathered before pages are stored.
-_PAGE, _GATHERED = 1_000, 20_000
+#: Rows in a page of waiting rows, and rows gathered before pages are stored; table rows in a part.
+_PAGE, _GATHERED, _ENTRIES = 1_000, 20_000, 64
+#: Keys share so many state keys.
+BUCKETS = 4096
+_NOTHING = (None, 0, 0, None, 0)
+_ORDER = itemgetter(0, 1, 2)
+
+
+class _Entries:
+    """The table rows of a bucket's keys: as one text while they are few, else in parts by hash of the key, read when a key is asked for."""
+
+    def __init__(self, state, text: str | None, count: int, parts: int):
+        self._state, self._text, self._count, self._parts = state, text, count, parts
+        self._loaded: dict[int, dict] = {} if parts else {0: json.loads(text) if text else {}}
+        self._changed: set[int] = set()
+
+    def get(self, name: str) -> str | None:
+        return self._part(self._number(name)).get(name)
+
+    def put(self, name: str, entry: str | None) -> None:
+        number = self._number(name)
+        held = self._part(number)
+        if held.get(name) == entry:
+            return
+        if entry is None:
+            del held[name]
+            self._count -= 1
+        else:
+            self._count += name not in held
+            held[name] = entry
+        self._changed.add(number)
+
+    def save(self) -> tuple:
+        """Store what changed; the text, the number of keys and of parts."""
+        if not self._changed:
+            return self._text, self._count, self._parts
+        if self._count > _ENTRIES * max(1, self._parts):
+            every = {n: e for number in range(max(1, self._parts)) for n, e in self._part(number).items()}
+            while self._count > _ENTRIES * max(1, self._parts):
+                self._parts = 4 * max(1, self._parts)
+            self._loaded = {number: {} for number in range(self._parts)}
+            for name, entry in every.items():
+                self._loaded[self._number(name)][name] = entry
+            self._changed = set(self._loaded)
+        if not self._parts:
+            return json.dumps(self._loaded[0]) if self._count else None, self._count, 0
+        for number in self._changed:
+            if self._loaded[number]:
+                self._state.updateValue((number,), (json.dumps(self._loaded[number]),))
+            elif self._state.containsKey((number,)):
+                self._state.removeKey((number,))
+        return None, self._count, self._parts if self._count else 0
+
+    def _number(self, name: str) -> int:
+        return zlib.crc32(name.encode()) % self._parts if self._parts else 0
+
+    def _part(self, number: int) -> dict:
+        if number not in self._loaded:
+            found = self._state.getValue((number,))
+            self._loaded[number] = json.loads(found[0]) if found else {}
+        return self._loaded[number]
 
 
 class _OrderedLookup(StatefulProcessor):
     """As ``_TableLookup``, but rows wait until the watermark has passed them and are then taken in order of time.
 
-    Up to a page of waiting rows lies with the key's table row in one value, read and written once a call. Of a key with more
-    they lie in pages by slice of time. A timer at the earliest one releases slice after slice, so a call
-    holds one slice of one key, however many rows of it wait.
+    With ``named`` a state key stands for many keys, which the rows' ``name`` tells apart, so that state is read and written
+    for many keys at once. Up to a page of waiting rows lies with the table rows in one value, read and written once a call. Where
+    there are more they lie in pages by slice of time. A timer at the earliest one releases slice after slice, so a call
+    holds one slice of one state key, however many rows of it wait.
     """
 
-    def __init__(self, slice_micros: int):
-        self._slice = slice_micros
+    def __init__(self, slice_micros: int, named: bool = False):
+        self._slice, self._named = slice_micros, named
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        # The table row, up to a page of waiting rows, and the number of pages ever stored.
-        self._held = handle.getValueState("held", "entry string, few string, pages bigint")
+        # Few table rows with their number and that of their parts, up to a page of waiting rows, and the number of pages ever stored.
+        self._held = handle.getValueState("held", "entries string, number bigint, parts bigint, few string, pages bigint")
+        self._entries = handle.getMapState("entries", "part bigint", "entries string")
         self._waiting = handle.getMapState("waiting", "slice bigint, page bigint", "rows string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        entry, few, pages = before = self._load()
+        *table, few, pages = before = self._load()
         waiting = json.loads(few) if few else []
         awaited = min((r[0] for r in waiting), default=None)
         first, gathered = None, waiting
         for row in rows:
-            gathered.append((row.micros, row.side, row.offset, row.payload))
+            gathered.append((row.micros, row.side, row.offset, row.payload, row.name if self._named else ""))
             first = row.micros if first is None else min(first, row.micros)
             if len(gathered) >= _GATHERED:
                 pages, gathered = self._store(gathered, pages), []
         if pages or len(gathered) > _PAGE:
             pages, gathered = self._store(gathered, pages), []
-        self._save(before, (entry, json.dumps(gathered) if gathered else None, pages))
+        self._save(before, (*table, json.dumps(gathered) if gathered else None, pages))
         # There is a timer at the earliest of the few rows already.
         if first is not None and (awaited is None or first < awaited):
             self._wake(first)
@@ -167,15 +231,12 @@ class _OrderedLookup(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        entry, few, pages = before = self._load()
+        *table, few, pages = before = self._load()
+        entries = _Entries(self._entries, *table)
         if few:
-            rows = sorted(json.loads(few), key=lambda r: r[:3])
+            rows = sorted(json.loads(few), key=_ORDER)
             passed = sum(r[0] <= mark for r in rows)
-            for _, side, _, payload in rows[:passed]:
-                if side == _EVENT:
-                    yield Row(event=payload, entry=entry)
-                else:
-                    entry = payload
+            yield from self._taken(rows[:passed], entries)
             rest = rows[passed:]
             few = json.dumps(rest) if rest else None
             if rest:
@@ -189,36 +250,38 @@ class _OrderedLookup(StatefulProcessor):
             rows = [row for at in slices[number] for row in json.loads(self._waiting.getValue(at)[0])]
             for at in slices[number]:
                 self._waiting.removeKey(at)
-            rows.sort(key=lambda r: r[:3])
-            for micros, side, _, payload in rows:
-                if micros > mark:
-                    break
-                if side == _EVENT:
-                    yield Row(event=payload, entry=entry)
-                else:
-                    entry = payload
-            rest = [r for r in rows if r[0] > mark]
+            rows.sort(key=_ORDER)
+            passed = sum(r[0] <= mark for r in rows)
+            yield from self._taken(rows[:passed], entries)
+            rest = rows[passed:]
             if rest:
                 pages, left = self._store(rest, pages), True
                 self._wake(rest[0][0])
         if later:
             self._wake(min(later) * self._slice)
-        self._save(before, (entry, few, pages if later or left else 0))
+        self._save(before, (*entries.save(), few, pages if later or left else 0))
 
     def close(self) -> None:
         pass
 
+    def _taken(self, rows: list, entries: _Entries) -> Iterator[Row]:
+        for _, side, _, payload, name in rows:
+            if side == _EVENT:
+                yield Row(event=payload, entry=entries.get(name))
+            else:
+                entries.put(name, payload)
+
     def _wake(self, micros: int) -> None:
         self._handle.registerTimer(-(-micros // 1000))
 
     def _load(self) -> tuple:
         held = self._held.get()
-        return tuple(held) if held else (None, None, 0)
+        return tuple(held) if held else _NOTHING
 
     def _save(self, before: tuple, now: tuple) -> None:
         if now == before:
             return
-        if now == (None, None, 0):
+        if now == _NOTHING:
             self._held.clear()
         else:
             self._held.update(now)
@@ -235,6 +298,13 @@ class _OrderedLookup(StatefulProcessor):
         return page
 
 
+def _name(key: str, kind: T.DataType):
+    """A key as text; different keys have different texts."""
+    if isinstance(kind, T.StringType):
+        return F.col(key)
+    return F.hex(key) if isinstance(kind, T.BinaryType) else F.to_json(F.struct(key), _JSON)
+
+
 def stateful_asof(
     events: DataFrame,
     changelog: DataFrame,
@@ -249,7 +319,7 @@ def stateful_asof(
     has a null payload and empties the state. With ``delay`` rows count in order of ``ts`` whatever batch brings them, as long as
     they come no later than ``delay`` after newer ones: they wait until the watermark has passed them, so an event leaves
     ``delay`` after its time. Rows that come later still, and rows without a time, are dropped, as by every watermark.
-    ``slice_seconds`` bounds the rows of a key that are sorted at once.
+    Keys then share ``BUCKETS`` state keys; ``slice_seconds`` bounds the rows of one of these that are sorted at once.
     """
     gone = F.coalesce("is_delete", F.lit(False))
     table_side = changelog.where(F.col(key).isNotNull()).select(
@@ -263,10 +333,12 @@ def stateful_asof(
     both = table_side.unionByName(event_side)
     if delay:
         both = both.where(F.col("ts").isNotNull()).withWatermark("ts", delay).withColumn("micros", F.unix_micros("ts"))
+        name = _name("state_key", both.schema["state_key"].dataType)
+        both = both.withColumn("name", name).withColumn("state_key", F.pmod(F.xxhash64("name"), F.lit(BUCKETS)))
     joined = (
         both.groupBy("state_key")
         .transformWithState(
-            statefulProcessor=_OrderedLookup(slice_seconds * 1_000_000) if delay else _TableLookup(),
+            statefulProcessor=_OrderedLookup(slice_seconds * 1_000_000, named=True) if delay else _TableLookup(),
             outputStructType="event string, entry string",
             outputMode="Append",
             timeMode="EventTime" if delay else "None",

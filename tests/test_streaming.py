@@ -479,3 +479,73 @@ def test_a_key_with_few_waiting_rows_uses_one_value(monkeypatch):
     calls.clear()
     out = list(lookup.handleExpiredTimer(("k",), SimpleNamespace(getCurrentWatermarkInMs=lambda: 1), None))
     assert [(r.event, r.entry) for r in out] == [(f"p{i}", f"p{i - 1}") for i in range(1, 11, 2)] and len(calls) == 2
+
+
+def test_keys_share_state_and_many_table_rows_lie_in_parts(monkeypatch):
+    """Far fewer reads and writes of state than keys; a deleted row leaves its part, and the last one the state."""
+    from types import SimpleNamespace
+
+    calls, states = [], {}
+
+    class State:
+        def __init__(self):
+            self.held = {}
+
+        def __getattr__(self, call):
+            def called(*args):
+                calls.append(call)
+                at = args[0] if args and call != "update" else None
+                if call in ("update", "updateValue"):
+                    self.held[at] = args[-1]
+                elif call in ("clear", "removeKey"):
+                    del self.held[at]
+                return at in self.held if call == "containsKey" else list(self.held) if call == "keys" else self.held.get(at)
+            return called
+
+    handle = SimpleNamespace(
+        getValueState=lambda name, _: states.setdefault(name, State()), getMapState=lambda name, *_: states.setdefault(name, State()),
+        registerTimer=lambda _: None,
+    )
+    lookup = st.stateful._OrderedLookup(10, named=True)
+    lookup.init(handle)
+
+    def passed(rows, mark):
+        rows = [SimpleNamespace(micros=m, side=side, offset=n, payload=payload, name=name) for n, (m, side, name, payload) in enumerate(rows)]
+        assert not list(lookup.handleInputRows((1,), iter(rows), None))
+        return [(r.event, r.entry) for r in lookup.handleExpiredTimer((1,), SimpleNamespace(getCurrentWatermarkInMs=lambda: mark), None)]
+
+    names = [f"k{i}" for i in range(600)]
+    assert passed([(10, 0, n, f"old {n}") for n in names], 1) == []
+    assert len(calls) < 60 and len(states["entries"].held) > 1
+    # Later calls see them, change some and delete others.
+    late = [(2_000, 1, n, f"e {n}") for n in names] + [(2_001, 0, n, None if i % 2 else "new") for i, n in enumerate(names)]
+    assert sorted(passed(late, 3)) == sorted((f"e {n}", f"old {n}") for n in names)
+    assert sorted(passed([(4_000, 1, n, n) for n in names], 5), key=str) == sorted(((n, None if i % 2 else "new") for i, n in enumerate(names)), key=str)
+    calls.clear()
+    assert passed([(6_000, 0, "k0", "one"), (6_001, 1, "k0", "e")], 7) == [("e", "one")] and len(calls) <= 6
+    assert passed([(8_000, 0, n, None) for n in names], 9) == []
+    assert not any(s.held for s in states.values())
+
+
+def test_late_rows_of_many_keys_in_few_states(spark, tmp_path, monkeypatch):
+    """Table rows outlive the batch that brings them, whatever keys share their state."""
+    monkeypatch.setattr(st.stateful, "BUCKETS", 2)
+    monkeypatch.setattr(st.stateful, "_ENTRIES", 2)
+    log = changelog(spark, [change(f"k{i % 23}", i, delete=i % 7 == 0, public=float(i)) for i in range(120)])
+    events = spark.createDataFrame([(f"k{i % 29}", 1000 + i, at(i * 0.8 // 1)) for i in range(150)], "key string, offset bigint, ts timestamp")
+    order = F.floor(F.unix_seconds("ts") / 40) + F.pmod(F.xxhash64("offset"), F.lit(2))
+    first = events.agg(F.min(F.floor(F.unix_seconds("ts") / 40))).first()[0]
+    for batch in range(6):
+        last = [("end", 9999, at(10_000))] if batch == 5 else []
+        log.where(order == first + batch).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+        more = events.where(order == first + batch).unionByName(spark.createDataFrame(last, events.schema))
+        more.coalesce(1).write.mode("append").parquet(str(tmp_path / "events"))
+        joined = st.stateful_asof(
+            spark.readStream.schema(events.schema).parquet(str(tmp_path / "events")),
+            spark.readStream.schema(log.schema).parquet(str(tmp_path / "log")),
+            ["publicPriceCHF", "marketingStatus"], delay="90 seconds",
+        )
+        got = collected(spark, joined, tmp_path)
+    expected = asof_join(events, log, ["publicPriceCHF", "marketingStatus"])
+    assert sorted(got.collect(), key=lambda r: r.offset) == sorted(
+        expected.select(*got.columns).collect(), key=lambda r: r.offset)
