@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator, Sequence
-from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -134,7 +133,12 @@ _PAGE, _GATHERED, _ENTRIES = 1_000, 20_000, 64
 #: Keys share so many state keys.
 BUCKETS = 4096
 _NOTHING = (None, 0, 0, None, 0)
-_ORDER = itemgetter(0, 1, 2)
+
+
+def _order(row: Sequence) -> tuple:
+    """By time, table first, and offset; none first. Other keys' rows may have the same time, so any two must compare."""
+    micros, side, offset = row[:3]
+    return micros, side, offset is not None, 0 if offset is None else offset
 
 
 class _Entries:
@@ -234,7 +238,7 @@ class _OrderedLookup(StatefulProcessor):
         *table, few, pages = before = self._load()
         entries = _Entries(self._entries, *table)
         if few:
-            rows = sorted(json.loads(few), key=_ORDER)
+            rows = sorted(json.loads(few), key=_order)
             passed = sum(r[0] <= mark for r in rows)
             yield from self._taken(rows[:passed], entries)
             rest = rows[passed:]
@@ -250,7 +254,7 @@ class _OrderedLookup(StatefulProcessor):
             rows = [row for at in slices[number] for row in json.loads(self._waiting.getValue(at)[0])]
             for at in slices[number]:
                 self._waiting.removeKey(at)
-            rows.sort(key=_ORDER)
+            rows.sort(key=_order)
             passed = sum(r[0] <= mark for r in rows)
             yield from self._taken(rows[:passed], entries)
             rest = rows[passed:]
